@@ -19,7 +19,7 @@ def folded(text: Column) -> Column:
 
 def fold_literal(text: str) -> str:
     """The same folding for a literal known on the driver."""
-    decomposed = unicodedata.normalize("NFKD", text.strip().lower())
+    decomposed = unicodedata.normalize("NFD", text.strip().lower())
     return "".join(ch for ch in decomposed if not unicodedata.combining(ch))
 
 

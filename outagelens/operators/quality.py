@@ -181,7 +181,7 @@ def class_distribution(df: DataFrame, column: str) -> DataFrame:
 
 
 def reconcile_counts(
-    bronze: DataFrame, keys: list[str], order: list[str], required: str
+    bronze: DataFrame, keys: list[str], required: str
 ) -> DataFrame:
     """Rows of each stage from one aggregation: read, with a start, distinct by key."""
     usable = F.when(F.col(required).isNotNull(), 1).otherwise(0)
