@@ -153,13 +153,15 @@ def top_outage_time(df: DataFrame, agent: str, start: str, end: str, k: int = 5)
     return top_k(hours, by="total_horas", k=k, ties=[agent])
 
 
-def cause_analysis(df: DataFrame, levels: list[str], start: str, end: str) -> DataFrame:
+def cause_analysis(
+    df: DataFrame, levels: list[str], start: str, end: str, consumers: str
+) -> DataFrame:
     """Events, hours and consumers affected per cause."""
     seconds = durations.elapsed_seconds(start, end)
     return df.groupBy(*levels).agg(
         F.count(F.lit(1)).alias("qtd_eventos"),
         (F.coalesce(F.sum(seconds), F.lit(0)) / F.lit(3600.0)).alias("total_horas"),
-        F.sum("num_unidade_consumidora").alias("consumidores_afetados"),
+        F.sum(consumers).alias("consumidores_afetados"),
     )
 
 

@@ -296,10 +296,6 @@ seen AS (
 )"""
 
 
-def _listed(select: str, rows: list[str]) -> str:
-    return f"{select} " + " UNION ALL SELECT ".join(["", *rows])[len(" UNION ALL "):]
-
-
 def _union(rows: list[str]) -> str:
     return " UNION ALL ".join(f"SELECT {r}" for r in rows)
 
@@ -339,9 +335,6 @@ steps AS (
   UNION ALL SELECT 5, 'final', n3, n1 FROM n
 )"""
 
-_GAP = """abs(l - r) AS diferenca"""
-
-
 def _gap(tolerance: float) -> str:
     pct = "CASE WHEN l > 0 THEN CAST(abs(l - r) AS DOUBLE) / l * 100.0 ELSE 0.0 END"
     return (
@@ -655,11 +648,13 @@ ORACLES: dict[str, str] = {
     ),
     "consumers_stats": _ev("avg(NumUnidadeConsumidora) AS media, max(NumUnidadeConsumidora) AS maximo FROM ev"),
     # checks
-    "check_columns": _ev(
-        f"* FROM (SELECT count(*) AS n, count(DscTipoInterrupcao) AS t, count(DatFimInterrupcao) AS f FROM ev) x,"
-        " (VALUES ('NumOrdemInterrupcao', true, 0), ('NumAno', true, 0), ('SigAgente', true, 0),"
-        " ('DscTipoInterrupcao', true, 1), ('DatInicioInterrupcao', true, 0),"
-        " ('DatFimInterrupcao', true, 2), ('DscMotivo', false, 3)) v(coluna, presente, k)"
+    "check_columns": f"WITH {_EV} "
+    + _union(
+        [
+            f"'{c}' AS coluna, true AS presente, count({c}) AS preenchidos, count(*) AS linhas FROM ev"
+            for c in [*_CRITICAL, "DatInicioInterrupcao", "DatFimInterrupcao"]
+        ]
+        + ["'DscMotivo', false, 0, count(*) FROM ev"]
     ),
     "check_report": f"""WITH {_EV},
         keys AS (SELECT NumOrdemInterrupcao, count(*) AS n FROM ev GROUP BY 1) """

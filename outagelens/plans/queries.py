@@ -103,10 +103,6 @@ def _official(spark, sf):
     return compare.official_month(_cells(spark, sf))
 
 
-def _detailed(spark, sf, *wanted):
-    return conform.conform_events_detailed(standins.events(spark, sf, *wanted))
-
-
 # ---- scans and sources ------------------------------------------------------
 
 
@@ -637,9 +633,9 @@ def indicator_spread(spark, sf):
 
 @query
 def top_outage_time(spark, sf):
-    rows = _detailed(spark, sf, "SigAgente", START, END)
+    rows = conform.trim_text(standins.events(spark, sf, "SigAgente", START, END))
     return profiling.top_outage_time(
-        rows, "sig_agente", "dat_inicio_interrupcao", "dat_fim_interrupcao"
+        rows.withColumnRenamed("SigAgente", "sig_agente"), "sig_agente", START, END
     )
 
 
@@ -691,12 +687,13 @@ def class_distribution(spark, sf):
 
 @query
 def cause_analysis(spark, sf):
-    rows = _detailed(
-        spark, sf, "DscFatoGeradorInterrupcao", START, END, "NumUnidadeConsumidora"
-    )
-    return profiling.cause_analysis(
-        rows, v.CAUSE_LEVELS, "dat_inicio_interrupcao", "dat_fim_interrupcao"
+    rows = conform.with_cause_levels(
+        standins.events(
+            spark, sf, "DscFatoGeradorInterrupcao", START, END, "NumUnidadeConsumidora"
+        ),
+        "DscFatoGeradorInterrupcao",
     )
+    return profiling.cause_analysis(rows, v.CAUSE_LEVELS, START, END, "NumUnidadeConsumidora")
 
 
 @query
