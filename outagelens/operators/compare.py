@@ -46,21 +46,18 @@ def observed_month(
     )
 
 
-def official_month(cells: DataFrame) -> DataFrame:
-    """Published figures per distributor and month from deduplicated silver cells.
+INDEX_CODES = ["DEC", "FEC", "NumCon"]
 
-    The weighted index counts each conjunto by its consumers, over conjuntos that
-    report both; the plain mean is kept beside it.
+
+def official_month(conjuntos: DataFrame) -> DataFrame:
+    """Published figures per distributor and month.
+
+    ``conjuntos`` has one row per conjunto and month with ``INDEX_CODES`` as columns. The
+    weighted index counts each conjunto by its consumers, over conjuntos that report
+    both; the plain mean is kept beside it.
     """
-    wanted = cells.filter(F.col("indicador").isin("DEC", "FEC", "NumCon"))
-    code, value = F.col("indicador"), F.col("valor")
-    per_conjunto = wanted.groupBy(*MONTH_KEY, "id_conjunto_uc").agg(
-        F.max(F.when(code == "DEC", value)).alias("_dec"),
-        F.max(F.when(code == "FEC", value)).alias("_fec"),
-        F.max(F.when(code == "NumCon", value)).alias("_numcon"),
-    )
-    dec, fec, numcon = F.col("_dec"), F.col("_fec"), F.col("_numcon")
-    return per_conjunto.groupBy(*MONTH_KEY).agg(
+    dec, fec, numcon = F.col("dec"), F.col("fec"), F.col("numcon")
+    return conjuntos.groupBy(*MONTH_KEY).agg(
         F.sum(numcon).alias("consumidores"),
         F.try_divide(
             F.sum(dec * numcon), F.sum(F.when(dec.isNotNull(), numcon))
@@ -117,9 +114,15 @@ def dec_comparison(
     Full outer: a month only one side knows is shown too. Both sides are monthly totals
     when they meet, so the join is small whatever the number of events.
     """
-    seen = dec_observed(observed, official).select(*MONTH_KEY, "dec_observado")
-    told = official.select(*MONTH_KEY, "dec_oficial", "dec_medio")
-    joined = seen.join(told, MONTH_KEY, "full")
+    joined = observed.join(official, MONTH_KEY, "full")
+    served = F.coalesce(F.col("consumidores"), F.col("consumidores_eventos").cast("double"))
+    hours = F.col("consumidor_segundos") / F.lit(3600.0)
+    joined = joined.select(
+        *MONTH_KEY,
+        F.try_divide(hours, served).alias("dec_observado"),
+        "dec_oficial",
+        "dec_medio",
+    )
     gap = F.col("dec_observado") - F.col("dec_oficial")
     joined = joined.withColumns(
         {
@@ -151,12 +154,10 @@ def above_limit(
     )
 
 
-def fec_by_region(cells: DataFrame, mapping: DataFrame) -> DataFrame:
+def fec_by_region(conjuntos: DataFrame, mapping: DataFrame) -> DataFrame:
     """Mean FEC per region and distributor; the mapping meets one row per distributor."""
-    means = (
-        cells.filter(F.col("indicador") == "FEC")
-        .groupBy("distribuidora")
-        .agg(F.avg("valor").alias("fec_medio"), F.count("valor").alias("medicoes"))
+    means = conjuntos.groupBy("distribuidora").agg(
+        F.avg("fec").alias("fec_medio"), F.count("fec").alias("medicoes")
     )
     return enrich_region(means, mapping, "distribuidora").select(
         "regiao", "distribuidora", "fec_medio", "medicoes"

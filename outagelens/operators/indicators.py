@@ -13,14 +13,51 @@ from outagelens.operators.dedupe import latest_per_key
 from outagelens.operators.ranking import top_k
 
 # silver long key: one value per conjunto, agent, month and indicator
-CELL_KEY = ["distribuidora", "id_conjunto_uc", "ano", "mes", "indicador"]
+CONJUNTO_MONTH = ["distribuidora", "id_conjunto_uc", "ano", "mes"]
+CELL_KEY = [*CONJUNTO_MONTH, "indicador"]
 
 
 def latest_cells(silver: DataFrame, order: list[str], ties: list[str] | None = None) -> DataFrame:
-    """The newest value of every cell of the silver long table."""
+    """The newest value of every cell of the silver long table, still long."""
     return latest_per_key(silver, CELL_KEY, order, ties)
 
 
+def latest_wide(
+    df: DataFrame,
+    keys: list[str],
+    code: str,
+    value: str,
+    codes: list[str],
+    order: list[str],
+    described: list[str] | None = None,
+) -> DataFrame:
+    """Long rows to one row per key with a column per code, each its newest value.
+
+    Deduplication and pivot in one aggregation: a cell keeps the value of its greatest
+    ``order``, so superseded rows are dropped by the map-side partials and one exchange
+    does for both. The codes are given, so no job looks for them, and other codes are
+    filtered at the scan. ``described`` columns come from the newest row of the key.
+    """
+    newest = [
+        F.max(F.when(F.col(code) == name, F.struct(*order, value))).getField(value).alias(
+            name.lower()
+        )
+        for name in codes
+    ]
+    extra = []
+    if described:
+        row = F.max(F.struct(*order, F.struct(*described).alias("_row")))
+        extra = [row.getField("_row").alias("_newest")]
+    wide = df.filter(F.col(code).isin(codes)).groupBy(*keys).agg(*newest, *extra)
+    names = [name.lower() for name in codes]
+    return wide.select(*keys, *(["_newest.*"] if described else []), *names)
+
+
+def conjunto_month(silver: DataFrame, order: list[str], codes: list[str]) -> DataFrame:
+    """The silver long table as one row per conjunto and month, newest values."""
+    return latest_wide(silver, CONJUNTO_MONTH, "indicador", "valor", codes, order)
+
+
 def indicators_wide(
     df: DataFrame,
     order: list[str],
@@ -29,45 +66,26 @@ def indicators_wide(
     legacy_columns: bool = False,
     run_ts: dt.datetime | None = None,
 ) -> DataFrame:
-    """Bronze long series to one row per key with a column per indicator.
-
-    The codes are given, so no job looks for them; unknown codes are filtered at the
-    scan. Each cell takes its newest value by ``order``, and the descriptive columns come
-    from the newest row of the key. Superseded cells leave before the second exchange;
-    what crosses it are map-side partials.
+    """Bronze long series to the wide silver table.
 
-    ``legacy_columns`` gives the wide table its documented shape, in which the conjunto
-    id and the period are not visible and the period date is the first of January.
+    ``legacy_columns`` gives it its documented shape, in which the conjunto id and the
+    period are not visible and the period date is the first of January.
     """
     described = ["dscconjundconsumidoras", "numcnpj", "_fonte_url", "_ingest_ts"]
-    narrow = df.filter(F.col("sigindicador").isin(values)).select(
-        *dict.fromkeys([*keys, "sigindicador", "vlrindiceenviado", *described, *order])
-    )
-    cells = latest_per_key(narrow, [*keys, "sigindicador"], order)
-    code, value = F.col("sigindicador"), F.col("vlrindiceenviado")
-    wide = cells.groupBy(*keys).agg(
-        F.max_by(F.struct(*described), F.struct(*order, *described)).alias("_newest"),
-        *[F.max(F.when(code == name, value)).alias(name.lower()) for name in values],
-    )
-    named = wide.select(
-        *keys,
-        "_newest.*",
-        *[name.lower() for name in values],
-        F.upper(F.trim("sigagente")).alias("codigo_distribuidora"),
-        F.trim(F.col("_newest.dscconjundconsumidoras")).alias("distribuidora"),
-        F.col("anoindice").alias("ano_referencia"),
-    )
-    period = (
-        calendar.year_start(F.col("anoindice"))
-        if legacy_columns
-        else calendar.month_start(F.col("anoindice"), F.col("numperiodoindice"))
+    wide = latest_wide(
+        df, keys, "sigindicador", "vlrindiceenviado", values, order, described
     )
-    named = named.withColumns(
+    year, month = F.col("anoindice"), F.col("numperiodoindice")
+    named = wide.withColumns(
         {
-            "periodo_apuracao": period,
-            "chave_uc": F.coalesce(F.col("sigagente"), F.col("distribuidora")),
+            "codigo_distribuidora": F.upper(F.trim("sigagente")),
+            "distribuidora": F.trim("dscconjundconsumidoras"),
+            "ano_referencia": year,
+            "periodo_apuracao": (
+                calendar.year_start(year) if legacy_columns else calendar.month_start(year, month)
+            ),
         }
-    )
+    ).withColumn("chave_uc", F.coalesce(F.col("sigagente"), F.col("distribuidora")))
     if run_ts is not None:
         named = named.withColumn("_timestamp_transformacao", F.lit(run_ts))
     if legacy_columns:
@@ -98,35 +116,35 @@ def _only(indicator: str) -> Column:
     return F.when(F.col("indicador") == indicator, F.col("valor"))
 
 
+GOLD_CODES = ["DEC", "DECIND", "DECINC", "FEC", "NumCon"]
+
+
 def gold_indicator_month(
-    cells: DataFrame, strict_month: bool = False, run_ts: dt.datetime | None = None
+    conjuntos: DataFrame, strict_month: bool = False, run_ts: dt.datetime | None = None
 ) -> DataFrame:
     """Monthly figures per distributor with the previous month, its change and a rank.
 
-    ``cells`` is the deduplicated silver long table. The previous value is that of the
-    row before; with ``strict_month`` it is null unless that row is the month before.
-    Rank 1 is the highest mean DEC of the month.
+    ``conjuntos`` has one row per conjunto and month with ``GOLD_CODES`` as columns. The
+    previous value is that of the row before; with ``strict_month`` it is null unless
+    that row is the month before. Rank 1 is the highest mean DEC of the month.
 
     The windows see aggregated rows only: per distributor as many as there are months,
     per month as many as there are distributors.
     """
-    chosen = cells.filter(F.col("indicador").isin("DEC", "DECIND", "DECINC", "FEC", "NumCon"))
-    dec, decind, decinc = _only("DEC"), _only("DECIND"), _only("DECINC")
-    fec, numcon = _only("FEC"), _only("NumCon")
-    monthly = chosen.groupBy("distribuidora", "ano", "mes").agg(
-        F.avg(dec).alias("dec_medio"),
-        F.min(dec).alias("dec_minimo"),
-        F.max(dec).alias("dec_maximo"),
-        F.sum(dec).alias("dec_total"),
-        F.avg(decind).alias("decind_medio"),
-        F.sum(decind).alias("decind_total"),
-        F.avg(decinc).alias("decinc_medio"),
-        F.sum(decinc).alias("decinc_total"),
-        F.avg(fec).alias("fec_medio"),
-        F.sum(fec).alias("fec_total"),
-        F.avg(numcon).alias("numcon_medio"),
-        F.sum(numcon).alias("numcon_total"),
-        F.countDistinct("id_conjunto_uc").alias("qtd_conjuntos"),
+    monthly = conjuntos.groupBy("distribuidora", "ano", "mes").agg(
+        F.avg("dec").alias("dec_medio"),
+        F.min("dec").alias("dec_minimo"),
+        F.max("dec").alias("dec_maximo"),
+        F.sum("dec").alias("dec_total"),
+        F.avg("decind").alias("decind_medio"),
+        F.sum("decind").alias("decind_total"),
+        F.avg("decinc").alias("decinc_medio"),
+        F.sum("decinc").alias("decinc_total"),
+        F.avg("fec").alias("fec_medio"),
+        F.sum("fec").alias("fec_total"),
+        F.avg("numcon").alias("numcon_medio"),
+        F.sum("numcon").alias("numcon_total"),
+        F.count(F.lit(1)).alias("qtd_conjuntos"),
     )
     by_agent = Window.partitionBy("distribuidora").orderBy("ano", "mes")
     by_month = Window.partitionBy("ano", "mes").orderBy(F.col("dec_medio").desc_nulls_last())
@@ -302,11 +320,10 @@ def mean_dec_by_year(wide: DataFrame) -> DataFrame:
     )
 
 
-def annual_means(cells: DataFrame) -> DataFrame:
-    return (
-        cells.filter(F.col("indicador").isin("DEC", "FEC"))
-        .groupBy("distribuidora", "ano")
-        .agg(F.avg(_only("DEC")).alias("dec_medio"), F.avg(_only("FEC")).alias("fec_medio"))
+def annual_means(conjuntos: DataFrame) -> DataFrame:
+    """Mean DEC and FEC per distributor and year from conjunto months."""
+    return conjuntos.groupBy("distribuidora", "ano").agg(
+        F.avg("dec").alias("dec_medio"), F.avg("fec").alias("fec_medio")
     )
 
 

@@ -92,18 +92,20 @@ def missing_months(
 ) -> DataFrame:
     """Months between ``first`` and ``last`` for which a series has no row.
 
-    Without bounds the period is that of the whole table, read by a scalar subquery.
-    The months on record are reduced to distinct ones before anything else moves.
+    Without bounds the period is that of the whole table, read by a scalar subquery from
+    the same aggregation. Each series collapses to its set of months, as many as the
+    period has, in map-side partials; only absent months are ever written out as rows.
     """
-    have = df.select(
-        *keys, calendar.month_start(F.col(year), F.col(month)).alias("mes_ausente")
-    ).distinct().filter(F.col("mes_ausente").isNotNull())
-    bound = have.agg(
-        F.min("mes_ausente").alias("lo"), F.max("mes_ausente").alias("hi")
+    date = calendar.month_start(F.col(year), F.col(month))
+    series = df.groupBy(*keys).agg(F.collect_set(date).alias("_have"))
+    span = series.agg(
+        F.struct(
+            F.min(F.array_min("_have")).alias("lo"), F.max(F.array_max("_have")).alias("hi")
+        )
+    ).scalar()
+    lo = F.lit(first) if first else span.getField("lo")
+    hi = F.lit(last) if last else span.getField("hi")
+    period = F.sequence(lo, hi, F.expr("interval 1 month"))
+    return series.select(
+        *keys, F.explode(F.array_except(period, F.col("_have"))).alias("mes_ausente")
     )
-    lo = F.lit(first) if first else bound.select("lo").scalar()
-    hi = F.lit(last) if last else bound.select("hi").scalar()
-    expected = have.select(*keys).distinct().select(
-        *keys, F.explode(F.sequence(lo, hi, F.expr("interval 1 month"))).alias("mes_ausente")
-    )
-    return expected.join(have, [*keys, "mes_ausente"], "left_anti")

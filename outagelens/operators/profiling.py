@@ -11,10 +11,6 @@ from outagelens.functions import durations, text
 from outagelens.operators.filters import reversed_or_empty
 from outagelens.operators.ranking import count_by, top_k
 
-# ranks are off by at most rows / ACCURACY; below that many rows they are exact
-ACCURACY = 1_000_000
-
-
 def _per_column(df: DataFrame, names: list[str], rule, column_name: str, pct_name: str) -> DataFrame:
     totals = df.agg(
         F.count(F.lit(1)).alias("_rows"), *[F.count_if(rule(F.col(c))).alias(f"_{c}") for c in names]
@@ -79,25 +75,71 @@ def duplicate_examples(df: DataFrame, keys: list[str], k: int = 1) -> DataFrame:
     return df.join(worst.select(*keys), keys, "left_semi")
 
 
-def duration_stats(df: DataFrame, minutes: str, accuracy: int = ACCURACY) -> DataFrame:
-    """Range, mean, median, 95th and 99th percentile of known durations.
+def exact_percentiles(df: DataFrame, value: str, points: dict[str, int], width: int) -> DataFrame:
+    """Exact percentiles of an integer column as one row: the smallest value whose rank
+    reaches the given percentage of the rows. Also their number and sum.
+
+    Equal values are counted first, in map-side partials. The counts are then cumulated
+    inside buckets of ``width`` values, so that no window sees more than ``width`` rows,
+    and across the buckets, of which there are as many as the range of values holds
+    widths. A sketch would be one pass, but one sketch per map task meets in one reducer.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    bucket = F.floor(F.col("_v") / F.lit(width))
+    counted = counted.withColumn("_b", bucket)
+    up_to = Window.partitionBy(F.lit(0)).orderBy("_b")
+    buckets = counted.groupBy("_b").agg(F.sum("_n").alias("_size")).select(
+        "_b",
+        (F.sum("_size").over(up_to) - F.col("_size")).alias("_before"),
+        F.sum("_size").over(Window.partitionBy(F.lit(0))).alias("_total"),
+    )
+    inside = Window.partitionBy("_b").orderBy("_v")
+    ranked = counted.withColumn("_within", F.sum("_n").over(inside)).join(buckets, "_b", "left")
+    reached = F.col("_before") + F.col("_within")
+    return ranked.agg(
+        *[
+            F.min(F.when(reached * 100 >= F.col("_total") * p, F.col("_v"))).alias(name)
+            for name, p in points.items()
+        ],
+        F.sum("_n").alias("linhas"),
+        F.sum(F.col("_v") * F.col("_n")).alias("soma"),
+    )
+
+
+PERCENTILES = {"mediana_minutos": 50, "p95_minutos": 95, "p99_minutos": 99}
+
+
+def duration_stats(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Range, mean, median, 95th and 99th percentile of known durations in minutes.
 
-    Percentiles come from mergeable summaries of bounded size, not from sorting the
-    table; ``accuracy`` trades that size against the rank error.
+    Exact: whole seconds are counted per value and everything follows from the counts.
     """
-    seconds = durations.exact_seconds(F.col(minutes))
-    value = F.col(minutes)
+    known = df.select(durations.elapsed_seconds(start, end).alias("_seconds"))
+    points = {"min_minutos": 0, "max_minutos": 100, **PERCENTILES}
+    stats = exact_percentiles(known, "_seconds", points, width=86400)
+    return stats.select(
+        *[(F.col(name) / F.lit(60.0)).alias(name) for name in points],
+        (F.try_divide("soma", "linhas") / F.lit(60.0)).alias("media_minutos"),
+    )
 
-    def percentile(p: float) -> Column:
-        return F.percentile_approx(value, p, accuracy)
 
-    return df.filter(value.isNotNull()).agg(
+def duration_stats_sketch(
+    df: DataFrame, start: str, end: str, accuracy: int = 10000
+) -> DataFrame:
+    """The same figures with percentiles from mergeable summaries, ranks off by at most
+    rows / ``accuracy``."""
+    value = durations.elapsed(start, end)
+    levels = F.percentile_approx(value, [p / 100 for p in PERCENTILES.values()], accuracy)
+    return df.agg(
         F.min(value).alias("min_minutos"),
         F.max(value).alias("max_minutos"),
-        (F.sum(seconds) / F.count(value) / F.lit(60.0)).alias("media_minutos"),
-        percentile(0.50).alias("mediana_minutos"),
-        percentile(0.95).alias("p95_minutos"),
-        percentile(0.99).alias("p99_minutos"),
+        F.avg(value).alias("media_minutos"),
+        levels.alias("_p"),
+    ).select(
+        "min_minutos", "max_minutos", "media_minutos",
+        *[F.get("_p", i).alias(name) for i, name in enumerate(PERCENTILES)],
     )
 
 

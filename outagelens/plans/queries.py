@@ -70,12 +70,15 @@ def _silver_long(spark, sf):
     return conform.conform_indicators_long(standins.indicators(spark, sf))
 
 
-def _cells(spark, sf):
-    return indicators.latest_cells(_silver_long(spark, sf), ["ingest_ts_bronze", "_tie"], ties=[])
+def _conjuntos(spark, sf, codes):
+    return indicators.conjunto_month(
+        _silver_long(spark, sf), ["ingest_ts_bronze", "_tie"], codes
+    )
 
 
 def _gold_indicators(spark, sf, **options):
-    return indicators.gold_indicator_month(_cells(spark, sf), **options)
+    conjuntos = _conjuntos(spark, sf, indicators.GOLD_CODES)
+    return indicators.gold_indicator_month(conjuntos, **options)
 
 
 def _wide(spark, sf, **options):
@@ -100,7 +103,7 @@ def _observed(spark, sf):
 
 
 def _official(spark, sf):
-    return compare.official_month(_cells(spark, sf))
+    return compare.official_month(_conjuntos(spark, sf, compare.INDEX_CODES))
 
 
 # ---- scans and sources ------------------------------------------------------
@@ -486,7 +489,8 @@ def dedupe_conjunto_start(spark, sf):
 
 @query
 def dedupe_indicators(spark, sf):
-    return _cells(spark, sf).select(*indicators.CELL_KEY, "valor", "ingest_ts_bronze")
+    cells = indicators.latest_cells(_silver_long(spark, sf), ["ingest_ts_bronze", "_tie"], ties=[])
+    return cells.select(*indicators.CELL_KEY, "valor", "ingest_ts_bronze")
 
 
 # ---- gold, pivots, reports --------------------------------------------------
@@ -587,8 +591,12 @@ def dist_by_voltage(spark, sf):
 
 @query
 def duration_stats(spark, sf):
-    rows = conform.with_duration(standins.events(spark, sf, START, END), START, END)
-    return profiling.duration_stats(rows, "duracao_minutos")
+    return profiling.duration_stats(standins.events(spark, sf, START, END), START, END)
+
+
+@query
+def duration_stats_sketch(spark, sf):
+    return profiling.duration_stats_sketch(standins.events(spark, sf, START, END), START, END)
 
 
 @query
@@ -802,9 +810,14 @@ def reconcile_sum_silver(spark, sf):
 
 @query
 def reconcile_sum_gold(spark, sf):
-    silver = conform.with_duration(
+    """Silver stored once, then read by the gold aggregation and by the check."""
+    path = table_path(spark, "silver_minutes")
+    conform.with_duration(
         _valid_latest(spark, sf, "SigAgente"), START, END, null_as_zero=True
-    )
+    ).select("SigAgente", START, "duracao_minutos").write.parquet(path)
+    silver = spark.read.schema(
+        f"SigAgente STRING, {START} TIMESTAMP_NTZ, duracao_minutos DOUBLE"
+    ).parquet(path)
     gold = outages.gold_outage_month(silver, "SigAgente", START, "duracao_minutos")
     return quality.reconcile_sum(
         silver, gold, "duracao_minutos", "tempo_total_minutos", tolerance_pct=0.01
@@ -899,14 +912,16 @@ def dec_comparison(spark, sf):
 
 @query
 def above_limit(spark, sf):
-    yearly = indicators.annual_means(_cells(spark, sf))
+    yearly = indicators.annual_means(_conjuntos(spark, sf, ["DEC", "FEC"]))
     limits = standins.dec_limits(spark, sf, list(range(1995, 2002)))
     return compare.above_limit(yearly, limits).drop("fec_medio")
 
 
 @query
 def fec_by_region(spark, sf):
-    return compare.fec_by_region(_cells(spark, sf), standins.agent_regions(spark, sf))
+    return compare.fec_by_region(
+        _conjuntos(spark, sf, ["FEC"]), standins.agent_regions(spark, sf)
+    )
 
 
 # ---- business questions -----------------------------------------------------
@@ -950,7 +965,7 @@ def bq_month_rank(spark, sf):
 
 @query
 def bq_annual_means(spark, sf):
-    return indicators.annual_means(_cells(spark, sf))
+    return indicators.annual_means(_conjuntos(spark, sf, ["DEC", "FEC"]))
 
 
 @query

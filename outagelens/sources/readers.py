@@ -45,6 +45,20 @@ def read_year_list(spark: SparkSession, view: str, column: str, years: list[int]
     )
 
 
+def spread_small(scan: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input that has fewer splits than there are cores.
+
+    A file of one row group is read by one task, which would then also do all the work up
+    to the next exchange. Inputs with a split per core or more, that is anything large,
+    are returned as they are and gain no exchange. Call it on a bare scan, where the
+    number of splits is known without running anything.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)
+
+
 def read_csv_landing(
     spark: SparkSession, path: str, schema: str, sep: str = ",", encoding: str = "UTF-8"
 ) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from outagelens.sources.readers import spread_small
+
 _TABLES = {
     "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
         l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
@@ -104,7 +106,7 @@ def _project(
     spark: SparkSession, sf_dir: str, columns: dict, wanted: tuple[str, ...]
 ) -> DataFrame:
     names = list(wanted or columns)
-    df = table(spark, sf_dir, "lineitem")
+    df = spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey")
     for lookup, condition in _LOOKUPS.items():
         if any(columns[c][0] == lookup for c in names):
             df = df.join(table(spark, sf_dir, lookup), F.expr(condition), "left")
