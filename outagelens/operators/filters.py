@@ -100,5 +100,6 @@ def containing(df: DataFrame, column: str, part: str) -> DataFrame:
     return df.filter(F.col(column).contains(part))
 
 
-def all_present(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+def any_present(columns: list[str]) -> Column:
+    """At least one of the columns is known."""
+    return reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns])

@@ -1,60 +1,56 @@
-"""Partitioned Parquet tables: appended, replaced, or replaced by year."""
+"""Partitioned Parquet tables: appended, replaced, or replaced by partition."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+def _write(
+    df: DataFrame, path: str, columns: list[str], mode: str, overwrite: str = "static",
+    metrics: list[Column] | None = None,
+) -> Observation:
+    """Write by partition columns without tying a partition to one task.
 
-def _spread(df: DataFrame, year_col: str) -> DataFrame:
-    """Group rows by year for writing without tying a year to one task.
-
-    A rebalance exchange aims at even file sizes: small years share a task, and a year
-    that holds most of the table is split over many.
+    The rebalance exchange aims at even file sizes: small partitions share a task, and a
+    year that holds most of the table is split over many. Metrics are observed after it,
+    in the stage that writes, where a task that is run again counts once.
     """
-    return df.hint("rebalance", F.col(year_col))
+    seen = Observation()
+    (
+        df.hint("rebalance", *[F.col(c) for c in columns])
+        .observe(seen, *(metrics or [F.count(F.lit(1)).alias("rows")]))
+        .write.mode(mode)
+        .option("partitionOverwriteMode", overwrite)
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+    return seen
 
 
 def append(df: DataFrame, path: str, year_col: str) -> None:
-    _spread(df, year_col).write.mode("append").partitionBy(year_col).parquet(path)
+    _write(df, path, [year_col], "append")
 
 
-def replace_all(df: DataFrame, path: str, year_col: str) -> None:
-    """The whole table anew, also when its columns changed."""
-    (
-        _spread(df, year_col)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(year_col)
-        .parquet(path)
-    )
+def replace_all(df: DataFrame, path: str, year_col: str) -> int:
+    """The whole table anew, also when its columns changed; returns the rows written."""
+    return _write(df, path, [year_col], "overwrite").get["rows"]
 
 
-def replace_years(
-    df: DataFrame, path: str, year_col: str, years: list[int] | None = None
-) -> dict[int, int]:
-    """Replace the years at hand, leave all others; returns rows written per year.
+def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> int:
+    """Replace the partitions that occur in ``df``; all others stay as they are."""
+    return _write(df, path, columns, "overwrite", "dynamic").get["rows"]
 
-    One write for all years. Running it again gives the same table. With ``years``, rows
-    of other years are not written, and a listed year without rows is emptied.
-    The counts come from the write itself, not from another pass.
+
+def replace_years(df: DataFrame, path: str, year_col: str, years: list[int]) -> dict[int, int]:
+    """Replace the given years, leave all others; returns the rows written per year.
+
+    One write for all years, and running it again gives the same table. Rows of other
+    years are not written, and a listed year without rows is emptied.
     """
-    rows = df if years is None else df.filter(F.col(year_col).isin(years))
-    seen = Observation()
-    counted = rows.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(year_col) == y).alias(f"y{y}") for y in years or []],
-    )
-    (
-        _spread(counted, year_col)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(year_col)
-        .parquet(path)
+    seen = _write(
+        df.filter(F.col(year_col).isin(years)), path, [year_col], "overwrite", "dynamic",
+        [F.count_if(F.col(year_col) == y).alias(f"y{y}") for y in years],
     )
-    if years is None:
-        return {}
     written = {y: seen.get[f"y{y}"] for y in years}
     bare = df.drop(year_col).limit(0)
     for year in [y for y, n in written.items() if n == 0]:
@@ -68,16 +64,10 @@ def write_checked(df: DataFrame, path: str, year_col: str) -> DataFrame:
     The first number is observed during the write; the second is a count that reads
     only file footers.
     """
-    spark: SparkSession = df.sparkSession
-    seen = Observation()
-    replace_all(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, year_col)
-    return (
-        spark.read.schema(df.schema)
-        .parquet(path)
-        .agg(F.count(F.lit(1)).alias("rows_in_table"))
-        .select(
-            F.lit(seen.get["rows"]).cast("bigint").alias("rows_written"),
-            "rows_in_table",
-            (F.lit(seen.get["rows"]) == F.col("rows_in_table")).alias("matches"),
-        )
+    written = replace_all(df, path, year_col)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored.agg(F.count(F.lit(1)).alias("rows_in_table")).select(
+        F.lit(written).cast("bigint").alias("rows_written"),
+        "rows_in_table",
+        (F.lit(written) == F.col("rows_in_table")).alias("matches"),
     )
