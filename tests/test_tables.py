@@ -50,7 +50,7 @@ def test_write_checked(spark, tmp_path):
 
 def test_evolving_schema(spark, tmp_path):
     path = str(tmp_path / "t")
-    old, new = spark.range(2), spark.range(3).withColumn("extra", F.lit("x"))
+    old, new = spark.range(2).toDF("id"), spark.range(3).withColumn("extra", F.lit("x"))
     old.write.parquet(path)
     new.write.mode("append").parquet(path)
     stored = readers.read_evolving(spark, path)
