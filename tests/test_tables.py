@@ -83,7 +83,8 @@ def test_stamp_styles(spark):
 
 
 def test_shared_dir_follows_the_session(spark):
-    assert session.shared_dir(spark).startswith("/tmp/run-")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert session.shared_dir(spark).startswith(configured.rstrip("/") if configured else "/tmp/run-")
     assert session.table_path(spark, "x") != session.table_path(spark, "x")
 
 
