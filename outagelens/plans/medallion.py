@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outagelens import vocabulary as v
-from outagelens.operators import conform, dedupe, filters, indicators, outages, quality
+from outagelens.operators import compare, conform, dedupe, filters, indicators, outages, quality
 from outagelens.sources import ledger, readers, tables
 
 SOURCE = "interrupcoes"
@@ -177,3 +177,19 @@ def processed_events(
     )
     detailed = conform.conform_events_detailed(kept, run_ts, origin)
     return conform.enrich_region(detailed, regions, "sig_agente")
+
+
+def dec_analysis(
+    events: DataFrame, conjuntos: DataFrame, path: str, exclude: list[str] | None = None
+) -> int:
+    """Observed against published DEC, stored by year; returns the rows written.
+
+    ``events`` are bronze events, ``conjuntos`` conjunto months with the index codes.
+    """
+    counted = filters.dec_event_filter(
+        filters.quality_filter(events), exclude=exclude or v.TYPES_EXCLUDED
+    )
+    compared = compare.dec_comparison(
+        compare.observed_month(counted), compare.official_month(conjuntos)
+    )
+    return tables.replace_all(compared, path, "ano")

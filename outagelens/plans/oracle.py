@@ -244,11 +244,11 @@ man AS (
 ),
 led AS (
   SELECT fonte, ano, url,
-    CASE ano % 4 WHEN 0 THEN last_modified WHEN 1 THEN '1990-01-01' ELSE '' END AS last_modified,
-    CASE WHEN ano % 4 < 2 THEN 'SUCCESS' ELSE 'ERROR' END AS status,
+    CASE WHEN ano <= 1996 THEN last_modified WHEN ano <= 1998 THEN '1990-01-01' ELSE '' END AS last_modified,
+    CASE WHEN ano <= 1998 THEN 'SUCCESS' ELSE 'ERROR' END AS status,
     CAST(concat(CAST(ano + 1 AS VARCHAR), '-01-15 06:00:00') AS TIMESTAMP) AS timestamp_ingestao,
-    CASE WHEN ano % 4 < 2 THEN num_registros ELSE 0 END AS num_registros
-  FROM man WHERE ano % 4 < 3
+    CASE WHEN ano <= 1998 THEN num_registros ELSE 0 END AS num_registros
+  FROM man WHERE ano <= 1999
 )"""
 
 _REGIONS = """
@@ -420,9 +420,9 @@ ORACLES: dict[str, str] = {
         SELECT fonte, ano, url, CASE WHEN ok THEN last_modified ELSE '' END AS last_modified,
           CASE WHEN ok THEN 'SUCCESS' ELSE 'ERROR' END AS status,
           CASE WHEN ok THEN n ELSE 0 END AS num_registros,
-          CASE WHEN ok THEN 'carga concluida' WHEN ano % 4 = 2 THEN 'arquivo ilegivel'
+          CASE WHEN ok THEN 'carga concluida' WHEN ano = 1998 THEN 'arquivo ilegivel'
                ELSE 'sem registros' END AS mensagem
-        FROM (SELECT fonte, ano, url, last_modified, n, coalesce(n, 0) > 0 AND ano % 4 <> 2 AS ok
+        FROM (SELECT fonte, ano, url, last_modified, n, coalesce(n, 0) > 0 AND ano <> 1998 AS ok
               FROM man LEFT JOIN loaded USING (ano))""",
     "ledger_pending": f"""WITH {_MANIFEST} SELECT * FROM man WHERE ano NOT IN
         (SELECT ano FROM led WHERE status = 'SUCCESS')""",

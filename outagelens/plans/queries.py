@@ -217,14 +217,14 @@ def bronze_provenance_file(spark, sf):
 
 @query
 def ledger_entries(spark, sf):
-    """Rows landed per year, every fourth year unreadable."""
+    """Rows landed per year, one year unreadable."""
     loaded = (
         standins.events(spark, sf, "_ano_fonte")
         .groupBy(F.col("_ano_fonte").alias("ano"))
         .agg(F.count(F.lit(1)).alias("num_registros"))
         .select(
             F.lit("interrupcoes").alias("fonte"), "ano", "num_registros",
-            F.when(F.col("ano") % 4 == 2, "arquivo ilegivel").alias("erro"),
+            F.when(F.col("ano") == YEAR, "arquivo ilegivel").alias("erro"),
         )
     )
     landed = standins.manifest(spark, sf).drop("num_registros")

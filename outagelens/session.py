@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
 
@@ -36,3 +39,35 @@ def shared_dir(spark: SparkSession) -> str:
 def table_path(spark: SparkSession, name: str) -> str:
     """A path no other run writes to."""
     return f"{shared_dir(spark)}/outagelens/{name}-{uuid.uuid4().hex}"
+
+
+# a reducer takes what about eight input splits send it: near 1 GB before column pruning
+SPLITS_PER_REDUCER = 8
+MOST_REDUCERS = 50_000
+
+
+def size_shuffles(spark: SparkSession, splits: int) -> int:
+    """Raise the number of shuffle partitions to fit the input; never lower it.
+
+    Adaptive execution merges partitions that turn out small but cannot split one outside
+    of joins and rebalances, so the number must be high enough from the start.
+    """
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-splits // SPLITS_PER_REDUCER), MOST_REDUCERS)
+    if wanted > now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, now)
+
+
+@contextmanager
+def reused(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a table over several analyses and release it after.
+
+    Blocks lost with an executor are computed again from the source. For one analysis, or
+    for results larger than the cluster's storage, write a table instead.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from outagelens import vocabulary as v
 from outagelens.operators.filters import in_years
+from outagelens.session import size_shuffles
 
 
 def read_events(
@@ -45,18 +46,21 @@ def read_year_list(spark: SparkSession, view: str, column: str, years: list[int]
     )
 
 
-def spread_small(scan: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input that has fewer splits than there are cores.
+def fit_to_cluster(scan: DataFrame, key: str) -> DataFrame:
+    """Match the number of tasks to the size of a bare scan, before anything runs.
 
-    A file of one row group is read by one task, which would then also do all the work up
-    to the next exchange. Inputs with a split per core or more, that is anything large,
-    are returned as they are and gain no exchange. Call it on a bare scan, where the
-    number of splits is known without running anything.
+    Large input, with a split per core or more, keeps its splits and gains no exchange;
+    the exchanges after it get enough partitions for its size. Small input is the
+    opposite case: a file of one row group is read by one task, which would then also do
+    all the work up to the next exchange, so its rows are spread over all cores.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, key)
+    spark = scan.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    splits = scan.rdd.getNumPartitions()
+    if splits < cores:
+        return scan.repartition(cores, key)
+    size_shuffles(spark, splits)
+    return scan
 
 
 def read_csv_landing(

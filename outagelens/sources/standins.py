@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outagelens.sources.readers import spread_small
+from outagelens.sources.readers import fit_to_cluster
 
 _TABLES = {
     "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
@@ -106,7 +106,7 @@ def _project(
     spark: SparkSession, sf_dir: str, columns: dict, wanted: tuple[str, ...]
 ) -> DataFrame:
     names = list(wanted or columns)
-    df = spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    df = fit_to_cluster(table(spark, sf_dir, "lineitem"), "l_orderkey")
     for lookup, condition in _LOOKUPS.items():
         if any(columns[c][0] == lookup for c in names):
             df = df.join(table(spark, sf_dir, lookup), F.expr(condition), "left")
@@ -144,29 +144,30 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A past ledger for the manifest: current, outdated, failed and missing years.
+    """A past ledger for the manifest.
 
-    Years rotate through the cases by their remainder: 0 loaded as it is now, 1 loaded in
-    an older version, 2 failed, 3 never tried.
+    Years up to 1996 were loaded as they are now, 1997 and 1998 in an older version, 1999
+    failed, later years were never tried.
     """
-    case = F.col("ano") % 4
+    year = F.col("ano")
+    current, loaded = year <= 1996, year <= 1998
     return (
         manifest(spark, sf_dir)
-        .filter(case < 3)
+        .filter(year <= 1999)
         .select(
             "fonte",
             "ano",
             "url",
-            F.when(case == 0, F.col("last_modified"))
-            .when(case == 1, "1990-01-01")
+            F.when(current, F.col("last_modified"))
+            .when(loaded, "1990-01-01")
             .otherwise("")
             .alias("last_modified"),
-            F.when(case < 2, "SUCCESS").otherwise("ERROR").alias("status"),
-            F.to_timestamp(F.concat(F.col("ano") + 1, F.lit("-01-15 06:00:00")))
+            F.when(loaded, "SUCCESS").otherwise("ERROR").alias("status"),
+            F.to_timestamp(F.concat(year + 1, F.lit("-01-15 06:00:00")))
             .cast("timestamp")
             .alias("timestamp_ingestao"),
-            F.when(case < 2, F.col("num_registros")).otherwise(0).alias("num_registros"),
-            F.when(case < 2, "carga concluida").otherwise("arquivo ilegivel").alias("mensagem"),
+            F.when(loaded, F.col("num_registros")).otherwise(0).alias("num_registros"),
+            F.when(loaded, "carga concluida").otherwise("arquivo ilegivel").alias("mensagem"),
         )
     )
 

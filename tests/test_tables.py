@@ -192,3 +192,41 @@ def test_stream_reads_each_file_once(spark, base, tmp_path):
     assert count == spark.read.parquet(f"{base}/landing/*").count()
     landing.ingest_new_files(*args)
     assert spark.read.parquet(f"{tmp_path}/bronze").count() == count
+
+
+def test_dec_analysis(spark, tmp_path):
+    from outagelens.operators import compare, conform, indicators
+
+    months = indicators.conjunto_month(
+        conform.conform_indicators_long(standins.indicators(spark, SF_DIR)),
+        ["ingest_ts_bronze", "_tie"], compare.INDEX_CODES,
+    )
+    rows = medallion.dec_analysis(standins.events(spark, SF_DIR, *EVENT_COLUMNS), months, f"{tmp_path}/a")
+    stored = spark.read.parquet(f"{tmp_path}/a")
+    assert stored.count() == rows > 0
+    assert {r[0] for r in stored.select("alerta").distinct().collect()} <= {
+        "OK", "WARNING", "CRITICAL", "NO_REFERENCE", "NO_OBSERVATION"}
+
+
+def test_shuffles_grow_with_the_input(spark):
+    now = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, 10) == int(now)
+        assert session.size_shuffles(spark, 80_000) == 10_000
+        assert session.size_shuffles(spark, 800_000) == 50_000
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", now)
+
+
+def test_only_small_inputs_are_spread(spark, tmp_path):
+    small = spark.range(10, numPartitions=2)
+    assert readers.fit_to_cluster(small, "id").rdd.getNumPartitions() == 8
+    large = spark.range(100, numPartitions=40)
+    assert readers.fit_to_cluster(large, "id") is large
+
+
+def test_reused_is_released(spark):
+    with session.reused(spark.range(5)) as kept:
+        assert kept.count() == 5 and kept.is_cached
+    assert not kept.is_cached
