@@ -106,7 +106,7 @@ def _project(
     spark: SparkSession, sf_dir: str, columns: dict, wanted: tuple[str, ...]
 ) -> DataFrame:
     names = list(wanted or columns)
-    df = fit_to_cluster(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    df = fit_to_cluster(table(spark, sf_dir, "lineitem"), "l_extendedprice")
     for lookup, condition in _LOOKUPS.items():
         if any(columns[c][0] == lookup for c in names):
             df = df.join(table(spark, sf_dir, lookup), F.expr(condition), "left")
