@@ -6,8 +6,11 @@ Each query runs once after a warm-up of the flagship, and its whole result is pr
 
 from __future__ import annotations
 
+import contextlib
+import io
 import json
 import os
+import re
 import sys
 import time
 from pathlib import Path
@@ -53,6 +56,9 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     seconds("gold_outage_month")
     timed = {name: seconds(name) for name in names}
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        REGISTRY["gold_outage_month"](spark, sf_dir).explain()
     rows = pq.ParquetFile(f"{sf_dir}/lineitem.parquet").metadata.num_rows
     flagship = timed.get("gold_outage_month")
     print(
@@ -64,6 +70,7 @@ def main() -> None:
                 "queries": timed,
                 "sf": Path(sf_dir).name.removeprefix("sf"),
                 "input_rows": rows,
+                "flagship_exchanges": len(re.findall("ENSURE_REQUIREMENTS", shown.getvalue())),
                 "flagship_rows_per_sec": round(rows / flagship) if flagship else None,
             }
         )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from outagelens.functions import durations, text
 from outagelens.operators.dedupe import dedupe_audit
 
-PASS, FAIL, WARN = "PASS", "FAIL", "WARN"
+PASS, FAIL, WARN, INFO = "PASS", "FAIL", "WARN", "INFO"
 
 
 def _unpivot(one_row: DataFrame, entries: list[Column]) -> DataFrame:
@@ -55,12 +55,14 @@ def check_report(
     domains: dict[str, list[str]] | None = None,
     conditions: dict[str, Column] | None = None,
     soft: tuple[str, ...] = (),
+    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """All checks of a table in one pass: (verificacao, status, metrica, limite).
 
     The metric is a number of offending rows (or keys); every one is allowed zero.
     Rules on absent columns are reported by the column check and skipped. ``conditions``
     are named expressions true for an offending row; names in ``soft`` only warn.
+    ``totals`` are named integer expressions summed beside the checks, status INFO.
 
     With a ``key`` the counts are partial sums per key inside the same aggregation that
     finds repeated keys, so uniqueness adds no second pass.
@@ -84,16 +86,19 @@ def check_report(
             rules[f"dominio:{c}"] = ~F.col(c).isin(allowed)
     rules.update(conditions or {})
     counts = [F.count_if(rule).alias(f"_r{i}") for i, rule in enumerate(rules.values())]
+    sums = dict(totals or {})
+    counts += [F.sum(value).alias(f"_t{i}") for i, value in enumerate(sums.values())]
     use_key = bool(key) and set(key) <= have
     if use_key:
         per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *counts)
-        totals = per_key.agg(
+        result = per_key.agg(
             F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
             F.count_if(F.col("_n") > 1).alias("_repeated"),
             *[F.coalesce(F.sum(f"_r{i}"), F.lit(0)).alias(f"_r{i}") for i in range(len(rules))],
+            *[F.sum(f"_t{i}").alias(f"_t{i}") for i in range(len(sums))],
         )
     else:
-        totals = df.agg(F.count(F.lit(1)).alias("_rows"), *counts)
+        result = df.agg(F.count(F.lit(1)).alias("_rows"), *counts)
     entries = [_finding(f"coluna_ausente:{c}", F.lit(1)) for c in absent]
     entries.append(_finding("sem_linhas", F.when(F.col("_rows") == 0, 1).otherwise(0)))
     if use_key:
@@ -101,15 +106,26 @@ def check_report(
     entries += [
         _finding(name, F.col(f"_r{i}"), soft=name in soft) for i, name in enumerate(rules)
     ]
-    return _unpivot(totals, entries)
+    entries += [
+        F.struct(
+            F.lit(f"total:{name}").alias("verificacao"),
+            F.lit(INFO).alias("status"),
+            F.coalesce(F.col(f"_t{i}"), F.lit(0)).cast("double").alias("metrica"),
+            F.lit(None).cast("double").alias("limite"),
+        )
+        for i, name in enumerate(sums)
+    ]
+    return _unpivot(result, entries)
 
 
-def require(report: DataFrame) -> None:
-    """Raise if any finding failed. Brings only failed findings to the driver."""
-    failed = report.filter(F.col("status") == FAIL).collect()
+def require(report: DataFrame) -> dict[str, float]:
+    """Raise if any finding failed; else the metrics by name, one row per rule."""
+    findings = report.collect()
+    failed = [r for r in findings if r["status"] == FAIL]
     if failed:
         listed = ", ".join(f"{r['verificacao']}={r['metrica']:g}" for r in failed)
         raise ValueError(f"checks failed: {listed}")
+    return {r["verificacao"]: r["metrica"] for r in findings}
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -199,22 +215,30 @@ def reconcile_counts(
     )
 
 
-def _gap(pair: DataFrame, left: str, right: str, tolerance_pct: float) -> DataFrame:
-    gap = F.abs(F.col(left) - F.col(right)).cast("double")
-    pct = F.when(F.col(left) > 0, gap / F.col(left) * F.lit(100.0)).otherwise(F.lit(0.0))
-    return pair.withColumns({"diferenca": gap, "diferenca_perc": pct}).withColumn(
-        "status", F.when(F.col("diferenca_perc") > tolerance_pct, FAIL).otherwise(PASS)
+def _gap(pair: DataFrame, tolerance_pct: float) -> DataFrame:
+    """Two sums in seconds to minutes, their difference and a verdict."""
+    left, right = F.col("_left"), F.col("_right")
+    gap = F.abs(left - right)
+    pct = F.when(left > 0, gap / left * F.lit(100.0)).otherwise(F.lit(0.0))
+    return pair.select(
+        (left / F.lit(60.0)).alias("soma_origem"),
+        (right / F.lit(60.0)).alias("soma_destino"),
+        (gap / F.lit(60.0)).alias("diferenca"),
+        pct.alias("diferenca_perc"),
+        F.when(pct > tolerance_pct, FAIL).otherwise(PASS).alias("status"),
     )
 
 
 def reconcile_dedupe_sum(
-    df: DataFrame, keys: list[str], order: list[str], measure: str, tolerance_pct: float = 1.0
+    df: DataFrame, keys: list[str], order: list[str], minutes: str, tolerance_pct: float = 1.0
 ) -> DataFrame:
-    """Sum of a measure before and after deduplication, from the dedupe's own pass."""
-    audit = dedupe_audit(df, keys, order, measure).select(
-        F.col("sum_before").alias("soma_origem"), F.col("sum_after").alias("soma_destino")
+    """Sum of minutes before and after deduplication, from the dedupe's own pass."""
+    seconds = F.coalesce(durations.exact_seconds(F.col(minutes)), F.lit(0))
+    audit = dedupe_audit(df.withColumn("_seconds", seconds), keys, order, "_seconds")
+    return _gap(
+        audit.select(F.col("sum_before").alias("_left"), F.col("sum_after").alias("_right")),
+        tolerance_pct,
     )
-    return _gap(audit, "soma_origem", "soma_destino", tolerance_pct)
 
 
 def reconcile_sum(
@@ -232,10 +256,10 @@ def reconcile_sum(
 
     both = seconds(left, minutes, "l").unionByName(seconds(right, right_minutes, "r"))
     pair = both.agg(
-        F.sum(F.when(F.col("_side") == "l", F.col("_s"))).alias("soma_origem"),
-        F.sum(F.when(F.col("_side") == "r", F.col("_s"))).alias("soma_destino"),
+        F.sum(F.when(F.col("_side") == "l", F.col("_s"))).alias("_left"),
+        F.sum(F.when(F.col("_side") == "r", F.col("_s"))).alias("_right"),
     )
-    return _gap(pair, "soma_origem", "soma_destino", tolerance_pct)
+    return _gap(pair, tolerance_pct)
 
 
 def reconcile_steps(

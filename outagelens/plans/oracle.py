@@ -336,10 +336,12 @@ steps AS (
 )"""
 
 def _gap(tolerance: float) -> str:
+    """Sums ``l`` and ``r`` are in seconds, the result in minutes."""
     pct = "CASE WHEN l > 0 THEN CAST(abs(l - r) AS DOUBLE) / l * 100.0 ELSE 0.0 END"
+    minute = "CAST(60 AS DOUBLE)"
     return (
-        "l AS soma_origem, r AS soma_destino, CAST(abs(l - r) AS DOUBLE) AS diferenca,"
-        f" {pct} AS diferenca_perc,"
+        f"l / {minute} AS soma_origem, r / {minute} AS soma_destino,"
+        f" abs(l - r) / {minute} AS diferenca, {pct} AS diferenca_perc,"
         f" CASE WHEN {pct} > {tolerance} THEN 'FAIL' ELSE 'PASS' END AS status"
     )
 
@@ -692,8 +694,8 @@ ORACLES: dict[str, str] = {
         (SELECT count(*) FROM ev) - (SELECT count(*) FROM sv) AS excluidos_data_nula,
         (SELECT count(*) FROM sv) - (SELECT count(*) FROM natural_key) AS duplicatas_removidas""",
     "reconcile_sum_silver": f"""WITH {_SILVER}, p AS (SELECT
-        (SELECT CAST(sum(tempo_interrupcao_minutos) AS BIGINT) FROM sv) AS l,
-        (SELECT CAST(sum(tempo_interrupcao_minutos) AS BIGINT) FROM natural_key) AS r)
+        (SELECT CAST(sum(tempo_interrupcao_minutos * 60) AS BIGINT) FROM sv) AS l,
+        (SELECT CAST(sum(tempo_interrupcao_minutos * 60) AS BIGINT) FROM natural_key) AS r)
         SELECT {_gap(1.0)} FROM p""",
     "reconcile_sum_gold": f"""WITH {_GOLD_OUT}, p AS (SELECT
         (SELECT CAST(sum(coalesce(secs, 0)) AS BIGINT) FROM latest) AS l,

@@ -796,15 +796,10 @@ def reconcile_counts(spark, sf):
     return quality.reconcile_counts(keyed, v.NATURAL_KEY, "data_inicio")
 
 
-def _audited(spark, sf):
-    rows = _silver_events(spark, sf)
-    return rows.withColumn("minutos", F.col("tempo_interrupcao_minutos").cast("bigint"))
-
-
 @query
 def reconcile_sum_silver(spark, sf):
     return quality.reconcile_dedupe_sum(
-        _audited(spark, sf), v.NATURAL_KEY, NATURAL_ORDER, "minutos", tolerance_pct=1.0
+        _silver_events(spark, sf), v.NATURAL_KEY, NATURAL_ORDER, "tempo_interrupcao_minutos"
     )
 
 
