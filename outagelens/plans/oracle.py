@@ -571,6 +571,7 @@ ORACLES: dict[str, str] = {
     ),
     "count_by_type": _ev("DscTipoInterrupcao, count(*) AS qtd_registros FROM ev GROUP BY 1"),
     "count_by_indicator": f"WITH {_IND} SELECT sigindicador, count(*) AS qtd_registros FROM ind GROUP BY 1",
+    "count_by_year": f"WITH {_IND} SELECT anoindice, count(*) AS qtd_registros FROM ind GROUP BY 1 ORDER BY 1",
     "count_by_cause": _ev(
         f"""fato_gerador_origem, count(*) AS qtd_registros FROM
         (SELECT {_causes('DscFatoGeradorInterrupcao')} FROM ev) GROUP BY 1
@@ -593,11 +594,16 @@ ORACLES: dict[str, str] = {
         min({_SECONDS}) / 3600.0 AS min_horas, max({_SECONDS}) / 3600.0 AS max_horas,
         round(stddev({_SECONDS} / 3600.0), 6) AS desvio_padrao FROM ev"""
     ),
+    "longest_events": f"""WITH {_LATEST} SELECT NumOrdemInterrupcao, DatFimInterrupcao, _tie,
+        DatInicioInterrupcao, SigAgente, DscTipoInterrupcao, {_MIN} AS duracao_minutos,
+        {_CLASS} AS classe_duracao FROM latest
+        ORDER BY duracao_minutos DESC NULLS LAST, NumOrdemInterrupcao LIMIT 10""",
     "long_outage_share": _ev(
         f"""count({_SECONDS}) AS com_duracao, count(*) FILTER (WHERE {_SECONDS} > 86400) AS qtd_longas,
         {_pct(f'count(*) FILTER (WHERE {_SECONDS} > 86400)', f'count({_SECONDS})')} AS pct_longas FROM ev"""
     ),
     "period_covered": "SELECT min(l_shipdate) AS inicio, max(l_shipdate) AS fim FROM lineitem",
+    "period_covered_gold": f"WITH {_GOLD_IND} SELECT min(ano_mes) AS inicio, max(ano_mes) AS fim FROM gi",
     "distinct_agents": f"WITH {_IND} SELECT count(DISTINCT trim(sigagente)) AS total FROM ind",
     "indicator_stats": f"""WITH {_IND} SELECT sigindicador, avg(vlrindiceenviado) AS media,
         min(vlrindiceenviado) AS minimo, max(vlrindiceenviado) AS maximo, count(*) AS quantidade

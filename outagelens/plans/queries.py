@@ -563,6 +563,12 @@ def count_by_indicator(spark, sf):
     return ranking.count_by(standins.indicators(spark, sf, "sigindicador"), "sigindicador")
 
 
+@query
+def count_by_year(spark, sf):
+    counted = ranking.count_by(standins.indicators(spark, sf, "anoindice"), "anoindice")
+    return counted.orderBy("anoindice")
+
+
 @query
 def count_by_cause(spark, sf):
     rows = conform.with_cause_levels(
@@ -605,6 +611,17 @@ def duration_stats_hours(spark, sf):
     return stats.withColumn("desvio_padrao", F.round("desvio_padrao", 6))
 
 
+@query
+def longest_events(spark, sf):
+    """The longest valid events with their class, as a sample of the final table."""
+    kept = conform.with_duration_class(
+        conform.with_duration(_valid_latest(spark, sf, "SigAgente", "DscTipoInterrupcao"), START, END)
+    )
+    return ranking.top_k(
+        kept.drop("DatGeracaoConjuntoDados"), "duracao_minutos", 10, ["NumOrdemInterrupcao"]
+    )
+
+
 @query
 def long_outage_share(spark, sf):
     return profiling.long_share(standins.events(spark, sf, START, END), START, END)
@@ -615,6 +632,11 @@ def period_covered(spark, sf):
     return profiling.period_covered(standins.events(spark, sf, START), START)
 
 
+@query
+def period_covered_gold(spark, sf):
+    return profiling.period_covered(_gold_indicators(spark, sf), "ano_mes")
+
+
 @query
 def distinct_agents(spark, sf):
     rows = standins.indicators(spark, sf, "sigagente")

@@ -19,6 +19,8 @@ def read_events(
 
     ``extra`` declares further columns, such as the provenance of a stored table.
     """
+    if years is not None and "_ano_fonte" not in extra:
+        extra += ", _ano_fonte INT"
     df = spark.read.schema(v.EVENT_SCHEMA + extra).parquet(path)
     return in_years(df, "_ano_fonte", years) if years is not None else df
 
