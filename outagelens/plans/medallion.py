@@ -81,7 +81,7 @@ def silver_events(
     silver = dedupe.latest_per_key(
         conform.conform_events(bronze), v.NATURAL_KEY, SILVER_ORDER
     ).withColumn("_silver_timestamp", F.lit(run_ts))
-    written = sum(tables.replace_years(silver, silver_path, "_ano_fonte", years).values())
+    written = sum(tables.replace_years(silver, silver_path, "_ano_fonte", years, ["data_inicio"]).values())
     read = bronze.agg(
         F.count(F.lit(1)).alias("bronze"), F.count("DatInicioInterrupcao").alias("conformado")
     ).first()

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 def _write(
     df: DataFrame, path: str, columns: list[str], mode: str, overwrite: str = "static",
-    metrics: list[Column] | None = None,
+    metrics: list[Column] | None = None, sort: list[str] | None = None,
 ) -> Observation:
     """Write by partition columns without tying a partition to one task.
 
     The rebalance exchange aims at even file sizes: small partitions share a task, and a
     year that holds most of the table is split over many. Metrics are observed after it,
-    in the stage that writes, where a task that is run again counts once.
+    in the stage that writes, where a task that is run again counts once. Rows sorted
+    inside their files let later scans skip row groups by range.
     """
     seen = Observation()
+    placed = df.hint("rebalance", *[F.col(c) for c in columns]).observe(
+        seen, *(metrics or [F.count(F.lit(1)).alias("rows")])
+    )
+    if sort:
+        placed = placed.sortWithinPartitions(*columns, *sort)
     (
-        df.hint("rebalance", *[F.col(c) for c in columns])
-        .observe(seen, *(metrics or [F.count(F.lit(1)).alias("rows")]))
-        .write.mode(mode)
+        placed.write.mode(mode)
         .option("partitionOverwriteMode", overwrite)
         .partitionBy(*columns)
         .parquet(path)
@@ -41,7 +45,9 @@ def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> int:
     return _write(df, path, columns, "overwrite", "dynamic").get["rows"]
 
 
-def replace_years(df: DataFrame, path: str, year_col: str, years: list[int]) -> dict[int, int]:
+def replace_years(
+    df: DataFrame, path: str, year_col: str, years: list[int], sort: list[str] | None = None
+) -> dict[int, int]:
     """Replace the given years, leave all others; returns the rows written per year.
 
     One write for all years, and running it again gives the same table. Rows of other
@@ -50,6 +56,7 @@ def replace_years(df: DataFrame, path: str, year_col: str, years: list[int]) ->
     seen = _write(
         df.filter(F.col(year_col).isin(years)), path, [year_col], "overwrite", "dynamic",
         [F.count_if(F.col(year_col) == y).alias(f"y{y}") for y in years],
+        sort,
     )
     written = {y: seen.get[f"y{y}"] for y in years}
     bare = df.drop(year_col).limit(0)
@@ -71,3 +78,13 @@ def write_checked(df: DataFrame, path: str, year_col: str) -> DataFrame:
         "rows_in_table",
         (F.lit(written) == F.col("rows_in_table")).alias("matches"),
     )
+
+
+def publish(spark: SparkSession, path: str, name: str, schema) -> DataFrame:
+    """Give a stored table a catalog name, so that it can be read and queried by it.
+
+    The files stay where they are; publishing again replaces the name only, and is what
+    makes readers by name see partitions replaced since.
+    """
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+    return spark.catalog.createTable(name, path=path, source="parquet", schema=schema)

@@ -43,6 +43,20 @@ def test_append_and_full_replace(spark, tmp_path):
     assert set(spark.read.parquet(path).columns) == {"id", "more", "y"}
 
 
+def test_published_table_is_read_by_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(30).select("id", (F.col("id") % 2 + 2024).cast("int").alias("y"))
+    tables.replace_years(df, path, "y", [2024, 2025], sort=["id"])
+    try:
+        assert tables.publish(spark, path, "outages_by_name", df.schema).count() == 30
+        tables.replace_years(df.filter("id < 10"), path, "y", [2024])
+        tables.publish(spark, path, "outages_by_name", df.schema)
+        found, status = readers.table_or_skip(spark, "outages_by_name")
+        assert status == "OK" and found.filter("y = 2024").count() == 5
+    finally:
+        spark.sql("DROP TABLE IF EXISTS outages_by_name")
+
+
 def test_write_checked(spark, tmp_path):
     row = tables.write_checked(spark.range(7).withColumn("y", F.lit(1)), str(tmp_path / "t"), "y").first()
     assert tuple(row) == (7, 7, True)
