@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from outagelens import vocabulary as v
 from outagelens.functions import durations
 from outagelens.operators import compare, conform, dedupe, filters, indicators, outages, quality
+from outagelens.operators.names import normalize_names
 from outagelens.session import pin_utc
 from outagelens.sources import ledger, readers, tables
 
@@ -148,6 +149,25 @@ def gold_outages(
     }
 
 
+def ingest_indicators(
+    spark: SparkSession, landing: str, bronze_path: str, years: list[int], run_ts: dt.datetime
+) -> dict[int, int]:
+    """Landed indicator series to bronze: stamped, names folded, given years replaced.
+
+    The column names are those of the file, in whatever case and accents it has them, and
+    are checked after folding. Returns the rows written per year.
+    """
+    pin_utc(spark)
+    stamped = readers.stamp(spark.read.parquet(landing), "run", landing, run_ts)
+    bronze = normalize_names(stamped, "fold")
+    quality.require(
+        quality.check_report(
+            bronze, columns=["anoindice", "sigagente", "sigindicador", "vlrindiceenviado"]
+        )
+    )
+    return tables.replace_years(bronze, bronze_path, "anoindice", years, ["sigindicador"])
+
+
 def indicator_tables(
     spark: SparkSession, bronze: DataFrame, silver_path: str, gold_path: str,
     run_ts: dt.datetime,

@@ -389,6 +389,8 @@ ORACLES: dict[str, str] = {
     "scan_csv_landing": _ev(f"{_ALL} FROM ev"),
     "scan_year_in": f"""WITH {_IND} SELECT sigagente, ideconjundconsumidoras, anoindice,
         numperiodoindice, sigindicador, vlrindiceenviado FROM ind WHERE anoindice IN (1997, 1998)""",
+    "scan_indicators_stored": f"""WITH {_IND} SELECT * EXCLUDE (_fonte_url, _ingest_ts, _tie)
+        FROM ind WHERE anoindice IN (1997, 1998)""",
     "scan_year_partition": _ev(
         f"""{_ROW}, DatInicioInterrupcao, NumUnidadeConsumidora, _ano_fonte FROM ev
         WHERE _ano_fonte IN (1997, 1998)"""
@@ -513,6 +515,9 @@ ORACLES: dict[str, str] = {
         AND NumUnidadeConsumidora >= 1
         AND lower(strip_accents(trim(DscTipoInterrupcao))) IN ('emergencial', 'nao programada')"""
     ),
+    "cause_containing": _ev(
+        f"{_ROW}, DscFatoGeradorInterrupcao FROM ev WHERE DscFatoGeradorInterrupcao LIKE '%ECONOMY%'"
+    ),
     "invalid_class": _ev(
         f"""* FROM (SELECT {_STAMPS}, {_MIN} AS duracao_minutos, {_CLASS} AS classe_duracao FROM ev)
         WHERE classe_duracao NOT IN ('CURTA', 'MEDIA', 'LONGA')"""

@@ -121,6 +121,14 @@ def scan_year_in(spark, sf):
     return rows.select(*v.INDICATOR_KEY, "sigindicador", "vlrindiceenviado")
 
 
+@query
+def scan_indicators_stored(spark, sf):
+    path = table_path(spark, "bronze_indicators")
+    wanted = [line.split()[0] for line in v.INDICATOR_SCHEMA.strip().splitlines()]
+    tables.replace_all(standins.indicators(spark, sf, *wanted), path, "anoindice")
+    return readers.read_indicators(spark, path, YEARS).select(*wanted)
+
+
 @query
 def scan_year_partition(spark, sf):
     path = table_path(spark, "bronze_events")
@@ -432,6 +440,12 @@ def dec_event_filter(spark, sf):
     return filters.dec_event_filter(rows, v.TYPES_INCLUDED, v.TYPES_EXCLUDED)
 
 
+@query
+def cause_containing(spark, sf):
+    rows = standins.events(spark, sf, *ROW, "DscFatoGeradorInterrupcao")
+    return filters.containing(rows, "DscFatoGeradorInterrupcao", "ECONOMY")
+
+
 @query
 def invalid_class(spark, sf):
     classed = conform.with_duration_class(conform.with_duration(_stamps(spark, sf), START, END))

@@ -191,6 +191,32 @@ def test_indicator_tables(spark, tmp_path):
     assert len(gold.columns) == 23
 
 
+def test_landed_indicators_to_gold(spark, tmp_path):
+    landed = standins.indicators(spark, SF_DIR).select(
+        F.col("datgeracaoconjuntodados").alias("DatGeracaoConjuntoDados"),
+        F.col("ideconjundconsumidoras").alias("IdeConjUndConsumidoras"),
+        F.col("dscconjundconsumidoras").alias("DscConjUndConsumidoras"),
+        F.col("sigagente").alias("SigAgente"), F.col("numcnpj").alias("NumCNPJ"),
+        F.col("sigindicador").alias("SigIndicador"), F.col("anoindice").alias("AnoÍndice"),
+        F.col("numperiodoindice").alias("NumPeriodoIndice"),
+        F.col("vlrindiceenviado").alias("VlrIndiceEnviado"),
+    )
+    landed.write.parquet(f"{tmp_path}/landing")
+    bronze = f"{tmp_path}/bronze"
+    for _ in range(2):
+        written = medallion.ingest_indicators(spark, f"{tmp_path}/landing", bronze, [1997, 1998], RUN)
+    want = {r[0]: r[1] for r in landed.groupBy("AnoÍndice").count().collect()}
+    assert written == {y: want[y] for y in (1997, 1998)} == by_year(spark, bronze, "anoindice")
+    extra = ", _fonte_url STRING, _ingest_ts TIMESTAMP, _ingest_date DATE, _run_id STRING"
+    stored = readers.read_indicators(spark, bronze, [1998], extra)
+    medallion.indicator_tables(spark, stored, f"{tmp_path}/s", f"{tmp_path}/g", RUN)
+    gold = spark.read.parquet(f"{tmp_path}/g")
+    assert {r[0] for r in gold.select("ano").distinct().collect()} == {1998}
+    landed.drop("SigIndicador").write.parquet(f"{tmp_path}/broken")
+    with pytest.raises(ValueError, match="sigindicador"):
+        medallion.ingest_indicators(spark, f"{tmp_path}/broken", bronze, [1998], RUN)
+
+
 def test_processed_events(spark):
     bronze = standins.events(spark, SF_DIR, *EVENT_COLUMNS)
     done = medallion.processed_events(bronze, standins.agent_regions(spark, SF_DIR), RUN, "bronze")
