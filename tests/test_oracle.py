@@ -6,7 +6,7 @@ import __spark_entry__ as driver
 from tests.comparing import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = driver.REGISTRY, driver.ORACLES
 
 
 @pytest.fixture(scope="module")
