@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from outagelens.llm import signature_tree, text_arrays
 from outagelens.llm.components import components
-from outagelens.llm.shared import stored
+from outagelens.llm.shared import may_be_member, member_bits, member_place, stored
 
 
 @dataclass(frozen=True)
@@ -26,7 +26,7 @@ class Shingling:
 
     words: int = 4
     percent: int = 85
-    extra_percent: int = 5
+    extra_percent: int = 3
     chunk_tokens: int = 1_000_000
 
 
@@ -87,14 +87,20 @@ def _signatures(shingling: Shingling):
     return work
 
 
-def _whole_sets(shingling: Shingling):
+def _whole_sets(rows: DataFrame, groups: DataFrame, shingling: Shingling) -> DataFrame:
+    """The sets of the texts that stand in a group; the texts themselves don't move."""
+    bits = member_bits(groups, "id")
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.view(np.int64) for s in shingle_sets(batch.column("body"), shingling)]
+            few = batch.filter(pa.array(may_be_member(batch.column("place").to_numpy(), shared.value)))
+            sets = [s.view(np.int64) for s in shingle_sets(few.column("body"), shingling)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("grp"), pa.array([len(s) for s in sets], pa.int64()),
-                 text_arrays.arrow_list(sets, pa.int64())], names=["id", "grp", "n", "tokens"])
-    return work
+                [few.column("id"), text_arrays.arrow_list(sets, pa.int64())], names=["id", "tokens"])
+
+    able = rows.filter("id is not null").select("id", "body", member_place("id", bits).alias("place"))
+    return able.mapInArrow(work, "id long, tokens array<long>").join(groups, "id")
 
 
 def _tile_links(percent: int):
@@ -146,9 +152,10 @@ def _need(n: Column, s: Shingling) -> Column:
 
 
 def _candidates(signatures: DataFrame, s: Shingling) -> tuple[DataFrame, DataFrame]:
-    """(id, grp) of texts that may have a link, and (id, rep) of equal sets."""
+    """(id, n, grp, tokens_sum of the group) of texts that may have a link, and classes of
+    equal sets: (code_a, code_b, n, least id, rep: the least of the ids that sent keys)."""
     classes = signatures.filter("n > 0 and id is not null").groupBy("code_a", "code_b", "n").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        F.min("id").alias("least"), F.min(F.when(F.size("keys") > 0, F.col("id"))).alias("rep"))
     keys = signatures.filter("id is not null").select("id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1").select("key")
     hits = stored(keys.join(shared, "key"))
@@ -163,10 +170,13 @@ def _candidates(signatures: DataFrame, s: Shingling) -> tuple[DataFrame, DataFra
     least = kept.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("holders")).filter("holders > 1")
     near = kept.join(least.select("key", "least"), "key").filter("id <> least").select(
         F.col("id").alias("a"), F.col("least").alias("b")).distinct()
-    return components(near).select(F.col("node").alias("id"), F.col("component").alias("grp")), classes
+    grouped = components(near).select(F.col("node").alias("id"), F.col("component").alias("grp"))
+    grouped = grouped.join(signatures.filter("size(keys) > 0").select("id", "n"), "id")
+    tokens = grouped.groupBy("grp").agg(F.sum("n").alias("tokens_sum"))
+    return stored(grouped.join(tokens, "grp")), classes
 
 
-def _large_groups(sets: DataFrame, counts: DataFrame, s: Shingling) -> DataFrame:
+def _large_groups(sets: DataFrame, s: Shingling) -> DataFrame:
     """Links of groups that one task cannot hold.
 
     Such a group is dealt into chunks by size class and hash; sets of classes further apart
@@ -178,7 +188,7 @@ def _large_groups(sets: DataFrame, counts: DataFrame, s: Shingling) -> DataFrame
     """
     widest = F.log(F.lit(100 / s.percent))
     classed = (
-        sets.join(counts.filter(F.col("tokens_sum") > s.chunk_tokens).select("grp"), "grp")
+        sets.filter(F.col("tokens_sum") > s.chunk_tokens).drop("tokens_sum")
         .withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / widest))
     )
     dealt = classed.groupBy("grp", "size_class").agg(F.sum("n").alias("sum"))
@@ -247,19 +257,14 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     signatures = stored(rows.mapInArrow(
         _signatures(shingling), "id long, n long, code_a long, code_b long, keys array<long>"))
     groups, classes = _candidates(signatures, shingling)
-    sets = stored(
-        rows.join(groups, "id").select("id", "grp", "body")
-        .mapInArrow(_whole_sets(shingling), "id long, grp long, n long, tokens array<long>")
-    )
-    counts = sets.groupBy("grp").agg(F.sum("n").alias("tokens_sum"))
-    small = sets.join(counts.filter(F.col("tokens_sum") <= shingling.chunk_tokens).select("grp"), "grp")
+    sets = stored(_whole_sets(rows, groups, shingling))
+    small = sets.filter(F.col("tokens_sum") <= shingling.chunk_tokens)
     tiles = small.select(F.col("grp").alias("tile"), "id", F.lit(0).alias("side"), F.col("id").alias("label"), "tokens")
-    links = _join_tiles(tiles, shingling.percent).union(_large_groups(sets, counts, shingling))
+    links = _join_tiles(tiles, shingling.percent).union(_large_groups(sets, shingling))
     label = components(links)
-    named = (
-        classes.join(label, classes["rep"] == label["node"], "left")
-        .select("code_a", "code_b", "n", F.coalesce("component", "rep").alias("component_id"))
-    )
+    tied = classes.join(label, classes["rep"] == label["node"], "left").withColumn("tie", F.coalesce("component", "rep"))
+    smallest = tied.groupBy("tie").agg(F.min("least").alias("component_id"))
+    named = tied.select("code_a", "code_b", "n", "tie").join(smallest, "tie").drop("tie")
     keys = ["code_a", "code_b", "n"]
     return (
         signatures.select("id", *keys).join(named, keys, "left")
