@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outagelens.llm import signature_tree, text_arrays
@@ -26,7 +27,7 @@ class Shingling:
 
     words: int = 4
     percent: int = 85
-    extra_percent: int = 3
+    extra_percent: int = 6
     chunk_tokens: int = 1_000_000
 
 
@@ -164,11 +165,17 @@ def _candidates(signatures: DataFrame, s: Shingling) -> tuple[DataFrame, DataFra
         .join(signatures.filter("size(keys) > 0").select("id", "n", "code_a", "code_b"), "id")
         .filter(F.col("hits") >= _need(F.col("n"), s))
         .join(classes.select("code_a", "code_b", "n", "rep"), ["code_a", "code_b", "n"])
-        .filter("id = rep").select("id").distinct()
+        .filter("id = rep").groupBy("id").agg(F.min("n").alias("n"))
     )
     kept = hits.join(able, "id")
-    least = kept.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("holders")).filter("holders > 1")
-    near = kept.join(least.select("key", "least"), "key").filter("id <> least").select(
+    holders = kept.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    # linked documents share as many keys as either needs: all but one of those may go, and
+    # the most frequent do, such as those of passages that many documents quote
+    own = W.partitionBy("id").orderBy(F.desc("holders"), "key")
+    rest = kept.join(holders, "key").withColumn("rank", F.row_number().over(own)).filter(
+        F.col("rank") >= _need(F.col("n"), s)).select("id", "key")
+    least = rest.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    near = rest.join(least.select("key", "least"), "key").filter("id <> least").select(
         F.col("id").alias("a"), F.col("least").alias("b")).distinct()
     grouped = components(near).select(F.col("node").alias("id"), F.col("component").alias("grp"))
     grouped = grouped.join(signatures.filter("size(keys) > 0").select("id", "n"), "id")
@@ -187,18 +194,11 @@ def _large_groups(sets: DataFrame, s: Shingling) -> DataFrame:
     passes over their group.
     """
     widest = F.log(F.lit(100 / s.percent))
-    classed = (
-        sets.filter(F.col("tokens_sum") > s.chunk_tokens).drop("tokens_sum")
-        .withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / widest))
-    )
+    classed = stored(
+        sets.drop("tokens_sum").withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / widest)))
     dealt = classed.groupBy("grp", "size_class").agg(F.sum("n").alias("sum"))
     dealt = dealt.select("grp", "size_class", (F.floor(F.col("sum") / s.chunk_tokens) + 1).alias("chunks"))
-    rows = stored(
-        classed.join(dealt, ["grp", "size_class"])
-        .withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
-    )
-    if rows.isEmpty():
-        return rows.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    rows = classed.join(dealt, ["grp", "size_class"]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
 
     def tile(size_class: Column, chunk: Column, kind: str) -> Column:
         return F.concat_ws("/", F.lit(kind), F.col("grp").cast("string"), size_class.cast("string"), chunk.cast("string"))
@@ -257,10 +257,12 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     signatures = stored(rows.mapInArrow(
         _signatures(shingling), "id long, n long, code_a long, code_b long, keys array<long>"))
     groups, classes = _candidates(signatures, shingling)
-    sets = stored(_whole_sets(rows, groups, shingling))
-    small = sets.filter(F.col("tokens_sum") <= shingling.chunk_tokens)
-    tiles = small.select(F.col("grp").alias("tile"), "id", F.lit(0).alias("side"), F.col("id").alias("label"), "tokens")
-    links = _join_tiles(tiles, shingling.percent).union(_large_groups(sets, shingling))
+    small = groups.filter(F.col("tokens_sum") <= shingling.chunk_tokens)
+    large = groups.filter(F.col("tokens_sum") > shingling.chunk_tokens)
+    tiles = _whole_sets(rows, small, shingling).select(F.col("grp").alias("tile"), "id", F.lit(0).alias("side"), F.col("id").alias("label"), "tokens")
+    links = _join_tiles(tiles, shingling.percent)
+    if not large.isEmpty():
+        links = links.union(_large_groups(_whole_sets(rows, large, shingling), shingling))
     label = components(links)
     tied = classes.join(label, classes["rep"] == label["node"], "left").withColumn("tie", F.coalesce("component", "rep"))
     smallest = tied.groupBy("tie").agg(F.min("least").alias("component_id"))
