@@ -52,7 +52,7 @@ def source_targets(sized: DataFrame, mix: Mix = Mix()) -> DataFrame:
     )
     rate = F.max(F.when(F.col("rate") * F.col("weight") <= F.col("most"), F.col("rate"))).over(whole)
     blocks = F.ceil(F.col("source_size") / mix.block_words)
-    wanted = F.round(F.col("target") / (F.col("source_size") / F.col("blocks"))).cast("long")
+    wanted = F.round(F.try_divide(F.col("target") * F.col("blocks"), F.col("source_size"))).cast("long")
     return (
         limits.withColumn("target", F.least(F.col("most"), F.coalesce(rate, F.lit(0.0)) * F.col("weight")))
         .withColumn("blocks", blocks)
