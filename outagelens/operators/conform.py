@@ -159,24 +159,32 @@ def conform_events_detailed(
 def conform_indicators_long(
     df: DataFrame, run_ts: dt.datetime | None = None, version: str = "v1.0.0"
 ) -> DataFrame:
-    """One row per conjunto, agent, month and indicator, with trimmed text and a month date."""
-    silver = df.select(
-        F.col("ideconjundconsumidoras").alias("id_conjunto_uc"),
-        F.trim("dscconjundconsumidoras").alias("conjunto_uc"),
-        F.trim("sigagente").alias("distribuidora"),
-        F.col("numcnpj").alias("cnpj"),
-        F.trim("sigindicador").alias("indicador"),
-        F.col("vlrindiceenviado").alias("valor"),
-        calendar.month_start(F.col("anoindice"), F.col("numperiodoindice")).alias("data_apuracao"),
-        F.col("anoindice").alias("ano"),
-        F.col("numperiodoindice").alias("mes"),
-        F.col("datgeracaoconjuntodados").alias("data_geracao_fonte"),
-        F.col("_fonte_url").alias("fonte_url"),
-        F.col("_ingest_ts").alias("ingest_ts_bronze"),
-        F.col("_ingest_date").alias("ingest_date_bronze"),
-        F.col("_run_id").alias("run_id_bronze"),
-        *[F.col(c) for c in df.columns if c == "_tie"],
-    )
+    """One row per conjunto, agent, month and indicator, with trimmed text and a month date.
+
+    Columns whose sources the table lacks are left out.
+    """
+    columns = {
+        "id_conjunto_uc": (F.col, "ideconjundconsumidoras"),
+        "conjunto_uc": (F.trim, "dscconjundconsumidoras"),
+        "distribuidora": (F.trim, "sigagente"),
+        "cnpj": (F.col, "numcnpj"),
+        "indicador": (F.trim, "sigindicador"),
+        "valor": (F.col, "vlrindiceenviado"),
+        "data_apuracao": (calendar.month_start, "anoindice", "numperiodoindice"),
+        "ano": (F.col, "anoindice"),
+        "mes": (F.col, "numperiodoindice"),
+        "data_geracao_fonte": (F.col, "datgeracaoconjuntodados"),
+        "fonte_url": (F.col, "_fonte_url"),
+        "ingest_ts_bronze": (F.col, "_ingest_ts"),
+        "ingest_date_bronze": (F.col, "_ingest_date"),
+        "run_id_bronze": (F.col, "_run_id"),
+        "_tie": (F.col, "_tie"),
+    }
+    silver = df.select(*[
+        make(*(F.col(s) if len(sources) > 1 else s for s in sources)).alias(name)
+        for name, (make, *sources) in columns.items()
+        if set(sources) <= set(df.columns)
+    ])
     if run_ts is None:
         return silver
     return silver.withColumns(

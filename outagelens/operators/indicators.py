@@ -30,13 +30,15 @@ def latest_wide(
     codes: list[str],
     order: list[str],
     described: list[str] | None = None,
+    every_code: bool = False,
 ) -> DataFrame:
     """Long rows to one row per key with a column per code, each its newest value.
 
     Deduplication and pivot in one aggregation: a cell keeps the value of its greatest
     ``order``, so superseded rows are dropped by the map-side partials and one exchange
     does for both. The codes are given, so no job looks for them, and other codes are
-    filtered at the scan. ``described`` columns come from the newest row of the key.
+    filtered at the scan; with ``every_code`` keys that have only other codes stay, with
+    nulls. ``described`` columns come from the newest row of the key.
     """
     newest = [
         F.max(F.when(F.col(code) == name, F.struct(*order, value))).getField(value).alias(
@@ -48,14 +50,20 @@ def latest_wide(
     if described:
         row = F.max(F.struct(*order, F.struct(*described).alias("_row")))
         extra = [row.getField("_row").alias("_newest")]
-    wide = df.filter(F.col(code).isin(codes)).groupBy(*keys).agg(*newest, *extra)
+    rows = df if every_code else df.filter(F.col(code).isin(codes))
+    wide = rows.groupBy(*keys).agg(*newest, *extra)
     names = [name.lower() for name in codes]
     return wide.select(*keys, *(["_newest.*"] if described else []), *names)
 
 
-def conjunto_month(silver: DataFrame, order: list[str], codes: list[str]) -> DataFrame:
-    """The silver long table as one row per conjunto and month, newest values."""
-    return latest_wide(silver, CONJUNTO_MONTH, "indicador", "valor", codes, order)
+def conjunto_month(
+    silver: DataFrame, order: list[str], codes: list[str], every_code: bool = False
+) -> DataFrame:
+    """The silver long table as one row per conjunto and month, newest values.
+
+    With ``every_code`` a conjunto that reported only other codes has its row too.
+    """
+    return latest_wide(silver, CONJUNTO_MONTH, "indicador", "valor", codes, order, every_code=every_code)
 
 
 def indicators_wide(

@@ -68,6 +68,21 @@ def ingest_events(
     return entries
 
 
+def newest_version(bronze: DataFrame) -> DataFrame:
+    """The rows of the newest version of each yearly file.
+
+    What an older version holds and the newest does not was withdrawn or corrected. Files
+    without a version are older than any with one.
+    """
+    newest = bronze.groupBy(F.col("_ano_fonte").alias("_year")).agg(
+        F.max("_source_last_modified").alias("_newest"))
+    return bronze.join(
+        newest,
+        F.col("_ano_fonte").eqNullSafe(F.col("_year"))
+        & F.col("_source_last_modified").eqNullSafe(F.col("_newest")),
+    ).drop("_year", "_newest")
+
+
 def silver_events(
     spark: SparkSession, bronze_path: str, silver_path: str, years: list[int],
     run_ts: dt.datetime,
@@ -78,7 +93,7 @@ def silver_events(
     from the write itself.
     """
     pin_utc(spark)
-    bronze = readers.read_events(spark, bronze_path, years, BRONZE_EXTRA)
+    bronze = newest_version(readers.read_events(spark, bronze_path, years, BRONZE_EXTRA))
     silver = dedupe.latest_per_key(
         conform.conform_events(bronze), v.NATURAL_KEY, SILVER_ORDER
     ).withColumn("_silver_timestamp", F.lit(run_ts))

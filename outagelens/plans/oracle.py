@@ -93,8 +93,7 @@ monthly AS (
     avg(valor) FILTER (WHERE indicador = 'NumCon') AS numcon_medio,
     sum(valor) FILTER (WHERE indicador = 'NumCon') AS numcon_total,
     count(DISTINCT id_conjunto_uc) AS qtd_conjuntos
-  FROM cells WHERE indicador IN ('DEC', 'DECIND', 'DECINC', 'FEC', 'NumCon')
-  GROUP BY ALL
+  FROM cells GROUP BY ALL
 ),
 gi AS (
   SELECT *, distribuidora AS sigagente, distribuidora AS codigo_distribuidora,
@@ -158,12 +157,12 @@ _VALID = """(DatFimInterrupcao IS NULL OR DatInicioInterrupcao IS NULL
     OR DatFimInterrupcao > DatInicioInterrupcao)"""
 
 _LATEST = _EV + f""",
-valid AS (SELECT * FROM ev WHERE {_VALID}),
-latest AS (
-  SELECT *, {_SECONDS} AS secs FROM valid QUALIFY row_number() OVER (
+newest AS (
+  SELECT * FROM ev QUALIFY row_number() OVER (
     PARTITION BY NumOrdemInterrupcao
     ORDER BY DatGeracaoConjuntoDados DESC, DatFimInterrupcao DESC NULLS LAST, _tie DESC) = 1
-)"""
+),
+latest AS (SELECT *, {_SECONDS} AS secs FROM newest WHERE {_VALID})"""
 
 _GOLD_OUT = _LATEST + """,
 go AS (

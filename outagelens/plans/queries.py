@@ -53,10 +53,13 @@ def _silver_events(spark, sf):
 
 
 def _valid_latest(spark, sf, *extra):
-    """Temporally valid events, newest row per order number."""
+    """The newest row per order number, if it is temporally valid.
+
+    An invalid newest row takes its event out; it does not bring back the row it replaced.
+    """
     wanted = dict.fromkeys([*ORDER_NUMBER[0], *ORDER_NUMBER[1], START, *extra])
-    valid = filters.temporal_valid(standins.events(spark, sf, *wanted))
-    return dedupe.latest_per_key(valid, *ORDER_NUMBER, ties=[])
+    newest = dedupe.latest_per_key(standins.events(spark, sf, *wanted), *ORDER_NUMBER, ties=[])
+    return filters.temporal_valid(newest)
 
 
 def _gold_outages(spark, sf, **options):
@@ -70,14 +73,23 @@ def _silver_long(spark, sf):
     return conform.conform_indicators_long(standins.indicators(spark, sf))
 
 
-def _conjuntos(spark, sf, codes):
+def _silver_measures(spark, sf):
+    """The long silver table without what only the ingestion knows, so without its join."""
+    wanted = [
+        "ideconjundconsumidoras", "dscconjundconsumidoras", "sigagente", "numcnpj", "sigindicador",
+        "vlrindiceenviado", "anoindice", "numperiodoindice", "_fonte_url", "_tie",
+    ]
+    return conform.conform_indicators_long(standins.indicators(spark, sf, *wanted))
+
+
+def _conjuntos(spark, sf, codes, every_code=False):
     return indicators.conjunto_month(
-        _silver_long(spark, sf), ["ingest_ts_bronze", "_tie"], codes
+        _silver_long(spark, sf), ["ingest_ts_bronze", "_tie"], codes, every_code
     )
 
 
 def _gold_indicators(spark, sf, **options):
-    conjuntos = _conjuntos(spark, sf, indicators.GOLD_CODES)
+    conjuntos = _conjuntos(spark, sf, indicators.GOLD_CODES, every_code=True)
     return indicators.gold_indicator_month(conjuntos, **options)
 
 
@@ -363,7 +375,7 @@ def trim_text(spark, sf):
 
 @query
 def period_month(spark, sf):
-    return _silver_long(spark, sf).select("distribuidora", "ano", "mes", "data_apuracao", "_tie")
+    return _silver_measures(spark, sf).select("distribuidora", "ano", "mes", "data_apuracao", "_tie")
 
 
 @query
@@ -547,7 +559,7 @@ def conflicting_cells(spark, sf):
 
 @query
 def dec_fec_evolution(spark, sf):
-    return indicators.dec_fec_evolution(_silver_long(spark, sf), YEAR, min_consumers=4000)
+    return indicators.dec_fec_evolution(_silver_measures(spark, sf), YEAR, min_consumers=4000)
 
 
 @query
@@ -671,7 +683,7 @@ def indicator_stats(spark, sf):
 
 @query
 def indicator_spread(spark, sf):
-    stats = indicators.value_stats(_silver_long(spark, sf), "indicador", "valor", spread=True)
+    stats = indicators.value_stats(_silver_measures(spark, sf), "indicador", "valor", spread=True)
     return stats.withColumn("desvio_padrao", F.round("desvio_padrao", 6))
 
 
@@ -685,7 +697,7 @@ def top_outage_time(spark, sf):
 
 @query
 def top_mean_dec(spark, sf):
-    return indicators.top_mean_dec(_silver_long(spark, sf))
+    return indicators.top_mean_dec(_silver_measures(spark, sf))
 
 
 @query
@@ -708,17 +720,17 @@ def variation_stats(spark, sf):
 
 @query
 def coverage(spark, sf):
-    return indicators.coverage(_silver_long(spark, sf))
+    return indicators.coverage(_silver_measures(spark, sf))
 
 
 @query
 def indicator_distribution(spark, sf):
-    return indicators.indicator_distribution(_silver_long(spark, sf))
+    return indicators.indicator_distribution(_silver_measures(spark, sf))
 
 
 @query
 def top_volume(spark, sf):
-    return indicators.top_volume(_silver_long(spark, sf))
+    return indicators.top_volume(_silver_measures(spark, sf))
 
 
 @query
@@ -875,7 +887,7 @@ def filtered_share(spark, sf):
 @query
 def null_keys(spark, sf):
     return quality.null_keys(
-        _silver_long(spark, sf),
+        _silver_measures(spark, sf),
         ["id_conjunto_uc", "conjunto_uc", "distribuidora", "indicador", "valor", "data_apuracao"],
     )
 

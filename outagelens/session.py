@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,8 +9,6 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_local_scratch: dict[str, str] = {}
-
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Local event times carry no zone; reading them in UTC keeps every hour 3600 s long."""
@@ -20,20 +17,15 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as named by ``spark.checkpoint.dir``.
+    """The folder all executors see: ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Only a local master may fall back to a fresh scratch folder; on a cluster a
-    machine-local path would be lost with its executor, so that is refused.
+    The warehouse holds the cluster's tables, so every executor reaches it too; a folder of
+    one machine would be lost with it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_scratch.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    )
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_written"
 
 
 def table_path(spark: SparkSession, name: str) -> str:
@@ -41,24 +33,6 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/outagelens/{name}-{uuid.uuid4().hex}"
 
 
-# a reducer takes what about eight input splits send it: near 1 GB before column pruning
-SPLITS_PER_REDUCER = 8
-MOST_REDUCERS = 50_000
-
-
-def size_shuffles(spark: SparkSession, splits: int) -> int:
-    """Raise the number of shuffle partitions to fit the input; never lower it.
-
-    Adaptive execution merges partitions that turn out small but cannot split one outside
-    of joins and rebalances, so the number must be high enough from the start.
-    """
-    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(-(-splits // SPLITS_PER_REDUCER), MOST_REDUCERS)
-    if wanted > now:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, now)
-
-
 @contextmanager
 def reused(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a table over several analyses and release it after.

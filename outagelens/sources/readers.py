@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from outagelens import vocabulary as v
 from outagelens.operators.filters import in_years
-from outagelens.session import size_shuffles
 
 
 def read_events(
@@ -48,23 +47,6 @@ def read_year_list(spark: SparkSession, view: str, column: str, years: list[int]
     )
 
 
-def fit_to_cluster(scan: DataFrame, key: str) -> DataFrame:
-    """Match the number of tasks to the size of a bare scan, before anything runs.
-
-    Large input, with a split per core or more, keeps its splits and gains no exchange;
-    the exchanges after it get enough partitions for its size. Small input is the
-    opposite case: a file of one row group is read by one task, which would then also do
-    all the work up to the next exchange, so its rows are spread over all cores.
-    """
-    spark = scan.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    splits = scan.rdd.getNumPartitions()
-    if splits < cores:
-        return scan.repartition(cores, key)
-    size_shuffles(spark, splits)
-    return scan
-
-
 def read_csv_landing(
     spark: SparkSession, path: str, schema: str, sep: str = ",", encoding: str = "UTF-8"
 ) -> DataFrame:

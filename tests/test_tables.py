@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from outagelens import session
 from outagelens import vocabulary as v
 from outagelens.plans import medallion
-from outagelens.plans.queries import EVENT_COLUMNS
+from outagelens.plans.queries import EVENT_COLUMNS, REGISTRY
 from outagelens.sources import ledger, readers, standins, tables
 from outagelens.streaming import landing
 
@@ -248,25 +248,35 @@ def test_dec_analysis(spark, tmp_path):
         "OK", "WARNING", "CRITICAL", "NO_REFERENCE", "NO_OBSERVATION"}
 
 
-def test_shuffles_grow_with_the_input(spark):
+def test_queries_leave_the_session_as_it_is(spark):
     now = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert session.size_shuffles(spark, 10) == int(now)
-        assert session.size_shuffles(spark, 80_000) == 10_000
-        assert session.size_shuffles(spark, 800_000) == 50_000
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "50000"
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", now)
+    REGISTRY["gold_outage_month"](spark, SF_DIR)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == now
 
 
-def test_only_small_inputs_are_spread(spark, tmp_path):
-    small = spark.range(10, numPartitions=2)
-    assert readers.fit_to_cluster(small, "id").rdd.getNumPartitions() == 8
-    large = spark.range(100, numPartitions=40)
-    assert readers.fit_to_cluster(large, "id") is large
+def test_shared_folder_is_the_warehouse_if_none_is_named(spark):
+    folder = session.shared_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert folder.startswith((named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/"))
 
 
 def test_reused_is_released(spark):
     with session.reused(spark.range(5)) as kept:
         assert kept.count() == 5 and kept.is_cached
     assert not kept.is_cached
+
+
+def test_only_the_newest_version_of_a_file_counts(spark):
+    rows = [
+        (2024, "v1", "a", "old type"), (2024, "v1", "b", "withdrawn"), (2024, "v2", "a", "new type"),
+        (2023, None, "c", "no version"), (None, "v1", "d", "no year"),
+    ]
+    bronze = spark.createDataFrame(rows, "_ano_fonte int, _source_last_modified string, event string, type string")
+    kept = {r.event: r.type for r in medallion.newest_version(bronze).collect()}
+    assert kept == {"a": "new type", "c": "no version", "d": "no year"}
+
+
+def test_gold_holds_the_events_that_the_steps_leave(spark):
+    gold = REGISTRY["gold_outage_month"](spark, SF_DIR).agg(F.sum("total_eventos")).first()[0]
+    steps = [r.asDict() for r in REGISTRY["reconcile_steps"](spark, SF_DIR).collect()]
+    assert gold in {value for row in steps for value in row.values()}
