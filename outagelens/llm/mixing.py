@@ -134,7 +134,8 @@ def _taken_pieces(rows: DataFrame, targets: DataFrame, mix: Mix) -> DataFrame:
         .withColumn("low", F.greatest(F.col("block") * size, F.col("start")))
         .withColumn("words", F.least((F.col("block") + 1) * size, end) - F.col("low"))
     )
-    return pieces.join(copies, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).select(
+    # the blocks come from a few rows by explode, so their estimated size is far too small
+    return pieces.join(copies.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).select(
         "source", "start", (F.col("low") - F.col("start")).alias("first"), "words", "copies")
 
 
