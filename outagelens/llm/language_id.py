@@ -89,7 +89,7 @@ def buckets(column: pa.Array, settings: Settings) -> Iterator[tuple[int, int, np
 def _counting(settings: Settings):
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in text_arrays.slices(batches):
             languages = batch.column("language").to_pylist()
             for low, high, found, of, _ in buckets(batch.column("body"), settings):
                 names, index = np.unique(np.array(languages[low:high], dtype=object).astype(str), return_inverse=True)
@@ -162,7 +162,7 @@ def predict(docs: DataFrame, model: Model, settings: Settings = Settings(), text
     others = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_arrays.slices(batches):
             best, scores = score_rows(batch.column(text_col), shared.value, settings)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in others], pa.array(best, pa.string()), pa.array(scores)],

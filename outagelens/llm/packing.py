@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from outagelens.llm import tokens
+from outagelens.llm import text_arrays, tokens
 from outagelens.llm.shared import stored
 
 
@@ -117,7 +117,7 @@ def _ranked(rows: DataFrame, path: str, end_id: int, windows: Windows) -> DataFr
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part = tokens.encoder(path), TaskContext.get().partitionId()
         ranks, fulls = np.zeros(size, dtype=np.int64), 0
-        for batch in batches:
+        for batch in text_arrays.slices(batches):
             out = []
             for ids in own.rows(batch.column("body")):
                 ids = np.append(ids, np.uint32(end_id))
@@ -157,7 +157,7 @@ def _pieces(slots: np.ndarray, left: np.ndarray, full: int, filled: int, windows
             at, n = at + step, n - step
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_arrays.slices(batches):
             out = []
             for row in batch.to_pylist():
                 ids = tokens.unpacked(row["ids"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,13 +15,22 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: bytes that one step of the array code looks at; only a single longer row exceeds it
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
+#: rows that one step of a task holds in Python besides the batch that Spark sent
+SLICE_ROWS = 1_024
 _PIECE = 1 << 20
 _RATIO = 0x9E3779B97F4A7C15
 _BYTE_CODES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: list[np.ndarray] = []
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of the batches in slices of few rows, so that copies of them stay small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(low, SLICE_ROWS)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all rows and the offsets between rows; a null row is empty."""
     if isinstance(column, pa.ChunkedArray):

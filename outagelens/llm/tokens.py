@@ -18,7 +18,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 WORD_END = "</w>"
 
-_GROUP_BYTES = 1 << 22
+_GROUP_BYTES = 1 << 19
 _WHITE, _LETTER, _DIGIT, _OTHER, _HARD = range(5)
 
 
@@ -200,7 +200,7 @@ def with_ids(rows: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for batch in batches:
+        for batch in text_arrays.slices(batches):
             sizes, data = [], []
             for ids in own.rows(batch.column("body")):
                 sizes.append(len(ids) + 1)
