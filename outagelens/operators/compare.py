@@ -146,9 +146,11 @@ def above_limit(
 ) -> DataFrame:
     """Distributors and years whose index exceeds the limit set for them.
 
-    ``limits`` holds (distribuidora, ano, limite_dec). No hint: its size decides the join.
+    ``limits`` holds (distribuidora, limite_dec), and ``ano`` if limits differ by year;
+    without it a limit holds in every year of ``yearly``. No hint: its size decides the join.
     """
-    joined = yearly.join(limits, ["distribuidora", "ano"], "left")
+    keys = [c for c in ("distribuidora", "ano") if c in limits.columns]
+    joined = yearly.join(limits, keys, "left")
     return joined.filter(F.col(value) > F.col("limite_dec")).withColumn(
         "excesso", F.col(value) - F.col("limite_dec")
     )

@@ -777,7 +777,7 @@ ORACLES: dict[str, str] = {
         lim AS (SELECT s_name AS distribuidora, 6.0 + (s_suppkey % 3) * 0.25 AS limite FROM supplier)
         SELECT distribuidora, ano, dec_medio, CAST(limite AS DOUBLE) AS limite_dec,
         dec_medio - CAST(limite AS DOUBLE) AS excesso
-        FROM means JOIN lim USING (distribuidora) WHERE ano BETWEEN 1995 AND 2001 AND dec_medio > limite""",
+        FROM means JOIN lim USING (distribuidora) WHERE dec_medio > limite""",
     "fec_by_region": f"""WITH {_CELLS}, {_REGIONS}, m AS (
         SELECT distribuidora, avg(valor) AS fec_medio, count(valor) AS medicoes FROM cells
         WHERE indicador = 'FEC' GROUP BY 1)

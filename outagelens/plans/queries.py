@@ -956,7 +956,7 @@ def dec_comparison(spark, sf):
 @query
 def above_limit(spark, sf):
     yearly = indicators.annual_means(_conjuntos(spark, sf, ["DEC", "FEC"]))
-    limits = standins.dec_limits(spark, sf, list(range(1995, 2002)))
+    limits = standins.dec_limits(spark, sf)
     return compare.above_limit(yearly, limits).drop("fec_medio")
 
 

@@ -185,10 +185,9 @@ def agent_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dec_limits(spark: SparkSession, sf_dir: str, years: list[int]) -> DataFrame:
-    """A yearly DEC limit per distributor."""
+def dec_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A DEC limit per distributor, the same in every year."""
     return table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("distribuidora"),
-        F.explode(F.array(*[F.lit(y).cast("bigint") for y in years])).alias("ano"),
         (F.lit(6.0) + F.col("s_suppkey") % 3 * 0.25).alias("limite_dec"),
     )

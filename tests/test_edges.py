@@ -280,6 +280,16 @@ def test_missing_months(spark):
     assert sorted((r[0], r[1].month) for r in fixed.collect()) == [("A", 1), ("B", 2)]
 
 
+def test_limits_for_all_years_or_by_year(spark):
+    yearly = spark.createDataFrame([("A", 1990, 7.0), ("A", 2030, 9.0), ("B", 2030, 9.0)],
+                                   "distribuidora STRING, ano BIGINT, dec_medio DOUBLE")
+    always = spark.createDataFrame([("A", 6.0)], "distribuidora STRING, limite_dec DOUBLE")
+    got = compare.above_limit(yearly, always).select("distribuidora", "ano", "excesso").collect()
+    assert sorted(map(tuple, got)) == [("A", 1990, 1.0), ("A", 2030, 3.0)]
+    by_year = always.withColumn("ano", F.lit(2030).cast("bigint"))
+    assert [r["ano"] for r in compare.above_limit(yearly, by_year).collect()] == [2030]
+
+
 def test_report_and_require(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", -1.0), (None, 2.0)], "k STRING, x DOUBLE")
     report = quality.check_report(df, columns=["k", "gone"], key=["k"], not_null=["k", "gone"],
