@@ -21,6 +21,17 @@ def month_number(year: Column, month: Column) -> Column:
     return year.cast("int") * 12 + month.cast("int")
 
 
+def stamp_instant(stamp: Column) -> Column:
+    """The instant that a version stamp names, as an HTTP date or as a timestamp in text;
+    null for any other text."""
+    parts = [F.regexp_extract(stamp, r"(\d{1,2})[ -]([A-Za-z]{3})[ -](\d{4}) (\d{2}:\d{2}:\d{2})", k) for k in range(1, 5)]
+    months = F.lit("janfebmaraprmayjunjulaugsepoctnovdec")
+    month = F.floor((F.position(F.lower(parts[1]), months) + 2) / 3)
+    text = F.concat(parts[2], F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-"),
+                    F.lpad(parts[0], 2, "0"), F.lit(" "), parts[3], F.lit("Z"))
+    return F.coalesce(text.try_cast("timestamp"), F.trim(stamp).try_cast("timestamp"))
+
+
 def calendar_fields(stamp: str) -> dict[str, Column]:
     """Date, month, weekday (1 = Sunday) and hour of the start of an event."""
     value = F.col(stamp)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outagelens import vocabulary as v
-from outagelens.functions import durations
+from outagelens.functions import calendar, durations
 from outagelens.operators import compare, conform, dedupe, filters, indicators, outages, quality
 from outagelens.operators.names import normalize_names
 from outagelens.session import pin_utc
@@ -69,18 +69,26 @@ def ingest_events(
 
 
 def newest_version(bronze: DataFrame) -> DataFrame:
-    """The rows of the newest version of each yearly file.
+    """The rows of the newest version of each file.
 
-    What an older version holds and the newest does not was withdrawn or corrected. Files
+    A file is a URL within a year, so a year that landed as several files keeps them all.
+    What an older version holds and the newest does not was withdrawn or corrected. Stamps
+    are compared as instants; one that names no instant counts as of its ingestion. Files
     without a version are older than any with one.
     """
-    newest = bronze.groupBy(F.col("_ano_fonte").alias("_year")).agg(
-        F.max("_source_last_modified").alias("_newest"))
+    have = bronze.columns
+    stamp = F.col("_source_last_modified")
+    url = F.col("_source_url") if "_source_url" in have else F.lit(None).cast("string")
+    ingested = F.col("_ingest_timestamp") if "_ingest_timestamp" in have else F.lit(None).cast("timestamp")
+    instant = F.coalesce(calendar.stamp_instant(stamp), ingested)
+    newest = bronze.groupBy(F.col("_ano_fonte").alias("_year"), url.alias("_file")).agg(
+        F.max_by(stamp, F.struct(stamp.isNotNull(), instant, ingested, stamp)).alias("_newest"))
     return bronze.join(
         newest,
         F.col("_ano_fonte").eqNullSafe(F.col("_year"))
-        & F.col("_source_last_modified").eqNullSafe(F.col("_newest")),
-    ).drop("_year", "_newest")
+        & url.eqNullSafe(F.col("_file"))
+        & stamp.eqNullSafe(F.col("_newest")),
+    ).drop("_year", "_file", "_newest")
 
 
 def silver_events(

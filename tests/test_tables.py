@@ -1,6 +1,7 @@
 """Tables, ledger, layer runs and stream ingest on temporary folders."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -280,3 +281,42 @@ def test_gold_holds_the_events_that_the_steps_leave(spark):
     gold = REGISTRY["gold_outage_month"](spark, SF_DIR).agg(F.sum("total_eventos")).first()[0]
     steps = [r.asDict() for r in REGISTRY["reconcile_steps"](spark, SF_DIR).collect()]
     assert gold in {value for row in steps for value in row.values()}
+
+
+def test_versions_with_http_dates_are_compared_as_instants(spark):
+    old, new = "Wed, 01 Oct 2025 12:00:00 GMT", "Tue, 02 Dec 2025 08:00:00 GMT"
+    rows = [
+        (2025, "u", old, RUN, "a", "old type"), (2025, "u", old, RUN, "b", "withdrawn"), (2025, "u", new, LATER, "a", "new type"),
+        # loaded late, but published earlier
+        (2024, "u", new, RUN, "c", "new type"), (2024, "u", old, LATER, "c", "old type"),
+        # stamps without an instant: the later load counts
+        (2023, "u", "v9", RUN, "d", "old type"), (2023, "u", "v10", LATER, "d", "new type"),
+        (2022, "u", None, LATER, "e", "no version"), (2022, "u", old, RUN, "e", "new type"),
+        (2021, "u", "2025-10-01 12:00:00.5", RUN, "f", "old type"), (2021, "u", "2025-10-01 12:00:01", RUN, "f", "new type"),
+    ]
+    bronze = spark.createDataFrame(rows, "_ano_fonte int, _source_url string, _source_last_modified string,"
+                                         " _ingest_timestamp timestamp, event string, type string")
+    kept = sorted((r.event, r.type) for r in medallion.newest_version(bronze).collect())
+    assert kept == [(e, "new type") for e in "acdef"]
+
+
+def test_republished_http_date_reaches_silver(spark, base, tmp_path):
+    bronze, silver, book = (f"{tmp_path}/{n}" for n in ("bronze", "silver", "ledger"))
+    for stamp, run in (("Wed, 01 Oct 2025 12:00:00 GMT", RUN), ("Tue, 02 Dec 2025 08:00:00 GMT", LATER)):
+        medallion.ingest_events(spark, _manifest(spark, base, stamp), bronze, book, run)
+    medallion.silver_events(spark, bronze, silver, [1997, 1998], LATER)
+    stamps = {r[0] for r in spark.read.parquet(silver).select("_source_last_modified").distinct().collect()}
+    assert stamps == {"Tue, 02 Dec 2025 08:00:00 GMT"}
+
+
+def test_year_streamed_as_two_files_stays_whole(spark, base, tmp_path):
+    events = spark.read.parquet(f"{base}/landing/1997")
+    half = F.pmod(F.xxhash64("NumOrdemInterrupcao"), F.lit(2))
+    for k in (0, 1):
+        part = f"{tmp_path}/landing/{k}"
+        events.filter(half == k).coalesce(1).write.parquet(part)
+        (file,) = [f"{part}/{n}" for n in os.listdir(part) if n.endswith(".parquet")]
+        os.utime(file, (1_700_000_000 + k * 86_400,) * 2)
+    landing.ingest_new_files(spark, f"{tmp_path}/landing/*", v.EVENT_SCHEMA, f"{tmp_path}/bronze", f"{tmp_path}/checkpoint", RUN, "1997")
+    counts = medallion.silver_events(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", [1997], RUN)
+    assert counts["bronze"] == events.count() > events.filter(half == 1).count() > 0
