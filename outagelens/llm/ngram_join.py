@@ -67,13 +67,14 @@ def _signatures(shingling: Shingling):
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             sizes, codes, keys = [], [], []
-            for tokens in shingle_sets(batch.column("body"), shingling):
+            named = batch.column("id").is_valid().to_pylist()
+            for has_id, tokens in zip(named, shingle_sets(batch.column("body"), shingling), strict=True):
                 size = len(tokens)
                 sizes.append(size)
                 code = (int(text_arrays.mix(tokens).sum(dtype=np.uint64)),
                         int(text_arrays.mix(tokens ^ _MULTIPLY[0]).sum(dtype=np.uint64)))
                 codes.append(code)
-                if not size or code in seen:
+                if not has_id or not size or code in seen:
                     keys.append(tokens[:0])
                     continue
                 seen.add(code)

@@ -169,3 +169,13 @@ def test_embeddings(spark):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
     assert got[None].component_id is None and not got[None].kept
     assert embedding_dedup.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_null_id_row_before_equal_texts(spark):
+    text = "one two three four five six seven eight nine ten"
+    near = "zero " + text
+    rows = spark.createDataFrame([(None, text), (5, text), (9, text), (4, near), (7, "another text that is alone")],
+                                 "doc_id long, text string").coalesce(1)
+    got = [(r.doc_id, r.component_id) for r in ngram_join.linked_documents(
+        rows, shingling=ngram_join.Shingling(words=4, percent=85)).collect()]
+    assert sorted(got, key=str) == [(4, 4), (5, 4), (7, 7), (9, 4), (None, None)]
