@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 
@@ -45,8 +47,9 @@ class Encoder:
     Where the file follows the rule in ``SPLIT``, texts are cut into its words as arrays, and
     only words that were not met before go to the library, in one call. White space always
     separates words, so a text's ids are those of its words in order. Words with letters
-    beyond Latin-1, apostrophes or control characters go to the library as they are. Other
-    files take the plain way, text by text.
+    beyond Latin-1, apostrophes or control characters go to the library as they are. Texts
+    that hold added tokens of the file, such as its end of text, are cut at them first, as
+    the library does. Other files take the plain way, text by text.
     """
 
     def __init__(self, path: str, most_words: int = 1 << 20) -> None:
@@ -54,7 +57,6 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.most_words = most_words
         with open(path) as file:
             told = json.load(file)
@@ -64,7 +66,11 @@ class Encoder:
             [s["type"] for s in steps] == NORMALIZERS
             and cuts[0].get("pattern", {}).get("Regex") == SPLIT
             and told["model"].get("end_of_word_suffix") == WORD_END
+            and not any(t[k] for t in told["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
         )
+        self.added = {t["content"]: t["id"] for t in told["added_tokens"]}
+        # of tokens that begin at one place the library takes the longest
+        self.cuts = re.compile("|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)))
         self.words = Tokenizer.from_file(path)
         self.words.encode_special_tokens = True
         self.words.normalizer = None
@@ -140,6 +146,25 @@ class Encoder:
             for text in column.to_pylist():
                 yield np.array(self.whole.encode(text or "", add_special_tokens=False).ids, dtype=np.uint32)
             return
+        cut = np.zeros(len(column), dtype=bool)
+        for token in self.added:
+            cut |= pc.fill_null(pc.match_substring(column, token), False).to_numpy(zero_copy_only=False)
+        if not cut.any():
+            yield from self._uncut_rows(column)
+            return
+        for low, high in text_arrays.groups(text_arrays.utf8(column)[1], _GROUP_BYTES):
+            parts, between = [], []
+            for text, some in zip(column.slice(low, high - low).to_pylist(), cut[low:high], strict=True):
+                parts += self.cuts.split(text) if some else [text]
+                between.append([self.added[t] for t in self.cuts.findall(text)] if some else [])
+            own = self._uncut_rows(pa.array(parts, pa.large_string()))
+            for tokens in between:
+                ids = [next(own)]
+                for token in tokens:
+                    ids += [np.array([token], dtype=np.uint32), next(own)]
+                yield np.concatenate(ids)
+
+    def _uncut_rows(self, column: pa.Array) -> Iterator[np.ndarray]:
         for low, high, data, offsets in text_arrays.row_groups(column, _GROUP_BYTES):
             if not len(data):
                 yield from (np.zeros(0, dtype=np.uint32) for _ in range(low, high))

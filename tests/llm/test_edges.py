@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -19,6 +20,7 @@ from outagelens.llm import (
     packing,
     pii,
     token_store,
+    tokens,
     toxicity,
 )
 
@@ -179,3 +181,24 @@ def test_null_id_row_before_equal_texts(spark):
     got = [(r.doc_id, r.component_id) for r in ngram_join.linked_documents(
         rows, shingling=ngram_join.Shingling(words=4, percent=85)).collect()]
     assert sorted(got, key=str) == [(4, 4), (5, 4), (7, 7), (9, 4), (None, None)]
+
+
+SPECIAL = [
+    "hello <|endoftext|> world", "wo<|endoftext|>rd", "<|startoftext|><|endoftext|>", "it's <|startoftext|>'s caf\u00e9",
+    "<|ENDOFTEXT|> <|endoftext", "e<|endoftext|>\u0301 x", "<|<|endoftext|>|>", "plain", "", None,
+]
+
+
+def test_added_tokens_of_the_file_are_kept(spark):
+    encode = Tokenizer.from_file(PATH).encode
+    want = [encode(t or "", add_special_tokens=False).ids for t in SPECIAL]
+    assert want[0] == [3306, 49407, 1002]
+    got = tokens.Encoder(PATH).rows(pa.array(SPECIAL * 300))
+    assert [ids.tolist() for ids in got] == want * 300
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    for r in packing.pack(docs, PATH).collect():
+        own = [*want[r.doc_id], 1]
+        assert r.doc_tokens == len(own) and r.ids_crc32 == crc(own[r.start : r.start + r.length])
+    path = session.table_path(spark, "store")
+    token_store.write(docs, path, PATH)
+    assert {r.doc_id: r.ids for r in token_store.read_ids(spark, path).collect()} == {k: [*ids, 2] for k, ids in enumerate(want)}
