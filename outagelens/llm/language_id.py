@@ -62,7 +62,9 @@ def buckets(column: pa.Array, settings: Settings) -> Iterator[tuple[int, int, np
         begins = np.append(0, np.cumsum((data & 0xC0) != 0x80))[offsets]
         wide = codes >= 1 << 16
         letters = _table[0][np.where(wide, 0, codes)]
-        letters[wide] = codes[wide]
+        if wide.any():
+            few, which = np.unique(codes[wide], return_inverse=True)
+            letters[wide] = np.array([code if chr(code).isalpha() else 0 for code in few.tolist()], dtype=np.uint32)[which]
         rows = np.repeat(np.arange(high - low), np.diff(begins))
         is_letter = letters > 0
         found, of = [], []

@@ -202,3 +202,14 @@ def test_added_tokens_of_the_file_are_kept(spark):
     path = session.table_path(spark, "store")
     token_store.write(docs, path, PATH)
     assert {r.doc_id: r.ids for r in token_store.read_ids(spark, path).collect()} == {k: [*ids, 2] for k, ids in enumerate(want)}
+
+
+def test_symbols_beyond_the_basic_plane_are_no_letters(spark):
+    texts = ["the cat sat on the mat", "der hund lag auf dem bett", "\U0001f600\U0001f680 \U0001d7d8", "\U00020000\U00020001",
+             "the\U0001f600cat", "the cat"]
+    docs = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(zip(texts, ["en", "de"] + [None] * 4, strict=True))],
+                                 "doc_id long, text string, lang string")
+    rows = {r.doc_id: r for r in language_id.predict(docs, language_id.train(docs)).collect()}
+    assert (rows[2].lang_pred, rows[2].lang_score) == ("und", 0)
+    assert rows[3].lang_pred != "und" and rows[3].lang_score > 0
+    assert (rows[4].lang_pred, rows[4].lang_score) == (rows[5].lang_pred, rows[5].lang_score)
