@@ -121,10 +121,11 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
     )
 
 
-def _taken_pieces(rows: DataFrame, targets: DataFrame, mix: Mix) -> DataFrame:
-    """(source, start, first, words, copies): pieces of documents that the mix takes."""
-    copies = slots(targets, mix).groupBy("source", "block").agg(F.count(F.lit(1)).alias("copies"))
-    copies = copies.select(F.col("source").alias("s"), F.col("block").alias("b"), "copies")
+def _taken_pieces(rows: DataFrame, targets: DataFrame, mix: Mix, by: tuple[str, ...] = ()) -> DataFrame:
+    """(source, start, first, words, copies): pieces of documents that the mix takes; with
+    ``by`` ("shard",) those of each shard."""
+    copies = slots(targets, mix).groupBy("source", "block", *by).agg(F.count(F.lit(1)).alias("copies"))
+    copies = copies.select(F.col("source").alias("s"), F.col("block").alias("b"), *by, "copies")
     end = F.col("start") + F.col("size")
     size = F.lit(mix.block_words)
     pieces = (
@@ -136,7 +137,14 @@ def _taken_pieces(rows: DataFrame, targets: DataFrame, mix: Mix) -> DataFrame:
     )
     # the blocks come from a few rows by explode, so their estimated size is far too small
     return pieces.join(copies.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).select(
-        "source", "start", (F.col("low") - F.col("start")).alias("first"), "words", "copies")
+        "source", "start", *by, (F.col("low") - F.col("start")).alias("first"), "words", "copies")
+
+
+def shard_counts(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text",
+                 source_col: str = "source") -> DataFrame:
+    """(shard, source, slots): the blocks of each source that were dealt to each output shard."""
+    targets = source_targets(_sized(docs, id_col, text_col, source_col), mix)
+    return slots(targets, mix).groupBy("shard", "source").agg(F.count(F.lit(1)).alias("slots"))
 
 
 def mix_sizes(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text",
@@ -170,24 +178,27 @@ def mix_sizes(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_co
 
 
 def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text",
-                    source_col: str = "source") -> DataFrame:
+                    source_col: str = "source", shard_col: str | None = None) -> DataFrame:
     """The documents of the mix: each with the words taken from it, repeats after a newline.
 
     Spaces before a word stay with it. Documents of which nothing is taken go. All other
-    columns stay as they are. Defined results as for ``mix_sizes``.
+    columns stay as they are. With ``shard_col`` a document has one row for each output shard
+    that takes words of it, and a column of that name; all rows of a shard are that shard's
+    mix. Defined results as for ``mix_sizes``.
     """
+    by = ("shard",) if shard_col else ()
     sized = _sized(docs, id_col, text_col, source_col)
     numbered = W.partitionBy("id", "version", "source").orderBy("start")
     rows = placed(sized, mix)
     pieces = (
-        _taken_pieces(rows, source_targets(sized, mix), mix).groupBy("source", "start")
+        _taken_pieces(rows, source_targets(sized, mix), mix, by).groupBy("source", "start", *by)
         .agg(F.sort_array(F.collect_list(F.struct("first", "words", "copies"))).alias("pieces"))
-        .select(F.col("source").alias("s"), F.col("start").alias("p"), "pieces")
+        .select(F.col("source").alias("s"), F.col("start").alias("p"), *by, "pieces")
     )
     chosen = (
         rows.withColumn("copy", F.row_number().over(numbered))
         .join(pieces, F.col("source").eqNullSafe(F.col("s")) & (F.col("start") == F.col("p")) & (F.col("size") > 0))
-        .select(F.col("id").alias("i"), F.col("version").alias("v"), F.col("source").alias("o"), F.col("copy").alias("c"), "pieces")
+        .select(F.col("id").alias("i"), F.col("version").alias("v"), F.col("source").alias("o"), F.col("copy").alias("c"), *by, "pieces")
     )
     own = W.partitionBy("id", "version", "source").orderBy(F.lit(1))
     texts = docs.select(
@@ -207,4 +218,5 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", t
     # binding the words to a lambda variable finds them once, not once a piece
     text = F.transform(F.array(found), lambda all_words: F.array_join(
         F.transform(F.sequence(F.lit(1).cast("long"), most), lambda turn: again(all_words, turn)), "\n"))[0]
-    return joined.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+    return joined.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns],
+                         *[F.col(c).alias(shard_col) for c in by])

@@ -213,3 +213,18 @@ def test_symbols_beyond_the_basic_plane_are_no_letters(spark):
     assert (rows[2].lang_pred, rows[2].lang_score) == ("und", 0)
     assert rows[3].lang_pred != "und" and rows[3].lang_score > 0
     assert (rows[4].lang_pred, rows[4].lang_score) == (rows[5].lang_pred, rows[5].lang_score)
+
+
+def test_shards_of_the_mix(spark):
+    mix = mixing.Mix(block_words=4, shard_slots=8)
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(8)), "abc"[k % 3]) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    counts = {(r.shard, r.source): r.slots for r in mixing.shard_counts(docs, mix).collect()}
+    assert len({shard for shard, _ in counts}) > 5
+    words, by_doc = {}, {}
+    for r in mixing.mixed_documents(docs, mix, shard_col="part").collect():
+        n = len(r.text.split())
+        words[r.part, r.source] = words.get((r.part, r.source), 0) + n
+        by_doc[r.doc_id] = by_doc.get(r.doc_id, 0) + n
+    assert words == {key: n * 4 for key, n in counts.items()}
+    assert by_doc == {r.doc_id: r.taken for r in mixing.mix_sizes(docs, mix).collect() if r.taken}
