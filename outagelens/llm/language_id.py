@@ -18,7 +18,7 @@ _MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: rows of each language the model learns from, about, chosen by hash;
+    """``sample``: texts of each language the model learns from, about, chosen by hash;
     ``bits``: of an n-gram's bucket; ``most_order``: characters of an n-gram at most."""
 
     sample: int = 4_000
@@ -109,15 +109,21 @@ def _counting(settings: Settings):
 def train(labelled: DataFrame, settings: Settings = Settings(), text_col: str = "text", label_col: str = "lang") -> Model:
     """A model from rows with a text and a language; rows without either teach nothing.
 
-    About ``sample`` rows of each language are taken, by a hash of their text. N-grams are
+    About ``sample`` distinct texts of each language are taken, by hash, and count once each;
+    priors count all rows. N-grams are
     counted in the tasks and summed by language and bucket: that table, bounded by languages
     and buckets, is the model.
     """
     rows = labelled.select(F.col(label_col).alias("language"), F.col(text_col).alias("body")).filter(
         "language is not null and body is not null")
-    sizes = rows.groupBy("language").agg(F.count(F.lit(1)).alias("size"))
-    share = F.pmod(F.xxhash64("body"), F.lit(1 << 20)) * F.col("size") < F.lit(settings.sample << 20)
-    sample = rows.join(F.broadcast(sizes), "language").filter(share).select("language", "body")
+    sizes = (
+        rows.groupBy("language", F.xxhash64("body").alias("code")).agg(F.count(F.lit(1)).alias("copies"))
+        .groupBy("language").agg(F.sum("copies").alias("size"), F.count(F.lit(1)).alias("texts")).toArrow()
+    )
+    known = dict(zip(sizes.column("language").to_pylist(), sizes.column("size").to_pylist(), strict=True))
+    texts = labelled.sparkSession.createDataFrame(sizes).select("language", "texts")
+    share = F.pmod(F.xxhash64("body"), F.lit(1 << 20)) * F.col("texts") < F.lit(settings.sample << 20)
+    sample = rows.join(F.broadcast(texts), "language").filter(share).select("language", "body").distinct()
     counts = (
         sample.mapInArrow(_counting(settings), "language string, bucket long, n long")
         .groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
@@ -130,7 +136,6 @@ def train(labelled: DataFrame, settings: Settings = Settings(), text_col: str =
     table += settings.smoothing
     weights = np.log(table) - np.log(table[1:].sum(axis=0, keepdims=True)) if languages else table
     weights[0] = 0
-    known = {r["language"]: r["size"] for r in sizes.collect()}
     priors = np.log(np.array([known[x] for x in languages], dtype=np.float64)) if languages else np.zeros(0)
     return Model(languages, weights, priors)
 

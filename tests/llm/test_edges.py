@@ -228,3 +228,16 @@ def test_shards_of_the_mix(spark):
         by_doc[r.doc_id] = by_doc.get(r.doc_id, 0) + n
     assert words == {key: n * 4 for key, n in counts.items()}
     assert by_doc == {r.doc_id: r.taken for r in mixing.mix_sizes(docs, mix).collect() if r.taken}
+
+
+def test_copies_of_a_text_teach_the_language_once(spark):
+    rows = [(f"some english words {k} {chr(97 + k % 26) * 3}", "en") for k in range(300)]
+    rows += [(f"ein paar deutsche w\u00f6rter {chr(97 + k % 26) * 4}", "de") for k in range(300)]
+    distinct = spark.createDataFrame(sorted(set(rows)), "text string, lang string")
+    settings = language_id.Settings(sample=20)
+    want = language_id.train(distinct, settings)
+    for copied in ("some english words 1 bbb", rows[7][0]):
+        docs = distinct.union(spark.createDataFrame([(copied, "en")] * 400, "text string, lang string"))
+        got = language_id.train(docs, settings)
+        assert np.array_equal(got.weights, want.weights)
+        assert got.priors[got.languages.index("en")] == np.log(700)
