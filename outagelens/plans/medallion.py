@@ -57,7 +57,7 @@ def ingest_events(
                 stamped, bronze_path, ["_ano_fonte", "_source_last_modified"]
             )
         except Exception as failure:
-            problem = str(failure).splitlines()[0][:500]
+            problem = str(failure)
         outcomes.append((SOURCE, item["ano"], count, problem))
     outcome = spark.createDataFrame(
         outcomes, "fonte STRING, ano INT, num_registros BIGINT, erro STRING"

@@ -320,3 +320,16 @@ def test_year_streamed_as_two_files_stays_whole(spark, base, tmp_path):
     landing.ingest_new_files(spark, f"{tmp_path}/landing/*", v.EVENT_SCHEMA, f"{tmp_path}/bronze", f"{tmp_path}/checkpoint", RUN, "1997")
     counts = medallion.silver_events(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", [1997], RUN)
     assert counts["bronze"] == events.count() > events.filter(half == 1).count() > 0
+
+
+def test_failures_are_kept_whole_in_the_ledger(spark, tmp_path, monkeypatch):
+    told = {"a": "first line\n" + "x" * 1_000, "b": ""}
+
+    def fail(spark, path):
+        raise ValueError(told[path])
+
+    monkeypatch.setattr(medallion.readers, "read_events", fail)
+    manifest = spark.createDataFrame([("interrupcoes", 2024, "a", "v1"), ("interrupcoes", 2025, "b", "v1")], MANIFEST)
+    medallion.ingest_events(spark, manifest, f"{tmp_path}/b", f"{tmp_path}/l", RUN)
+    stored = ledger.read_ledger(spark, f"{tmp_path}/l").collect()
+    assert {r["url"]: (r["status"], r["mensagem"]) for r in stored} == {u: ("ERROR", t) for u, t in told.items()}
