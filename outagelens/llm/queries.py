@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from outagelens import session
 from outagelens.llm import (
+    chat_format,
+    conversation_repair,
     embedding_dedup,
     exact_dedup,
     language_id,
@@ -16,6 +19,7 @@ from outagelens.llm import (
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     pii,
     token_store,
     toxicity,
@@ -70,10 +74,70 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"), near=embedding_dedup.Near(cosine=0.93))
 
 
+def _lines(rows: Column, line: Callable[[Column], Column]) -> Column:
+    """One line per element of an array, each ended by a line feed."""
+    return F.array_join(F.transform(rows, lambda r: F.concat(line(r), F.lit("\n"))), "")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_periodic_tail(_table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(docs)
+    greatest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("finer"))))
+    return found.withColumn("run", greatest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("run.before")).alias("start"),
+        F.col("run.length").alias("length"),
+        (-F.col("run.finer")).alias("period"),
+        F.floor(F.lit(-1000) * F.col("run.length") / F.col("run.finer")).alias("exponent_milli"),
+        F.sha2(_lines(F.col("runs"), lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = F.lit(f"{chat_format.END}{chat_format.START}assistant ok")
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), control.alias("text"))
+    convs = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    pieces = chat_format.read_back(chat_format.formatted(convs)).select(
+        "conv_id", "part",
+        F.size("turns").cast("long").alias("n_turns"),
+        _lines(F.col("turns"), lambda t: F.concat(t["role"], F.lit("\n"), t["text"])).alias("turns"),
+        F.array_join("loss", "").alias("loss"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+    whole = pieces.groupBy("conv_id").agg(
+        F.sum("n_turns").alias("n_turns"),
+        F.sort_array(F.collect_list(F.struct("part", "turns", "loss"))).alias("parts"),
+        F.sum("formatted_chars").alias("formatted_chars"),
+    )
+    loss = F.array_join("parts.loss", "")
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(F.array_join("parts.turns", ""), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = _table(spark, sf_dir, "conversations")
+    found = conversation_repair.repaired(conversation_repair.damaged(convs)).withColumnRenamed("conv_id", "_id")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    text = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["text"])), "\n")
+    return (
+        convs.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("_id")), "left")
+        .select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+                F.coalesce("audit", F.lit("")).alias("audit"),
+                F.sha2(F.coalesce(text, F.lit("")), 256).alias("repaired_sha256"))
+    )
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_pii, op2_exact_dedup, op3_language_id, op4_packing, op5_token_store, op6_ngram_join,
-              op7_toxicity, op8_line_dedup, op9_mixing, op10_embedding_dedup)
+              op7_toxicity, op8_line_dedup, op9_mixing, op10_embedding_dedup, op11_periodic_runs,
+              op12_chat_format, op13_conversation_repair)
 }
 
 ORACLES: dict[str, str] = {

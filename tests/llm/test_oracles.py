@@ -14,4 +14,4 @@ def test_matches_oracle(name, spark):
 
 
 def test_all_operators_are_registered():
-    assert {name.split("_")[0] for name in driver.LLM_QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {name.split("_")[0] for name in driver.LLM_QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
