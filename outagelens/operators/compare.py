@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from outagelens import vocabulary as v
@@ -156,6 +156,45 @@ def above_limit(
     )
 
 
+def limit_as_of(
+    readings: DataFrame, limits: DataFrame, value: str, date: str, agent: str = "distribuidora"
+) -> DataFrame:
+    """Readings with the limit in force on their date, and how they stand to it.
+
+    ``limits`` holds (agent, valido_desde, limite_dec); a limit holds from its day until the
+    next one of its agent. Both tables stand in one sequence per agent, by date, and every
+    reading takes the last limit before it or on its day: no product of readings and limits,
+    one exchange by agent. Readings are monthly figures, so an agent has few of them.
+
+    Adds valido_desde, limite_dec, excesso and situacao: ACIMA, DENTRO, SEM_LIMITE (no limit
+    yet, or agent without one) or SEM_MEDICAO. Every reading stays. Limits without a day or a
+    value never hold; of several on one day the strictest does.
+    """
+    names = readings.columns
+    given = limits.filter("valido_desde is not null and limite_dec is not null").select(
+        F.col(agent).alias("_agent"), F.col("valido_desde").cast("date").alias("_day"),
+        F.struct(F.col("valido_desde").cast("date").alias("day"), F.col("limite_dec").cast("double").alias("limit")).alias("_limit"))
+    asked = readings.select(
+        F.col(agent).alias("_agent"), F.col(date).cast("date").alias("_day"), F.struct(*names).alias("_reading"))
+    both = given.withColumn("_reading", F.lit(None).cast(asked.schema["_reading"].dataType)).unionByName(
+        asked.withColumn("_limit", F.lit(None).cast(given.schema["_limit"].dataType)))
+    # a limit of the same day comes before the reading, the strictest last
+    in_time = (
+        Window.partitionBy("_agent")
+        .orderBy(F.col("_day").asc_nulls_first(), F.col("_reading").isNotNull(), F.col("_limit.limit").desc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    held = both.withColumn("_held", F.last("_limit", ignorenulls=True).over(in_time)).filter("_reading is not null")
+    limit = F.col("_held.limit")
+    joined = held.select("_reading.*", F.col("_held.day").alias("valido_desde"), limit.alias("limite_dec"))
+    above = F.col(value) > F.col("limite_dec")
+    return joined.withColumns({
+        "excesso": F.when(above, F.col(value) - F.col("limite_dec")),
+        "situacao": F.when(F.col("limite_dec").isNull(), "SEM_LIMITE").when(F.col(value).isNull(), "SEM_MEDICAO")
+        .when(above, "ACIMA").otherwise("DENTRO"),
+    })
+
+
 def fec_by_region(conjuntos: DataFrame, mapping: DataFrame) -> DataFrame:
     """Mean FEC per region and distributor; the mapping meets one row per distributor."""
     means = conjuntos.groupBy("distribuidora").agg(

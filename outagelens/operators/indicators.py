@@ -343,6 +343,39 @@ def month_jumps(gold: DataFrame, min_percent: float) -> DataFrame:
     )
 
 
+def _median(values: Column) -> Column:
+    """Of an array without nulls; null if it is empty."""
+    ranked, half = F.array_sort(values), F.size(values) / 2
+    lower, upper = F.get(ranked, F.ceil(half).cast("int") - 1), F.get(ranked, F.floor(half).cast("int"))
+    return (lower + upper) / 2
+
+
+def robust_jumps(gold: DataFrame, months: int = 12, min_history: int = 6, threshold: float = 3.5) -> DataFrame:
+    """Months whose mean DEC lies far above what the ``months`` before it were.
+
+    The baseline is the median of the months on record among them, counted by the calendar,
+    so a gap in the series makes the history shorter and not older; ``desvios`` is the
+    distance in median absolute deviations, scaled as standard deviations are. A history in
+    which more than half the months are equal has no spread: any rise above it counts, and
+    desvios is null. Months with fewer than ``min_history`` values before them are not judged.
+
+    The window runs over monthly rows, of which a distributor has as many as there are months
+    on record, and holds ``months`` values of them at a time.
+    """
+    number = calendar.month_number(F.col("ano"), F.col("mes"))
+    past = Window.partitionBy("distribuidora").orderBy("_m").rangeBetween(-months, -1)
+    seen = gold.select("distribuidora", "ano", "mes", "dec_medio", number.alias("_m")).withColumn(
+        "_past", F.collect_list("dec_medio").over(past))
+    based = seen.withColumn("mediana", _median(F.col("_past")))
+    spread = based.withColumn("mad", _median(F.transform("_past", lambda x: F.abs(x - F.col("mediana")))))
+    rise = F.col("dec_medio") - F.col("mediana")
+    judged = spread.withColumn("desvios", F.when(F.col("mad") > 0, rise / (F.col("mad") * F.lit(1.4826))))
+    sudden = F.when(F.col("mad") > 0, F.col("desvios") > threshold).otherwise(rise > 0)
+    return judged.filter((F.size("_past") >= min_history) & sudden).select(
+        "distribuidora", "ano", "mes", "dec_medio", F.size("_past").cast("bigint").alias("historico"),
+        "mediana", "mad", "desvios")
+
+
 def month_rank(gold: DataFrame, places: int = 3) -> DataFrame:
     """The worst distributors of each month."""
     return gold.filter(F.col("ranking_dec_mes") <= places).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outagelens import vocabulary as v
@@ -109,3 +109,42 @@ def missing_months(
     return series.select(
         *keys, F.explode(F.array_except(period, F.col("_have"))).alias("mes_ausente")
     )
+
+
+def missing_ranges(
+    df: DataFrame, keys: list[str], year: str, month: str,
+    first: dt.date | None = None, last: dt.date | None = None,
+) -> DataFrame:
+    """Stretches of months between ``first`` and ``last`` without a row of a series.
+
+    One row per stretch: the keys, primeiro_mes, ultimo_mes and meses, their number. Without
+    bounds the period is that of the whole table. Each series is reduced to its distinct
+    months before they are put in order, so a series with a third of all rows has no more of
+    them than the period; the result grows with the gaps and not with the calendar.
+
+    Defined results: rows whose month is unknown or outside the bounds only tell that the
+    series exists; a series without any month inside them misses the whole period.
+    """
+    valid = F.col(month).between(1, 12)
+    number = F.when(valid, calendar.month_number(F.col(year), F.col(month) - 1))
+    months = df.select(*keys, number.alias("_m")).distinct()
+    span = months.agg(F.struct(F.min("_m").alias("lo"), F.max("_m").alias("hi"))).scalar()
+    lo = F.lit(first.year * 12 + first.month - 1) if first else span.getField("lo")
+    hi = F.lit(last.year * 12 + last.month - 1) if last else span.getField("hi")
+    inside = F.coalesce(F.least(F.greatest("_m", lo - 1), hi + 1), lo - 1)
+    in_order = Window.partitionBy(*keys).orderBy("_m")
+    steps = months.withColumn("_m", inside).withColumns({
+        "_before": F.coalesce(F.lag("_m").over(in_order) + 1, lo),
+        "_after": F.when(F.lead("_m").over(in_order).isNull(), hi),
+    })
+    gaps = F.array(
+        F.struct(F.col("_before").alias("a"), (F.col("_m") - 1).alias("b")),
+        F.struct((F.col("_m") + 1).alias("a"), F.col("_after").alias("b")),
+    )
+
+    def day(n: Column) -> Column:
+        return F.make_date(F.floor(n / 12).cast("int"), (n % 12 + 1).cast("int"), F.lit(1))
+
+    return steps.select(*keys, F.inline(gaps)).filter("a <= b").select(
+        *keys, day(F.col("a")).alias("primeiro_mes"), day(F.col("b")).alias("ultimo_mes"),
+        (F.col("b") - F.col("a") + 1).cast("bigint").alias("meses"))

@@ -207,6 +207,26 @@ def cause_analysis(
     )
 
 
+def cause_rollup(
+    df: DataFrame, levels: list[str], start: str, end: str, consumers: str
+) -> DataFrame:
+    """Totals of every node of the cause tree, from its leaves to the whole.
+
+    ``nivel`` tells how many levels a row names: 0 is the total. A level that an event lacks
+    is null at any ``nivel``, so only that column tells a missing cause from a subtotal. Every
+    row is expanded to its path of nodes and reduced in the map tasks, then exchanged once;
+    seconds and counts are integers, so each node is exactly the sum of those below it.
+    """
+    seconds = F.coalesce(durations.elapsed_seconds(start, end), F.lit(0))
+    named = len(levels) - F.bit_count("_grouping")
+    return df.rollup(*levels).agg(
+        F.grouping_id().alias("_grouping"),
+        F.count(F.lit(1)).alias("qtd_eventos"),
+        F.sum(seconds).alias("total_segundos"),
+        F.sum(consumers).alias("consumidores_afetados"),
+    ).select(named.cast("int").alias("nivel"), *levels, "qtd_eventos", "total_segundos", "consumidores_afetados")
+
+
 def top_cause(df: DataFrame, agent: str, cause: str) -> DataFrame:
     """The most frequent cause of each distributor, the first by name among equals."""
     counted = count_by(df.filter(F.col(cause).isNotNull()), agent, cause, name="qtd_eventos")

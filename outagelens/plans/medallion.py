@@ -16,12 +16,16 @@ from outagelens import vocabulary as v
 from outagelens.functions import calendar, durations
 from outagelens.operators import compare, conform, dedupe, filters, indicators, outages, quality
 from outagelens.operators.names import normalize_names
+from outagelens.plans import merging
 from outagelens.session import pin_utc
-from outagelens.sources import ledger, readers, tables
+from outagelens.sources import landed as landed_files
+from outagelens.sources import ledger, metrics, readers, tables
 
-SOURCE = "interrupcoes"
+SOURCE, SERIES = "interrupcoes", "indicadores"
 BRONZE_EXTRA = """, _ingest_timestamp TIMESTAMP, _source_url STRING,
     _source_last_modified STRING, _ano_fonte INT"""
+#: a version of a file is a partition; its URL stands there as a digest, as names are short
+BRONZE_PARTITIONS = ["_ano_fonte", "_source_last_modified", "_source_file"]
 SILVER_EVENTS = """cod_distribuidora STRING, data_inicio TIMESTAMP_NTZ, conjunto STRING,
     tipo_interrupcao STRING, data_fim TIMESTAMP_NTZ, origem_interrupcao STRING,
     tempo_interrupcao_minutos DOUBLE, _ingest_timestamp TIMESTAMP, _source_url STRING,
@@ -31,39 +35,86 @@ SILVER_ORDER = ["_ingest_timestamp", "data_fim"]
 
 def ingest_events(
     spark: SparkSession, manifest: DataFrame, bronze_path: str, ledger_path: str,
-    run_ts: dt.datetime,
+    run_ts: dt.datetime, metrics_path: str | None = None, rejected_path: str | None = None,
 ) -> DataFrame:
     """Load the landed files of a manifest that the ledger does not know yet.
 
-    Bronze keeps every version of a year in a partition of its own, replaced as a whole.
+    All pending files are read as one table, twice: key columns only, to find per file what
+    cannot be read or holds rows without them, then whole, into bronze. Rows know their file,
+    so each gets the stamp of its own manifest row; no file waits for another. A file that
+    fails becomes an error row and does not stop the others.
+
+    Bronze keeps every version of every file in a partition of its own, replaced as a whole.
     Data is written first and the ledger row after, so a crash in between is repaired by
-    the next run. A file that fails becomes an error row and does not stop the others.
-    The manifest is one row per yearly file; only that list reaches the driver.
+    the next run. Only the manifest and one line per file reach the driver.
+
+    Files are Parquet; with ``rejected_path`` they are delimited text with a header. Lines that
+    don't fit the schema then go there, in the same partitions as the rest goes to bronze,
+    with file and reason, and the ledger counts them.
     """
     pin_utc(spark)
-    todo = ledger.pending(manifest, ledger.read_ledger(spark, ledger_path))
-    outcomes = []
-    for item in todo.select("ano", "url", "last_modified").collect():
-        count, problem = 0, None
-        try:
-            landed = readers.read_events(spark, item["url"])
-            stamped = readers.stamp(
-                landed, "source", item["url"], run_ts, item["last_modified"], item["ano"]
-            )
-            # a row without key, agent and start: the file has other columns than declared
-            empty = ~filters.any_present(["NumOrdemInterrupcao", "SigAgente", "DatInicioInterrupcao"])
-            quality.require(quality.check_report(landed, conditions={"linha_vazia": empty}))
-            count = tables.replace_partitions(
-                stamped, bronze_path, ["_ano_fonte", "_source_last_modified"]
-            )
-        except Exception as failure:
-            problem = str(failure)
-        outcomes.append((SOURCE, item["ano"], count, problem))
+    pending = ledger.pending(manifest, ledger.read_ledger(spark, ledger_path))
+    todo = pending.select(*ledger.VERSION_KEY).distinct().collect()
+    items = list(enumerate(todo))
+
+    def landed(chosen: list) -> DataFrame:
+        urls = [item["url"] for _, item in chosen]
+        if rejected_path is None:
+            return landed_files.with_file_path(readers.read_events(spark, urls if len(urls) > 1 else urls[0]))
+        return landed_files.with_file_path(readers.read_csv_checked(spark, urls, v.EVENT_SCHEMA))
+
+    def probe(chosen: list) -> dict[int, list[tuple]]:
+        # a row without key, agent and start: the file has other columns than declared
+        empty = ~filters.any_present(["NumOrdemInterrupcao", "SigAgente", "DatInicioInterrupcao"])
+        fits = F.lit(True) if rejected_path is None else F.col(readers.RAW_LINE).isNull()
+        per_file = landed(chosen).groupBy(landed_files.FILE_PATH).agg(
+            F.count_if(fits).alias("linhas"), F.count_if(fits & empty).alias("vazias"),
+            F.count_if(~fits).alias("rejeitadas")).collect()
+        owners = landed_files.owners(spark, [item["url"] for _, item in chosen], [r[0] for r in per_file])
+        found: dict[int, list[tuple]] = {place: [] for place, _ in chosen}
+        for row in per_file:
+            for k in owners[row[0]]:
+                found[chosen[k][0]].append(tuple(row))
+        return found
+
+    seen, problems = landed_files.by_halves(items, probe)
+    for place, files in seen.items():
+        if empty := sum(f[2] for f in files):
+            problems[place] = f"checks failed: linha_vazia={empty}"
+
+    def store(chosen: list, part, path: str, column: int) -> None:
+        """Those rows of the files that ``part`` leaves, as many as the probe found."""
+        files = [
+            {landed_files.FILE_PATH: f[0], "url": item["url"], "ano": item["ano"], "last_modified": item["last_modified"]}
+            for place, item in chosen for f in seen[place] if f[column]
+        ]
+        if not files:
+            return
+        stamped = readers.stamp(
+            landed_files.with_owner(part(landed(chosen)), files), "source", F.col("url"), run_ts,
+            F.col("last_modified"), F.col("ano"),
+        ).withColumn("_source_file", F.md5("url")).drop("url", "ano", "last_modified")
+        written = tables.replace_partitions(stamped, path, BRONZE_PARTITIONS)
+        expected = sum(f[column] for place, _ in chosen for f in seen[place])
+        if written != expected:
+            raise ValueError(f"{written} rows written of {expected} found in the files")
+
+    def load(chosen: list) -> dict[int, tuple[int, int]]:
+        store(chosen, (lambda rows: rows) if rejected_path is None else readers.accepted, bronze_path, 1)
+        if rejected_path is not None:
+            bad = [(place, item) for place, item in chosen if any(f[3] for f in seen[place])]
+            store(bad, lambda rows: readers.rejected(rows, v.EVENT_SCHEMA), rejected_path, 3)
+        return {place: (sum(f[1] for f in seen[place]), sum(f[3] for f in seen[place])) for place, _ in chosen}
+
+    counts, failed = landed_files.by_halves([(p, item) for p, item in items if p not in problems], load)
+    problems |= failed
     outcome = spark.createDataFrame(
-        outcomes, "fonte STRING, ano INT, num_registros BIGINT, erro STRING"
+        [(*item, *counts.get(place, (0, 0)), problems.get(place)) for place, item in items],
+        "fonte STRING, ano INT, url STRING, last_modified STRING, num_registros BIGINT, rejeitadas BIGINT, erro STRING",
     )
-    attempted = todo.withColumn("ano", F.col("ano").cast("int"))
-    entries = ledger.ledger_entries(attempted, outcome, run_ts)
+    entries = ledger.ledger_entries(outcome.select(*ledger.VERSION_KEY), outcome, run_ts)
+    metrics.record(spark, metrics_path, run_ts, SOURCE, "bronze", {
+        (item["ano"], item["url"]): {"linhas": counts[place][0]} for place, item in items if place in counts})
     ledger.append_entries(entries, ledger_path)
     return entries
 
@@ -93,34 +144,43 @@ def newest_version(bronze: DataFrame) -> DataFrame:
 
 def silver_events(
     spark: SparkSession, bronze_path: str, silver_path: str, years: list[int],
-    run_ts: dt.datetime,
+    run_ts: dt.datetime, metrics_path: str | None = None,
 ) -> dict[str, int]:
-    """Conform and deduplicate the given source years and replace them in silver.
+    """Conform the given source years and merge them into silver, one row per event.
 
-    Returns the rows of each stage: read and usable from a scan of one column, written
-    from the write itself.
+    An event that also stands in the file of another year is kept once, its newest row, as
+    if both years had been loaded at once; only years that share an event are rewritten
+    besides. Returns the rows of each stage: read and usable from a scan of one column,
+    written from the write itself.
     """
     pin_utc(spark)
-    bronze = newest_version(readers.read_events(spark, bronze_path, years, BRONZE_EXTRA))
-    silver = dedupe.latest_per_key(
-        conform.conform_events(bronze), v.NATURAL_KEY, SILVER_ORDER
-    ).withColumn("_silver_timestamp", F.lit(run_ts))
-    written = sum(tables.replace_years(silver, silver_path, "_ano_fonte", years, ["data_inicio"]).values())
-    read = bronze.agg(
+
+    def newest(chosen: list[int]) -> DataFrame:
+        return newest_version(readers.read_events(spark, bronze_path, chosen, BRONZE_EXTRA)).drop("_source_file")
+
+    written = merging.merge_years(
+        spark, lambda chosen: conform.conform_events(newest(chosen)), silver_path, years,
+        v.NATURAL_KEY, SILVER_ORDER, "_ano_fonte", {"_silver_timestamp": F.lit(run_ts)}, ["data_inicio"],
+        {"segundos": durations.exact_seconds(F.col("tempo_interrupcao_minutos"))},
+    )
+    metrics.record(spark, metrics_path, run_ts, SOURCE, "silver", {(y, None): of for y, of in written.items()})
+    kept = sum(written[y]["linhas"] for y in years)
+    read = newest(years).agg(
         F.count(F.lit(1)).alias("bronze"), F.count("DatInicioInterrupcao").alias("conformado")
     ).first()
     return {
         "bronze": read["bronze"],
         "conformado": read["conformado"],
-        "silver": written,
+        "silver": kept,
         "excluidos_data_nula": read["bronze"] - read["conformado"],
-        "duplicatas_removidas": read["conformado"] - written,
+        "duplicatas_removidas": read["conformado"] - kept,
+        "linhas_reescritas": sum(of["linhas"] for of in written.values()) - kept,
     }
 
 
 def gold_outages(
     spark: SparkSession, silver_path: str, gold_path: str, years: list[int],
-    run_ts: dt.datetime, tolerance_pct: float = 0.01,
+    run_ts: dt.datetime, tolerance_pct: float = 0.01, metrics_path: str | None = None,
 ) -> dict[str, int]:
     """Monthly totals of events that began in the given years, replaced in gold.
 
@@ -164,16 +224,21 @@ def gold_outages(
     before, after = found["total:segundos"], held["total:segundos"]
     if before > 0 and abs(before - after) / before * 100 > tolerance_pct:
         raise ValueError(f"gold holds {after:g} s of the {before:g} s in silver")
-    written = tables.replace_years(staged, gold_path, "_ano_fonte", years)
+    written = tables.replace_years_measured(
+        staged, gold_path, "_ano_fonte", years,
+        totals={"eventos": F.col("total_eventos"), "segundos": durations.exact_seconds(F.col("tempo_total_minutos"))},
+    )
+    metrics.record(spark, metrics_path, run_ts, SOURCE, "gold", {(y, None): of for y, of in written.items()})
     return {
-        "linhas": sum(written.values()),
+        "linhas": sum(of["linhas"] for of in written.values()),
         "segundos_silver": int(before),
         "segundos_gold": int(after),
     }
 
 
 def ingest_indicators(
-    spark: SparkSession, landing: str, bronze_path: str, years: list[int], run_ts: dt.datetime
+    spark: SparkSession, landing: str, bronze_path: str, years: list[int], run_ts: dt.datetime,
+    metrics_path: str | None = None,
 ) -> dict[int, int]:
     """Landed indicator series to bronze: stamped, names folded, given years replaced.
 
@@ -188,12 +253,14 @@ def ingest_indicators(
             bronze, columns=["anoindice", "sigagente", "sigindicador", "vlrindiceenviado"]
         )
     )
-    return tables.replace_years(bronze, bronze_path, "anoindice", years, ["sigindicador"])
+    written = tables.replace_years_measured(bronze, bronze_path, "anoindice", years, ["sigindicador"])
+    metrics.record(spark, metrics_path, run_ts, SERIES, "bronze", {(y, None): of for y, of in written.items()})
+    return {y: of["linhas"] for y, of in written.items()}
 
 
 def indicator_tables(
     spark: SparkSession, bronze: DataFrame, silver_path: str, gold_path: str,
-    run_ts: dt.datetime,
+    run_ts: dt.datetime, metrics_path: str | None = None,
 ) -> DataFrame:
     """Silver long and monthly gold from bronze indicator series, both replaced whole.
 
@@ -203,7 +270,7 @@ def indicator_tables(
     """
     pin_utc(spark)
     silver = conform.conform_indicators_long(bronze, run_ts)
-    tables.replace_all(silver, silver_path, "ano")
+    landed = tables.replace_all(silver, silver_path, "ano")
     stored = spark.read.schema(silver.schema).parquet(silver_path)
     report = quality.check_report(
         stored,
@@ -213,13 +280,50 @@ def indicator_tables(
     )
     quality.require(report)
     months = indicators.conjunto_month(
-        stored, ["ingest_ts_bronze", "data_geracao_fonte", "cnpj"], indicators.GOLD_CODES
+        stored, ["ingest_ts_bronze", "data_geracao_fonte", "cnpj"], indicators.GOLD_CODES, every_code=True
     )
     gold = indicators.gold_indicator_month(months, run_ts=run_ts)
-    tables.replace_all(gold, gold_path, "ano")
+    months_written = tables.replace_all(gold, gold_path, "ano")
+    for stage, rows in (("silver", landed), ("gold", months_written)):
+        metrics.record(spark, metrics_path, run_ts, SERIES, stage, {(None, None): {"linhas": rows}})
     return report
 
 
+def wide_indicators(
+    spark: SparkSession, bronze: DataFrame, wide_path: str, years: list[int], run_ts: dt.datetime,
+    metrics_path: str | None = None,
+) -> dict[str, int]:
+    """The wide silver table of the given years: pivoted, checked, replaced, summed up.
+
+    A row without agent or a valid period has no key and is left out; keys held by several
+    rows stop the run before anything is replaced. Returns the rows of each step; the cells
+    given and the newest ones among them are counted in the aggregation that finds repeated
+    cells.
+    """
+    pin_utc(spark)
+    given = filters.in_years(bronze, "anoindice", years)
+    cells = given.groupBy(*v.INDICATOR_KEY, "sigindicador").agg(F.count(F.lit(1)).alias("n"))
+    read = cells.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("lidas"), F.count(F.lit(1)).alias("celulas")).first()
+    wide = indicators.indicators_wide(given, ["_ingest_ts", "datgeracaoconjuntodados"], run_ts=run_ts)
+    staging = f"{wide_path}_staging"
+    tables.replace_all(wide, staging, "anoindice")
+    staged = spark.read.schema(wide.schema).parquet(staging)
+    found = quality.require(quality.check_report(
+        staged, key=v.INDICATOR_KEY, not_null=["chave_uc", "periodo_apuracao"],
+        soft=("nulos:chave_uc", "nulos:periodo_apuracao"), totals={"linhas": F.lit(1)}))
+    valid = filters.drop_nulls(staged, ["chave_uc", "periodo_apuracao"])
+    written = tables.replace_years_measured(valid, wide_path, "anoindice", years)
+    metrics.record(spark, metrics_path, run_ts, SERIES, "largo", {(y, None): of for y, of in written.items()})
+    rows = sum(of["linhas"] for of in written.values())
+    return {
+        "bronze": read["lidas"],
+        "duplicatas_removidas": read["lidas"] - read["celulas"],
+        "linhas_largas": int(found["total:linhas"]),
+        "invalidas_removidas": int(found["total:linhas"]) - rows,
+        "silver": rows,
+    }
+
+
 def processed_events(
     bronze: DataFrame, regions: DataFrame, run_ts: dt.datetime, origin: str
 ) -> DataFrame:

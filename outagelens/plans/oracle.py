@@ -234,6 +234,13 @@ def _causes(cause: str) -> str:
 _TRIPLET = f"""{_SECONDS} AS duracao_segundos, round({_MIN}, 2) AS duracao_minutos,
     round({_SECONDS} / CAST(3600 AS DOUBLE), 4) AS duracao_horas"""
 
+_HALVES = """
+halves AS (
+  SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS ano, CASE WHEN month(o_orderdate) <= 6 THEN 1 ELSE 2 END AS metade,
+    strftime(max(o_orderdate) OVER (PARTITION BY year(o_orderdate)), '%Y-%m-%d') AS last_modified
+  FROM orders
+)"""
+
 _MANIFEST = """
 man AS (
   SELECT 'interrupcoes' AS fonte, CAST(year(o_orderdate) AS INT) AS ano,
@@ -394,6 +401,19 @@ ORACLES: dict[str, str] = {
         f"""{_ROW}, DatInicioInterrupcao, NumUnidadeConsumidora, _ano_fonte FROM ev
         WHERE _ano_fonte IN (1997, 1998)"""
     ),
+    "csv_quarantine": f"""WITH {_EV}, keyed AS (
+          SELECT *, CAST(split_part(NumOrdemInterrupcao, '-', 1) AS BIGINT) AS k FROM ev
+        ), told AS (SELECT *, CASE WHEN k % 61 = 0 OR k % 67 = 0 THEN 'campos'
+            WHEN k % 53 = 0 AND k % 59 = 0 THEN 'tipo: DatInicioInterrupcao, NumNivelTensao' WHEN k % 53 = 0 THEN 'tipo: NumNivelTensao'
+            WHEN k % 59 = 0 THEN 'tipo: DatInicioInterrupcao, NumNivelTensao' ELSE 'aceita' END AS motivo FROM keyed)
+        SELECT motivo, NumOrdemInterrupcao, CASE WHEN motivo = 'aceita' THEN NumUnidadeConsumidora END AS NumUnidadeConsumidora FROM told""",
+    "merge_schema_widened": _ev(
+        """NumOrdemInterrupcao, _tie, NumAno,
+        CASE WHEN NumAno < 1997 THEN date_trunc('day', DatInicioInterrupcao) ELSE DatInicioInterrupcao END AS DatInicioInterrupcao,
+        NumUnidadeConsumidora,
+        CASE WHEN NumAno >= 2000 OR (NumAno < 1997 AND NumNivelTensao = 0) THEN NULL ELSE NumNivelTensao END AS NumNivelTensao,
+        CASE WHEN NumAno < 1997 AND NumNivelTensao = 0 THEN 1 ELSE 0 END AS _falhas_conversao FROM ev"""
+    ),
     # sinks
     "replace_year_idempotent": _ev(
         """_ano_fonte, count(*) AS linhas, count(DISTINCT NumOrdemInterrupcao) AS ordens,
@@ -431,6 +451,17 @@ ORACLES: dict[str, str] = {
         (SELECT ano FROM led WHERE status = 'SUCCESS')""",
     "ledger_pending_version": f"""WITH {_MANIFEST} SELECT * FROM man WHERE (ano, last_modified) NOT IN
         (SELECT (ano, last_modified) FROM led WHERE status = 'SUCCESS')""",
+    "ledger_pending_files": f"""WITH {_HALVES} SELECT 'interrupcoes' AS fonte, ano,
+        'landing/events_' || ano || '_' || metade || '.parquet' AS url, last_modified
+        FROM halves WHERE ano > 1996 OR (ano = 1995 AND metade = 2)""",
+    "ingest_files": f"""WITH {_EV}, found AS (
+          SELECT _ano_fonte AS ano, CASE WHEN month(DatGeracaoConjuntoDados) <= 6 THEN 1 ELSE 2 END AS metade,
+            count(*) AS n, _ano_fonte = 1998 AND month(any_value(DatGeracaoConjuntoDados)) > 6 AS missing
+          FROM ev GROUP BY 1, 2)
+        SELECT 'interrupcoes' AS fonte, ano, metade, CASE WHEN missing THEN 'ERROR' ELSE 'SUCCESS' END AS status,
+          CAST(CASE WHEN missing THEN 2 ELSE 1 END AS BIGINT) AS tentativas,
+          CASE WHEN missing THEN 0 ELSE n END AS num_registros, CASE WHEN missing THEN 0 ELSE n END AS linhas_bronze,
+          missing AS pendente FROM found""",
     "ledger_summary": f"""WITH {_MANIFEST} SELECT fonte, count(*) AS total_ingestoes,
         count(*) FILTER (WHERE status = 'SUCCESS') AS sucessos,
         count(*) FILTER (WHERE status = 'ERROR') AS erros,
@@ -440,6 +471,27 @@ ORACLES: dict[str, str] = {
         f"""{_ROW}, SigAgente, DatInicioInterrupcao, DatFimInterrupcao, DscTipoInterrupcao
         FROM ev ORDER BY NumOrdemInterrupcao, _tie LIMIT 10"""
     ),
+    "run_summary": f"""WITH {_EV}, {_IND.strip()}, kept AS (
+          SELECT *, CASE WHEN DatFimInterrupcao IS NULL THEN 0 ELSE {_SECONDS} END AS s FROM ev
+          WHERE DatInicioInterrupcao IS NOT NULL QUALIFY row_number() OVER (
+            PARTITION BY SigAgente, DatInicioInterrupcao, coalesce(DscConjuntoUnidadeConsumidora, 'NAO_INFORMADO'),
+              coalesce(DscTipoInterrupcao, 'NAO_CLASSIFICADO')
+            ORDER BY DatFimInterrupcao DESC NULLS LAST) = 1
+        ), span AS (SELECT max(year(o_orderdate)) - min(year(o_orderdate)) + 2 AS y FROM orders
+        ), stages(fluxo, ordem, etapa, anos, linhas, eventos, segundos) AS (
+          SELECT 'interrupcoes', 0, 'bronze', count(DISTINCT _ano_fonte), count(*), count(*), NULL FROM ev
+          UNION ALL SELECT 'interrupcoes', 1, 'silver', any_value(y), count(*), count(*), sum(s) FROM kept, span
+          UNION ALL SELECT 'interrupcoes', 2, 'gold', any_value(y),
+            count(DISTINCT (SigAgente, year(DatInicioInterrupcao), month(DatInicioInterrupcao))), count(*), sum(s) FROM kept, span
+          UNION ALL SELECT 'indicadores', 0, 'bronze', any_value(y), count(*), count(*), NULL FROM ind, span
+          UNION ALL SELECT 'indicadores', 1, 'silver', 0, count(*), count(*), NULL FROM ind
+          UNION ALL SELECT 'indicadores', 2, 'largo', y, n, n, NULL FROM span, (SELECT count(DISTINCT (
+            sigagente, ideconjundconsumidoras, anoindice, numperiodoindice)) AS n FROM ind)
+          UNION ALL SELECT 'indicadores', 3, 'gold', 0, n, n, NULL FROM (
+            SELECT count(DISTINCT (sigagente, anoindice, numperiodoindice)) AS n FROM ind))
+        SELECT fluxo, etapa, anos, linhas, eventos, lag(eventos) OVER step - eventos AS removidos,
+          CAST(segundos AS BIGINT) AS segundos, CAST(segundos - lag(segundos) OVER step AS BIGINT) AS diferenca_segundos
+        FROM stages WINDOW step AS (PARTITION BY fluxo ORDER BY ordem)""",
     # derivations
     "conform_events": f"WITH {_SILVER} SELECT * EXCLUDE (DatGeracaoConjuntoDados) FROM sv",
     "conform_events_detailed": _ev(
@@ -499,6 +551,15 @@ ORACLES: dict[str, str] = {
     "enrich_region": f"""WITH {_EV}, {_REGIONS} SELECT {_ROW}, trim(SigAgente) AS SigAgente, uf, regiao
         FROM ev LEFT JOIN regions ON trim(SigAgente) = agente""",
     # filters
+    "null_drops": _ev(
+        """unnest([
+          {'coluna': 'DscTipoInterrupcao', 'removidas': count(*) FILTER (WHERE DscTipoInterrupcao IS NULL),
+           'restantes': count(DscTipoInterrupcao)},
+          {'coluna': 'SigAgente', 'removidas': CAST(0 AS BIGINT), 'restantes': count(DscTipoInterrupcao)},
+          {'coluna': 'NumAno', 'removidas': CAST(0 AS BIGINT), 'restantes': count(DscTipoInterrupcao)},
+          {'coluna': 'NumOrdemInterrupcao', 'removidas': CAST(0 AS BIGINT), 'restantes': count(DscTipoInterrupcao)}],
+          recursive := true) FROM ev"""
+    ),
     "drop_critical_nulls": _ev(
         f"""{', '.join(_CRITICAL)}, _tie FROM ev WHERE
         {' AND '.join(f'{c} IS NOT NULL' for c in _CRITICAL)}"""
@@ -540,6 +601,19 @@ ORACLES: dict[str, str] = {
     ),
     "dedupe_indicators": f"""WITH {_CELLS} SELECT distribuidora, id_conjunto_uc, ano, mes, indicador,
         valor, ingest_ts_bronze FROM cells""",
+    "dedupe_across_loads": f"""WITH {_EV}, found AS (
+          SELECT coalesce(SigAgente, 'DESCONHECIDO') AS cod_distribuidora, date_trunc('month', DatInicioInterrupcao) AS data_inicio,
+            coalesce(DscConjuntoUnidadeConsumidora, 'NAO_INFORMADO') AS conjunto,
+            coalesce(DscTipoInterrupcao, 'NAO_CLASSIFICADO') AS tipo_interrupcao, DatFimInterrupcao AS data_fim,
+            coalesce(DscFatoGeradorInterrupcao, 'NAO_INFORMADO') AS origem_interrupcao,
+            coalesce((CAST(floor(epoch(DatFimInterrupcao)) AS BIGINT)
+              - CAST(floor(epoch(date_trunc('month', DatInicioInterrupcao))) AS BIGINT)) / CAST(60 AS DOUBLE), 0.0)
+              AS tempo_interrupcao_minutos,
+            _ingest_timestamp, _source_url, coalesce(_source_last_modified, '') AS _source_last_modified, _ano_fonte
+          FROM ev)
+        SELECT * FROM found QUALIFY row_number() OVER (
+          PARTITION BY cod_distribuidora, data_inicio, conjunto, tipo_interrupcao
+          ORDER BY _ingest_timestamp DESC, data_fim DESC NULLS LAST, origem_interrupcao DESC) = 1""",
     # gold and reports
     "gold_outage_month": f"""WITH {_GOLD_OUT} SELECT cod_distribuidora, ano_referencia, mes_referencia,
         s / CAST(60 AS DOUBLE) AS tempo_total_minutos, {_hours('s')} AS tempo_total_horas,
@@ -652,6 +726,13 @@ ORACLES: dict[str, str] = {
         FROM (SELECT {_causes('trim(DscFatoGeradorInterrupcao)')}, {_SECONDS} AS secs, NumUnidadeConsumidora FROM ev)
         GROUP BY 1, 2, 3, 4"""
     ),
+    "cause_rollup": _ev(
+        f"""CAST(4 - bit_count(GROUPING({', '.join(_CAUSE_NAMES)})) AS INT) AS nivel, {', '.join(_CAUSE_NAMES)},
+        count(*) AS qtd_eventos, CAST(sum(secs) AS BIGINT) AS total_segundos,
+        CAST(sum(NumUnidadeConsumidora) AS BIGINT) AS consumidores_afetados
+        FROM (SELECT {_causes('trim(DscFatoGeradorInterrupcao)')}, coalesce({_SECONDS}, 0) AS secs, NumUnidadeConsumidora FROM ev)
+        GROUP BY ROLLUP ({', '.join(_CAUSE_NAMES)})"""
+    ),
     "conjunto_ranking": _ev(
         f"""SigAgente, IdeConjuntoUnidadeConsumidora, s / CAST(3600 AS DOUBLE) AS total_horas, qtd_eventos,
         CAST(rank() OVER (PARTITION BY SigAgente ORDER BY s DESC) AS INT) AS posicao FROM (
@@ -659,6 +740,13 @@ ORACLES: dict[str, str] = {
             count(*) AS qtd_eventos FROM ev WHERE {_GOOD} GROUP BY 1, 2)"""
     ),
     "consumers_stats": _ev("avg(NumUnidadeConsumidora) AS media, max(NumUnidadeConsumidora) AS maximo FROM ev"),
+    "distinct_agents_stored_sketch": _ev(
+        """count(DISTINCT (SigAgente, IdeConjuntoUnidadeConsumidora, CAST(DatInicioInterrupcao AS DATE))) AS exato,
+        TRUE AS within_bound FROM ev"""
+    ),
+    "duration_quantiles_stored_sketch": _ev(
+        """unnest(['mediana', 'p95', 'p99']) AS quantil, count(DatFimInterrupcao) AS valores, TRUE AS within_bound FROM ev"""
+    ),
     # checks
     "check_columns": f"WITH {_EV} "
     + _union(
@@ -773,6 +861,32 @@ ORACLES: dict[str, str] = {
         SELECT *, CASE WHEN dec_oficial IS NULL OR dec_oficial = 0 THEN 'NO_REFERENCE'
           WHEN dec_observado IS NULL THEN 'NO_OBSERVATION' WHEN abs(diferenca_perc) > 20 THEN 'CRITICAL'
           WHEN abs(diferenca_perc) > 10 THEN 'WARNING' ELSE 'OK' END AS alerta FROM j""",
+    "limit_as_of": f"""WITH {_GOLD_IND}, starts AS (
+          SELECT s_name AS distribuidora, DATE '1995-06-10' AS valido_desde, 5.5 + s_suppkey % 3 * 0.25 AS limite_dec
+            FROM supplier WHERE s_suppkey % 4 <> 3
+          UNION ALL SELECT s_name, DATE '1997-07-01', 6.0 + s_suppkey % 5 * 0.25 FROM supplier WHERE s_suppkey % 4 <> 3
+          UNION ALL SELECT s_name, DATE '1999-04-15', 6.5 FROM supplier WHERE s_suppkey % 2 = 0
+        ), matched AS (
+          SELECT g.distribuidora, g.ano, g.mes, g.ano_mes, g.dec_medio, l.valido_desde, l.limite_dec
+          FROM gi g LEFT JOIN starts l ON l.distribuidora = g.distribuidora AND l.valido_desde <= g.ano_mes
+          QUALIFY row_number() OVER (PARTITION BY g.distribuidora, g.ano_mes ORDER BY l.valido_desde DESC NULLS LAST) = 1)
+        SELECT distribuidora, ano, mes, dec_medio, valido_desde, CAST(limite_dec AS DOUBLE) AS limite_dec,
+          CASE WHEN dec_medio > limite_dec THEN dec_medio - limite_dec END AS excesso,
+          CASE WHEN limite_dec IS NULL THEN 'SEM_LIMITE' WHEN dec_medio IS NULL THEN 'SEM_MEDICAO'
+               WHEN dec_medio > limite_dec THEN 'ACIMA' ELSE 'DENTRO' END AS situacao FROM matched""",
+    "bq_robust_jumps": f"""WITH {_GOLD_IND}, seen AS (
+          SELECT distribuidora, ano, mes, dec_medio, list_sort(list_filter(
+            list(dec_medio) OVER (PARTITION BY distribuidora ORDER BY ano * 12 + mes RANGE BETWEEN 12 PRECEDING AND 1 PRECEDING),
+            lambda x: x IS NOT NULL)) AS past FROM gi
+        ), based AS (
+          SELECT *, len(past) AS n, (past[CAST(ceil(len(past) / 2) AS INT)] + past[CAST(floor(len(past) / 2) AS INT) + 1]) / 2 AS mediana
+          FROM seen
+        ), away AS (SELECT *, list_sort(list_transform(past, lambda x: abs(x - mediana))) AS off FROM based),
+        spread AS (SELECT *, (off[CAST(ceil(n / 2) AS INT)] + off[CAST(floor(n / 2) AS INT) + 1]) / 2 AS mad FROM away)
+        SELECT distribuidora, ano, mes, dec_medio, n AS historico, mediana, mad,
+          CASE WHEN mad > 0 THEN (dec_medio - mediana) / (mad * CAST(1.4826 AS DOUBLE)) END AS desvios
+        FROM spread WHERE n >= 6 AND CASE WHEN mad > 0 THEN (dec_medio - mediana) / (mad * CAST(1.4826 AS DOUBLE)) > 2
+          ELSE dec_medio > mediana END""",
     "above_limit": f"""WITH {_CELLS} {_MEANS},
         lim AS (SELECT s_name AS distribuidora, 6.0 + (s_suppkey % 3) * 0.25 AS limite FROM supplier)
         SELECT distribuidora, ano, dec_medio, CAST(limite AS DOUBLE) AS limite_dec,
@@ -805,6 +919,16 @@ ORACLES: dict[str, str] = {
     "bq_month_rank": f"""WITH {_GOLD_IND} SELECT ano, mes, ranking_dec_mes, distribuidora, dec_medio
         FROM gi WHERE ranking_dec_mes <= 3""",
     "bq_annual_means": f"WITH {_CELLS} {_MEANS} SELECT * FROM means",
+    "bq_missing_ranges": f"""WITH {_EV}, have AS (
+          SELECT DISTINCT SigAgente, IdeConjuntoUnidadeConsumidora, date_trunc('month', DatInicioInterrupcao)::DATE AS m FROM ev
+        ), span AS (SELECT min(m) AS lo, max(m) AS hi FROM have), wanted AS (
+          SELECT SigAgente, IdeConjuntoUnidadeConsumidora, unnest(generate_series(lo, hi, INTERVAL 1 MONTH))::DATE AS m
+          FROM (SELECT DISTINCT SigAgente, IdeConjuntoUnidadeConsumidora FROM have), span
+        ), absent AS (SELECT * FROM wanted EXCEPT SELECT * FROM have), placed AS (
+          SELECT *, year(m) * 12 + month(m) - row_number() OVER (
+            PARTITION BY SigAgente, IdeConjuntoUnidadeConsumidora ORDER BY m) AS island FROM absent)
+        SELECT SigAgente, IdeConjuntoUnidadeConsumidora, min(m) AS primeiro_mes, max(m) AS ultimo_mes, count(*) AS meses
+        FROM placed GROUP BY SigAgente, IdeConjuntoUnidadeConsumidora, island""",
     "bq_missing_months": _ev(
         """a AS "SigAgente", c AS "IdeConjuntoUnidadeConsumidora", CAST(m AS DATE) AS mes_ausente FROM (
           SELECT k.a, k.c, unnest(generate_series(

@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outagelens import vocabulary as v
+from outagelens.functions import durations
 from outagelens.operators import (
     compare, conform, dedupe, filters, indicators, names, outages, profiling, quality, ranking,
+    sketches,
 )
 from outagelens.session import pin_utc, table_path
-from outagelens.sources import ledger, readers, standins, tables
+from outagelens.plans import medallion
+from outagelens.sources import ledger, metrics, readers, standins, tables
 
 REGISTRY: dict = {}
 
@@ -164,6 +167,41 @@ def scan_csv_landing(spark, sf):
     return readers.read_csv_landing(spark, path, v.EVENT_SCHEMA)
 
 
+@query
+def csv_quarantine(spark, sf):
+    """A landing with planted faults: a text for a number, no date, a field too few, one too many."""
+    path = table_path(spark, "landing_csv")
+    order, key = F.col("NumOrdemInterrupcao"), F.split("NumOrdemInterrupcao", "-")[0].cast("bigint")
+    events = standins.events(spark, sf, *EVENT_COLUMNS)
+    values = {c: F.when((key % 53 == 0) & F.lit(c == "NumNivelTensao"), "alta").when(
+        (key % 59 == 0) & F.lit(c in (START, "NumNivelTensao")), "ontem").otherwise(
+        F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss") if c in (START, END) else F.col(c).cast("string")) for c in EVENT_COLUMNS}
+    line = F.to_csv(F.struct(*[x.alias(c) for c, x in values.items()]),
+                    {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    line = F.when(key % 61 == 0, F.concat(line, F.lit(",a mais"))).when(key % 67 == 0, F.concat(order, F.lit(",so isto"))).otherwise(line)
+    events.select(line.alias("value")).write.text(path)
+    rows = readers.read_csv_checked(spark, path, v.EVENT_SCHEMA, header=False)
+    good = readers.accepted(rows).select(F.lit("aceita").alias("motivo"), "NumOrdemInterrupcao", "NumUnidadeConsumidora")
+    bad = readers.rejected(rows, v.EVENT_SCHEMA).select(
+        "motivo", F.regexp_extract("linha", r"(^|,)(\d+-\d)(,|$)", 2).alias("NumOrdemInterrupcao"), F.lit(None).cast("bigint"))
+    return good.union(bad)
+
+
+@query
+def merge_schema_widened(spark, sf):
+    """Three deliveries: narrow types and text for a number, wide types, a column that is missing."""
+    path = table_path(spark, "deliveries")
+    rows = standins.events(spark, sf, *ROW, "NumAno", START, "NumUnidadeConsumidora", "NumNivelTensao")
+    tension = F.when(F.col("NumNivelTensao") == 0, "n/d").otherwise(F.col("NumNivelTensao").cast("string"))
+    year = F.col("NumAno")
+    rows.filter(year < 1997).withColumns({
+        "NumUnidadeConsumidora": F.col("NumUnidadeConsumidora").cast("int"), START: F.to_date(START), "NumNivelTensao": tension,
+    }).write.parquet(f"{path}/a")
+    rows.filter((year >= 1997) & (year < 2000)).write.parquet(f"{path}/b")
+    rows.filter(year >= 2000).drop("NumNivelTensao").write.parquet(f"{path}/c")
+    return readers.read_reconciled(spark, [f"{path}/{d}" for d in "abc"], {"NumNivelTensao": "bigint"})
+
+
 # ---- sinks, provenance, ledger ----------------------------------------------
 
 
@@ -183,6 +221,30 @@ def replace_year_idempotent(spark, sf):
     )
 
 
+@query
+def run_summary(spark, sf):
+    """Both flows taken through all layers, then what their stages recorded while they wrote."""
+    at = {n: table_path(spark, n) for n in (
+        "landing", "bronze", "silver", "gold", "ledger", "metrics", "series", "b_series", "s_series", "g_series", "wide")}
+    landed = [r["ano"] for r in standins.manifest(spark, sf).select("ano").collect()]
+    years = list(range(min(landed), max(landed) + 2))
+    standins.events(spark, sf, *EVENT_COLUMNS, "_ano_fonte").withColumnRenamed("_ano_fonte", "_y").write.partitionBy("_y").parquet(at["landing"])
+    manifest = standins.manifest(spark, sf).withColumn("url", F.concat(F.lit(f"{at['landing']}/_y="), "ano"))
+    medallion.ingest_events(spark, manifest, at["bronze"], at["ledger"], RUN, at["metrics"])
+    for n, chosen in enumerate((years[:4], years[4:])):
+        medallion.silver_events(spark, at["bronze"], at["silver"], chosen, RUN + dt.timedelta(hours=n), at["metrics"])
+    medallion.gold_outages(spark, at["silver"], at["gold"], years, RUN, metrics_path=at["metrics"])
+
+    wanted = [line.split()[0] for line in v.INDICATOR_SCHEMA.strip().splitlines()]
+    standins.indicators(spark, sf, *wanted).write.parquet(at["series"])
+    medallion.ingest_indicators(spark, at["series"], at["b_series"], years, RUN, at["metrics"])
+    extra = ", _fonte_url STRING, _ingest_ts TIMESTAMP, _ingest_date DATE, _run_id STRING"
+    bronze = readers.read_indicators(spark, at["b_series"], years, extra)
+    medallion.indicator_tables(spark, bronze, at["s_series"], at["g_series"], RUN, at["metrics"])
+    medallion.wide_indicators(spark, bronze, at["wide"], years, RUN, at["metrics"])
+    return metrics.run_summary(metrics.read_metrics(spark, at["metrics"])).drop("ultima_execucao")
+
+
 @query
 def write_match_check(spark, sf):
     rows = standins.events(spark, sf, *ROW, START, END, "_ano_fonte")
@@ -244,6 +306,7 @@ def ledger_entries(spark, sf):
         .agg(F.count(F.lit(1)).alias("num_registros"))
         .select(
             F.lit("interrupcoes").alias("fonte"), "ano", "num_registros",
+            F.format_string("landing/events_%d.parquet", "ano").alias("url"),
             F.when(F.col("ano") == YEAR, "arquivo ilegivel").alias("erro"),
         )
     )
@@ -263,6 +326,45 @@ def ledger_pending_version(spark, sf):
     return ledger.pending(standins.manifest(spark, sf), standins.ledger(spark, sf))
 
 
+@query
+def ledger_pending_files(spark, sf):
+    """A year landed as two files of one stamp: each half is pending for itself."""
+    return ledger.pending(
+        standins.manifest(spark, sf, halves=True), standins.ledger(spark, sf, halves=True)
+    ).drop("num_registros")
+
+
+@query
+def ingest_files(spark, sf):
+    """Two landed files a year, one of them missing: what the ledger and bronze hold after."""
+    landing, bronze, book = (table_path(spark, n) for n in ("landing", "bronze_files", "ledger"))
+    half = standins.half_of_year("DatGeracaoConjuntoDados")
+    (
+        standins.events(spark, sf, *EVENT_COLUMNS, "_ano_fonte").withColumn("metade", half)
+        .filter((F.col("_ano_fonte") != YEAR) | (F.col("metade") != 2))
+        .withColumns({"_year": F.col("_ano_fonte"), "_half": F.col("metade")}).drop("_ano_fonte", "metade")
+        .write.partitionBy("_year", "_half").parquet(landing)
+    )
+    listed = standins.manifest(spark, sf, halves=True)
+    year, half = F.regexp_extract("url", r"events_(\d+)_", 1), F.regexp_extract("url", r"_(\d)\.", 1)
+    manifest = listed.withColumn("url", F.concat(F.lit(f"{landing}/_year="), year, F.lit("/_half="), half))
+    for _ in range(2):  # the second run tries the missing file only
+        medallion.ingest_events(spark, manifest, bronze, book, RUN)
+    half_of = F.regexp_extract("url", r"_half=(\d)", 1).cast("int").alias("metade")
+    entries = ledger.read_ledger(spark, book)
+    stored = readers.read_events(spark, bronze, extra=medallion.BRONZE_EXTRA)
+    in_bronze = stored.groupBy(F.col("_source_url").alias("url")).agg(F.count(F.lit(1)).alias("linhas_bronze"))
+    waiting = ledger.pending(manifest, entries).select("url", F.lit(True).alias("pendente"))
+    return (
+        entries.groupBy("fonte", "ano", "url", "status").agg(
+            F.count(F.lit(1)).alias("tentativas"), F.sum("num_registros").alias("num_registros"))
+        .join(in_bronze, "url", "left").join(waiting, "url", "left")
+        .select("fonte", "ano", half_of, "status", "tentativas", "num_registros",
+                F.coalesce("linhas_bronze", F.lit(0)).alias("linhas_bronze"),
+                F.coalesce("pendente", F.lit(False)).alias("pendente"))
+    )
+
+
 @query
 def ledger_summary(spark, sf):
     summary = ledger.ledger_summary(standins.ledger(spark, sf))
@@ -422,6 +524,11 @@ def drop_critical_nulls(spark, sf):
     return filters.drop_nulls(rows, v.CRITICAL_COLUMNS)
 
 
+@query
+def null_drops(spark, sf):
+    return filters.null_drops(standins.events(spark, sf, *v.CRITICAL_COLUMNS), v.CRITICAL_COLUMNS[::-1])
+
+
 @query
 def temporal_invalid(spark, sf):
     rows = standins.events(spark, sf, *ROW, START, END, "DscTipoInterrupcao")
@@ -519,6 +626,22 @@ def dedupe_indicators(spark, sf):
     return cells.select(*indicators.CELL_KEY, "valor", "ingest_ts_bronze")
 
 
+@query
+def dedupe_across_loads(spark, sf):
+    """Years loaded in three calls, starts known to the month: events stand in several years."""
+    bronze, silver = table_path(spark, "bronze_events"), table_path(spark, "silver_events")
+    rows = standins.events(
+        spark, sf, *EVENT_COLUMNS, "_ingest_timestamp", "_source_url", "_source_last_modified", "_ano_fonte"
+    ).withColumns({START: F.date_trunc("month", START).cast("timestamp_ntz"),
+                   "_ingest_timestamp": F.col("_ingest_timestamp").cast("timestamp")})
+    tables.replace_all(rows, bronze, "_ano_fonte")
+    years = sorted(r["ano"] for r in standins.manifest(spark, sf).select("ano").collect())
+    for chosen in (years[:3], years[4:], years[3:4]):
+        medallion.silver_events(spark, bronze, silver, chosen, RUN)
+    stored = spark.read.schema(medallion.SILVER_EVENTS).parquet(silver).drop("_silver_timestamp")
+    return stored.withColumn("_ingest_timestamp", F.col("_ingest_timestamp").cast("timestamp_ntz"))
+
+
 # ---- gold, pivots, reports --------------------------------------------------
 
 
@@ -675,6 +798,37 @@ def distinct_agents_sketch(spark, sf):
     return profiling.distinct_members(rows, F.trim("sigagente"), approximate=True)
 
 
+def _stored_states(spark, sf, rows, member, value):
+    """Sketch states of every event year, stored; one year is replaced once more."""
+    path = table_path(spark, "sketch_states")
+    states = sketches.year_states(rows.withColumn("ano", F.year(START)), "ano", member, value)
+    tables.replace_all(states, path, "ano")
+    tables.replace_years(states, path, "ano", [YEAR])
+    return spark.read.schema(sketches.STATES + ", ano INT").parquet(path)
+
+
+@query
+def distinct_agents_stored_sketch(spark, sf):
+    """Distinct agents and conjuntos from stored states, held against the exact number."""
+    rows = standins.events(spark, sf, START, END, "SigAgente", "IdeConjuntoUnidadeConsumidora")
+    pair = F.concat_ws("|", "SigAgente", "IdeConjuntoUnidadeConsumidora", F.to_date(START))
+    states = _stored_states(spark, sf, rows, pair, durations.elapsed_seconds(START, END))
+    exact = rows.agg(F.count_distinct(pair).alias("exato"))
+    bound = 3 * 1.04 / 2 ** (sketches.LG_K / 2)
+    estimate = sketches.distinct_from_states(states).scalar()
+    return exact.select("exato", (F.abs(estimate - F.col("exato")) <= bound * F.col("exato")).alias("within_bound"))
+
+
+@query
+def duration_quantiles_stored_sketch(spark, sf):
+    """Quantiles of durations from stored states, each held against its true rank."""
+    rows = standins.events(spark, sf, START, END, "SigAgente")
+    seconds = durations.elapsed_seconds(START, END)
+    shares = {"mediana": 0.5, "p95": 0.95, "p99": 0.99}
+    found = sketches.quantiles_from_states(_stored_states(spark, sf, rows, F.col("SigAgente"), seconds), shares)
+    return sketches.quantile_check(rows, seconds, found, shares, 0.025)
+
+
 @query
 def indicator_stats(spark, sf):
     rows = standins.indicators(spark, sf, "sigindicador", "vlrindiceenviado")
@@ -752,6 +906,17 @@ def cause_analysis(spark, sf):
     return profiling.cause_analysis(rows, v.CAUSE_LEVELS, START, END, "NumUnidadeConsumidora")
 
 
+@query
+def cause_rollup(spark, sf):
+    rows = conform.with_cause_levels(
+        standins.events(
+            spark, sf, "DscFatoGeradorInterrupcao", START, END, "NumUnidadeConsumidora"
+        ),
+        "DscFatoGeradorInterrupcao",
+    )
+    return profiling.cause_rollup(rows, v.CAUSE_LEVELS, START, END, "NumUnidadeConsumidora")
+
+
 @query
 def conjunto_ranking(spark, sf):
     rows = filters.quality_filter(
@@ -960,6 +1125,13 @@ def above_limit(spark, sf):
     return compare.above_limit(yearly, limits).drop("fec_medio")
 
 
+@query
+def limit_as_of(spark, sf):
+    monthly = _gold_indicators(spark, sf).select("distribuidora", "ano", "mes", "ano_mes", "dec_medio")
+    held = compare.limit_as_of(monthly, standins.dated_limits(spark, sf), "dec_medio", "ano_mes")
+    return held.drop("ano_mes")
+
+
 @query
 def fec_by_region(spark, sf):
     return compare.fec_by_region(
@@ -1001,6 +1173,11 @@ def bq_month_jumps(spark, sf):
     return indicators.month_jumps(_gold_indicators(spark, sf), 50.0)
 
 
+@query
+def bq_robust_jumps(spark, sf):
+    return indicators.robust_jumps(_gold_indicators(spark, sf), threshold=2.0)
+
+
 @query
 def bq_month_rank(spark, sf):
     return indicators.month_rank(_gold_indicators(spark, sf), 3)
@@ -1021,3 +1198,15 @@ def bq_missing_months(spark, sf):
     return outages.missing_months(
         dated, ["SigAgente", "IdeConjuntoUnidadeConsumidora"], "ano", "mes"
     )
+
+
+@query
+def bq_missing_ranges(spark, sf):
+    rows = standins.events(spark, sf, "SigAgente", "IdeConjuntoUnidadeConsumidora", START)
+    dated = rows.select(
+        "SigAgente", "IdeConjuntoUnidadeConsumidora",
+        F.year(START).alias("ano"), F.month(START).alias("mes"),
+    )
+    return outages.missing_ranges(
+        dated, ["SigAgente", "IdeConjuntoUnidadeConsumidora"], "ano", "mes"
+    )

@@ -3,24 +3,33 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outagelens import vocabulary as v
 
-VERSION_KEY = ["fonte", "ano", "last_modified"]
+#: a landed file is its URL within a source and year; a new stamp is a new version of it
+FILE_KEY = ["fonte", "ano", "url"]
+VERSION_KEY = [*FILE_KEY, "last_modified"]
+
+
+def _unmatched(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys ``known`` does not hold; a missing key equals a missing one."""
+    other = known.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return rows.join(other, same, "left_anti")
 
 
 def pending(manifest: DataFrame, ledger: DataFrame, by_version: bool = True) -> DataFrame:
     """Manifest rows (fonte, ano, url, last_modified) not yet loaded with success.
 
-    By version a republished file is pending again; otherwise any success of the year
-    settles it.
+    A year may land as several files, each settled for itself. By version a republished file
+    is pending again; otherwise any success of the file settles it.
     """
-    keys = VERSION_KEY if by_version else ["fonte", "ano"]
-    done = ledger.filter(F.col("status") == v.SUCCESS).select(*keys)
-    return manifest.join(done, keys, "left_anti")
+    done = ledger.filter(F.col("status") == v.SUCCESS)
+    return _unmatched(manifest, done, VERSION_KEY if by_version else FILE_KEY)
 
 
 def ledger_entries(
@@ -28,11 +37,18 @@ def ledger_entries(
 ) -> DataFrame:
     """One ledger row per attempted manifest row.
 
-    ``outcome`` holds (fonte, ano, num_registros, erro): the rows loaded, or the reason
-    nothing was. No outcome, no rows or a reason all make an error row, whose version
-    stays empty so that the next run tries again.
+    ``outcome`` holds num_registros and erro, the rows loaded or the reason nothing was, by
+    those columns of the version key that it has; with several files a year that has to
+    include ``url``. No outcome, no rows or a reason all make an error row, whose version
+    stays empty so that the next run tries again. ``rejeitadas``, if it is there, tells how
+    many lines of the file were put aside.
     """
-    attempted = manifest.join(outcome, ["fonte", "ano"], "left")
+    keys = [k for k in VERSION_KEY if k in outcome.columns]
+    other = outcome.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    attempted = manifest.join(other, same, "left")
+    aside = F.col("rejeitadas") if "rejeitadas" in outcome.columns else F.lit(0)
+    done = F.when(aside > 0, F.format_string("carga concluida, %d linhas rejeitadas", aside)).otherwise("carga concluida")
     good = F.col("erro").isNull() & (F.coalesce(F.col("num_registros"), F.lit(0)) > 0)
     return attempted.select(
         "fonte",
@@ -42,7 +58,7 @@ def ledger_entries(
         F.when(good, v.SUCCESS).otherwise(v.ERROR).alias("status"),
         F.lit(run_ts).cast("timestamp").alias("timestamp_ingestao"),
         F.when(good, F.col("num_registros")).otherwise(0).cast("bigint").alias("num_registros"),
-        F.when(good, "carga concluida")
+        F.when(good, done)
         .otherwise(F.coalesce(F.col("erro"), F.lit("sem registros")))
         .alias("mensagem"),
     )
@@ -69,7 +85,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_entries(entries: DataFrame, path: str) -> None:
-    """Append, keeping at most one success per source, year and version."""
+    """Append, keeping at most one success per file and version."""
     known = read_ledger(entries.sparkSession, path).filter(F.col("status") == v.SUCCESS)
-    fresh = entries.join(known.select(*VERSION_KEY), VERSION_KEY, "left_anti")
+    fresh = _unmatched(entries, known, VERSION_KEY)
     fresh.select(*entries.columns).coalesce(1).write.mode("append").parquet(path)

@@ -7,7 +7,7 @@ unique keys, so leaving one out never changes the number of rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -122,36 +122,38 @@ def indicators(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
     return _project(spark, sf_dir, _INDICATORS, wanted)
 
 
-def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One landed file per year, its version the newest date in it."""
-    year = F.year("o_orderdate")
-    return (
+def half_of_year(date: str) -> Column:
+    return F.when(F.month(date) <= 6, 1).otherwise(2)
+
+
+def manifest(spark: SparkSession, sf_dir: str, halves: bool = False) -> DataFrame:
+    """One landed file per year, its version the newest date in it; or two of one version."""
+    by_half = (
         table(spark, sf_dir, "orders")
-        .groupBy(year.alias("ano"))
-        .agg(
-            F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("last_modified"),
-            F.count(F.lit(1)).alias("num_registros"),
-        )
-        .select(
-            F.lit("interrupcoes").alias("fonte"),
-            "ano",
-            F.format_string("landing/events_%d.parquet", "ano").alias("url"),
-            "last_modified",
-            "num_registros",
-        )
+        .groupBy(F.year("o_orderdate").alias("ano"), half_of_year("o_orderdate").alias("metade"))
+        .agg(F.max("o_orderdate").alias("ultima"), F.count(F.lit(1)).alias("num_registros"))
     )
+    stamped = {"last_modified": F.date_format(F.max("ultima"), "yyyy-MM-dd"), "num_registros": F.sum("num_registros")}
+    by_year = by_half.groupBy("ano").agg(*[c.alias(n) for n, c in stamped.items()])
+    if halves:
+        files = by_half.drop("ultima").join(by_year.drop("num_registros"), "ano")
+        url = F.format_string("landing/events_%d_%d.parquet", "ano", "metade")
+    else:
+        files, url = by_year, F.format_string("landing/events_%d.parquet", "ano")
+    return files.select(F.lit("interrupcoes").alias("fonte"), "ano", url.alias("url"), "last_modified", "num_registros")
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ledger(spark: SparkSession, sf_dir: str, halves: bool = False) -> DataFrame:
     """A past ledger for the manifest.
 
     Years up to 1996 were loaded as they are now, 1997 and 1998 in an older version, 1999
-    failed, later years were never tried.
+    failed, later years were never tried. Of years in halves, the second of 1995 failed.
     """
     year = F.col("ano")
-    current, loaded = year <= 1996, year <= 1998
+    broken = (year > 1998) | ((year == 1995) & F.col("url").endswith("_2.parquet"))
+    current, loaded = ~broken & (year <= 1996), ~broken
     return (
-        manifest(spark, sf_dir)
+        manifest(spark, sf_dir, halves)
         .filter(year <= 1999)
         .select(
             "fonte",
@@ -191,3 +193,17 @@ def dec_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("distribuidora"),
         (F.lit(6.0) + F.col("s_suppkey") % 3 * 0.25).alias("limite_dec"),
     )
+
+
+def dated_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEC limits with the day from which they hold; a quarter of the suppliers has none at
+    first, half of those none at all, and half of all get a new one amid a month."""
+    supplier = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey")
+    first = F.array(F.struct(F.lit("1995-06-10").alias("d"), (5.5 + key % 3 * 0.25).alias("v")),
+                    F.struct(F.lit("1997-07-01").alias("d"), (6.0 + key % 5 * 0.25).alias("v")))
+    later = F.array(F.struct(F.lit("1999-04-15").alias("d"), F.lit(6.5).alias("v")))
+    none = F.filter(first, lambda x: F.lit(False))
+    listed = F.concat(F.when(key % 4 != 3, first).otherwise(none), F.when(key % 2 == 0, later).otherwise(none))
+    return supplier.select(F.col("s_name").alias("distribuidora"), F.inline(listed)).select(
+        "distribuidora", F.col("d").cast("date").alias("valido_desde"), F.col("v").alias("limite_dec"))

@@ -45,26 +45,40 @@ def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> int:
     return _write(df, path, columns, "overwrite", "dynamic").get["rows"]
 
 
-def replace_years(
-    df: DataFrame, path: str, year_col: str, years: list[int], sort: list[str] | None = None
-) -> dict[int, int]:
-    """Replace the given years, leave all others; returns the rows written per year.
+def replace_years_measured(
+    df: DataFrame, path: str, year_col: str, years: list[int], sort: list[str] | None = None,
+    totals: dict[str, Column] | None = None,
+) -> dict[int, dict[str, int]]:
+    """Replace the given years, leave all others; returns what was written per year.
 
     One write for all years, and running it again gives the same table. Rows of other
-    years are not written, and a listed year without rows is emptied.
+    years are not written, and a listed year without rows is emptied. ``linhas`` is the
+    number of rows; ``totals`` are integer expressions summed beside it in the same write.
     """
+    sums = {"linhas": F.lit(1), **(totals or {})}
+    metrics = {
+        (y, name): F.sum(F.when(F.col(year_col) == y, value)).alias(f"{name}_{y}")
+        for y in years for name, value in sums.items()
+    }
     seen = _write(
         df.filter(F.col(year_col).isin(years)), path, [year_col], "overwrite", "dynamic",
-        [F.count_if(F.col(year_col) == y).alias(f"y{y}") for y in years],
-        sort,
+        list(metrics.values()), sort,
     )
-    written = {y: seen.get[f"y{y}"] for y in years}
+    written = {y: {name: seen.get[f"{name}_{y}"] or 0 for name in sums} for y in years}
     bare = df.drop(year_col).limit(0)
-    for year in [y for y, n in written.items() if n == 0]:
+    for year in [y for y, of in written.items() if of["linhas"] == 0]:
         bare.write.mode("overwrite").parquet(f"{path}/{year_col}={year}")
     return written
 
 
+def replace_years(
+    df: DataFrame, path: str, year_col: str, years: list[int], sort: list[str] | None = None
+) -> dict[int, int]:
+    """As ``replace_years_measured``; returns the rows written per year."""
+    written = replace_years_measured(df, path, year_col, years, sort)
+    return {year: of["linhas"] for year, of in written.items()}
+
+
 def write_checked(df: DataFrame, path: str, year_col: str) -> DataFrame:
     """Write, then compare the rows that went in with those the table holds.
 

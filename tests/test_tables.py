@@ -10,7 +10,7 @@ from outagelens import session
 from outagelens import vocabulary as v
 from outagelens.plans import medallion
 from outagelens.plans.queries import EVENT_COLUMNS, REGISTRY
-from outagelens.sources import ledger, readers, standins, tables
+from outagelens.sources import landed, ledger, metrics, readers, standins, tables
 from outagelens.streaming import landing
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -333,3 +333,259 @@ def test_failures_are_kept_whole_in_the_ledger(spark, tmp_path, monkeypatch):
     medallion.ingest_events(spark, manifest, f"{tmp_path}/b", f"{tmp_path}/l", RUN)
     stored = ledger.read_ledger(spark, f"{tmp_path}/l").collect()
     assert {r["url"]: (r["status"], r["mensagem"]) for r in stored} == {u: ("ERROR", t) for u, t in told.items()}
+
+
+def _landed(spark, root, sizes):
+    """One Parquet file per name, with so many events each."""
+    events = standins.events(spark, SF_DIR, *EVENT_COLUMNS)
+    for name, n in sizes.items():
+        events.limit(n).coalesce(1).write.parquet(f"{root}/{name}")
+
+
+def test_files_of_one_year_are_loaded_each_for_itself(spark, tmp_path):
+    _landed(spark, tmp_path, {"a": 100, "b": 60, "c d%41": 30, "e": 20})
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"PAR1 no parquet PAR1")
+    (file,) = [f"{tmp_path}/b/{n}" for n in os.listdir(tmp_path / "b") if n.endswith(".parquet")]
+    urls = {2024: [f"{tmp_path}/a", file, f"file:{tmp_path}/broken"], 2025: [f"file://{tmp_path}/c d%41/", f"{tmp_path}/missing", f"{tmp_path}/e"]}
+    rows = [("interrupcoes", y, u, "v1") for y, own in urls.items() for u in own]
+    manifest = spark.createDataFrame([*rows, rows[0]], MANIFEST)
+    bronze, book = f"{tmp_path}/bronze", f"{tmp_path}/ledger"
+    entries = {r["url"]: r for r in medallion.ingest_events(spark, manifest, bronze, book, RUN).collect()}
+    want = {rows[0][2]: 100, rows[1][2]: 60, rows[3][2]: 30, rows[5][2]: 20, rows[2][2]: 0, rows[4][2]: 0}
+    assert {u: r["num_registros"] for u, r in entries.items()} == want
+    assert "PATH_NOT_FOUND" in entries[rows[4][2]]["mensagem"]
+    assert by_year(spark, bronze, "_source_url") == {u: n for u, n in want.items() if n}
+    assert by_year(spark, bronze, "_ano_fonte") == {2024: 160, 2025: 50}
+    stored = ledger.read_ledger(spark, book)
+    assert stored.count() == 6
+    assert {r["url"] for r in ledger.pending(manifest, stored).collect()} == {rows[2][2], rows[4][2]}
+
+    # the missing file arrives; only it and the broken one are tried, the others stay as they are
+    _landed(spark, tmp_path, {"missing": 7})
+    again = medallion.ingest_events(spark, manifest, bronze, book, LATER)
+    assert {r["url"]: r["status"] for r in again.collect()} == {rows[2][2]: "ERROR", rows[4][2]: "SUCCESS"}
+    assert by_year(spark, bronze, "_ano_fonte") == {2024: 160, 2025: 57}
+    counts = medallion.silver_events(spark, bronze, f"{tmp_path}/silver", [2024, 2025], LATER)
+    assert counts["bronze"] == 217
+    assert "_source_file" not in spark.read.parquet(f"{tmp_path}/silver").columns
+
+
+def test_an_empty_manifest_loads_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], MANIFEST)
+    assert medallion.ingest_events(spark, none, f"{tmp_path}/b", f"{tmp_path}/l", RUN).count() == 0
+
+
+def test_failures_are_found_by_halves():
+    tried = []
+
+    def attempt(items):
+        tried.append(len(items))
+        if bad := [place for place, item in items if item == "bad"]:
+            raise ValueError(f"place {bad[0]}")
+        return {place: item for place, item in items}
+
+    items = list(enumerate(["ok"] * 64))
+    assert landed.by_halves(items, attempt) == (dict(items), {}) and tried == [64]
+    tried.clear()
+    items[40] = (40, "bad")
+    done, failed = landed.by_halves(items, attempt)
+    assert failed == {40: "place 40"} and len(done) == 63 and len(tried) == 13
+
+
+def test_missing_stamps_are_one_version(spark):
+    manifest = spark.createDataFrame([("s", 2024, "a", None), ("s", None, "b", "v1"), ("s", 2024, "c", None)], MANIFEST)
+    book = spark.createDataFrame([("s", 2024, "a", None, "SUCCESS"), ("s", None, "b", "v1", "SUCCESS")], MANIFEST + ", status STRING")
+    assert [r["url"] for r in ledger.pending(manifest, book).collect()] == ["c"]
+
+
+def test_stored_gold_of_indicators_equals_the_query(spark, tmp_path):
+    bronze = standins.indicators(spark, "/root/testdata/sf0.01").withColumn("numcnpj", F.col("_tie").cast("bigint")).drop("_tie")
+    medallion.indicator_tables(spark, bronze, f"{tmp_path}/s", f"{tmp_path}/g", RUN)
+    stored = {(r["distribuidora"], r["ano"], r["mes"]): r["qtd_conjuntos"] for r in spark.read.parquet(f"{tmp_path}/g").collect()}
+    query = REGISTRY["gold_indicator_month"](spark, "/root/testdata/sf0.01").collect()
+    assert stored == {(r["distribuidora"], r["ano"], r["mes"]): r["qtd_conjuntos"] for r in query}
+
+
+BRONZE = "DatInicioInterrupcao timestamp_ntz, SigAgente string, DatFimInterrupcao timestamp_ntz, _ano_fonte int, _source_last_modified string, _ingest_timestamp timestamp"
+
+
+def _bronze(spark, path, rows):
+    """(agent, day, ends after so many hours, year, stamp, days after RUN) to bronze, of one type and conjunto."""
+    day = dt.datetime(2024, 12, 31)
+    frame = spark.createDataFrame(
+        [(day + dt.timedelta(d), a, day + dt.timedelta(d, hours=h), y, s, RUN + dt.timedelta(k)) for a, d, h, y, s, k in rows], BRONZE)
+    whole = readers.stamp(spark.createDataFrame([], v.EVENT_SCHEMA), "source", "u", RUN, "", 0)
+    tables.replace_partitions(whole.unionByName(frame, allowMissingColumns=True), path, ["_ano_fonte", "_source_last_modified"])
+
+
+def _events(spark, path):
+    return sorted(tuple(r) for r in spark.read.parquet(path).select("cod_distribuidora", "data_inicio", "data_fim", "_ano_fonte").collect())
+
+
+def _files(path, year):
+    return sorted(n for n in os.listdir(f"{path}/_ano_fonte={year}") if n.endswith(".parquet"))
+
+
+ROWS = [
+    ("a", 0, 1, 2024, "v1", 0), ("b", 0, 1, 2024, "v1", 0), ("c", 0, 1, 2024, "v1", 0), ("c", 0, 5, 2024, "v1", 0),
+    ("a", 0, 2, 2025, "v1", 1), ("b", 0, 3, 2025, "v1", -1), ("d", 1, 1, 2025, "v1", 1),
+    ("d", 1, 4, 2026, "v1", 2), ("e", 2, 1, 2026, "v1", 2), ("f", 9, 1, 2023, "v1", 0),
+]
+
+
+@pytest.mark.parametrize("calls", [[[2026], [2025, 2024], [2023]], [[2024, 2026], [2023, 2025], [2024]]])
+def test_separate_loads_equal_one_load(spark, tmp_path, calls):
+    bronze = f"{tmp_path}/bronze"
+    _bronze(spark, bronze, ROWS)
+    for n, years in enumerate(calls):
+        medallion.silver_events(spark, bronze, f"{tmp_path}/apart", years, RUN + dt.timedelta(n))
+    medallion.silver_events(spark, bronze, f"{tmp_path}/whole", [2023, 2024, 2025, 2026], RUN)
+    found = _events(spark, f"{tmp_path}/apart")
+    assert found == _events(spark, f"{tmp_path}/whole")
+    assert {(r[0], r[3]) for r in found} == {("a", 2025), ("b", 2024), ("c", 2024), ("d", 2026), ("e", 2026), ("f", 2023)}
+
+
+def test_only_years_that_share_events_are_rewritten(spark, tmp_path):
+    bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    _bronze(spark, bronze, ROWS)
+    medallion.silver_events(spark, bronze, silver, [2023, 2024], RUN)
+    before = {y: _files(silver, y) for y in (2023, 2024)}
+    counts = medallion.silver_events(spark, bronze, silver, [2025], LATER)
+    assert _files(silver, 2023) == before[2023] and _files(silver, 2024) != before[2024]
+    assert (counts["silver"], counts["linhas_reescritas"], counts["duplicatas_removidas"]) == (2, 2, 1)
+
+
+def test_withdrawn_events_give_way_to_those_they_displaced(spark, tmp_path):
+    bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    _bronze(spark, bronze, ROWS)
+    for years in ([2024], [2025], [2026]):
+        medallion.silver_events(spark, bronze, silver, years, RUN)
+    _bronze(spark, bronze, [("d", 1, 1, 2025, "v2", 3)])  # a is withdrawn, d published anew
+    medallion.silver_events(spark, bronze, silver, [2025], LATER)
+    medallion.silver_events(spark, bronze, f"{tmp_path}/whole", [2024, 2025, 2026], LATER)
+    found = _events(spark, silver)
+    assert found == _events(spark, f"{tmp_path}/whole")
+    assert {(r[0], r[3]) for r in found} == {("a", 2024), ("b", 2024), ("c", 2024), ("d", 2025), ("e", 2026)}
+
+
+def test_a_replacement_cut_short_is_completed(spark, tmp_path, monkeypatch):
+    bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    _bronze(spark, bronze, ROWS)
+    medallion.silver_events(spark, bronze, silver, [2024], RUN)
+    replace = tables.replace_years_measured
+
+    def die(df, path, *rest):
+        if path == silver:
+            raise RuntimeError("lost")
+        return replace(df, path, *rest)
+
+    monkeypatch.setattr(tables, "replace_years_measured", die)
+    with pytest.raises(RuntimeError, match="lost"):
+        medallion.silver_events(spark, bronze, silver, [2025], LATER)
+    assert {r[3] for r in _events(spark, silver)} == {2024}
+    monkeypatch.setattr(tables, "replace_years_measured", replace)
+    medallion.silver_events(spark, bronze, silver, [2026], LATER)
+    medallion.silver_events(spark, bronze, f"{tmp_path}/whole", [2024, 2025, 2026], LATER)
+    assert _events(spark, silver) == _events(spark, f"{tmp_path}/whole")
+
+
+def test_a_table_without_an_index_gets_one(spark, tmp_path):
+    bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    _bronze(spark, bronze, ROWS)
+    older = medallion.silver_events(spark, bronze, f"{tmp_path}/other", [2024], RUN)
+    assert older["silver"] == 3
+    stored = spark.read.schema(medallion.SILVER_EVENTS).parquet(f"{tmp_path}/other")
+    tables.replace_all(stored, silver, "_ano_fonte")
+    medallion.silver_events(spark, bronze, silver, [2025], LATER)
+    medallion.silver_events(spark, bronze, f"{tmp_path}/whole", [2024, 2025], LATER)
+    assert _events(spark, silver) == _events(spark, f"{tmp_path}/whole")
+
+
+def _csv(path, lines, header=True):
+    path.mkdir(parents=True, exist_ok=True)
+    names = [",".join(EVENT_COLUMNS)] if header else []
+    (path / "part.csv").write_text("\n".join([*names, *lines]) + "\n")
+
+
+def _line(order, **changed):
+    values = {"NumOrdemInterrupcao": order, "SigAgente": "a", "DatInicioInterrupcao": "2024-05-01T10:00:00", "NumNivelTensao": "13800", **changed}
+    return ",".join(values.get(c, "") for c in EVENT_COLUMNS)
+
+
+def test_lines_that_do_not_fit_are_kept_aside(spark, tmp_path):
+    _csv(tmp_path / "2024a", [
+        _line("1-1"), _line("1-2", NumNivelTensao="alta"), _line("1-3", DatInicioInterrupcao="ontem", NumCPFCNPJ="x9"),
+        _line("1-4") + ",extra", "1-5,too few", _line('"1,6"', DscFatoGeradorInterrupcao='"a;""b"",c"'), _line("1-7", NumNivelTensao="")])
+    _csv(tmp_path / "2024b", [_line("2-1"), _line("2-2")])
+    _csv(tmp_path / "2025", [_line("3-1", NumAno="dois mil")])
+    (tmp_path / "swapped").mkdir()
+    (tmp_path / "swapped" / "part.csv").write_text(",".join(EVENT_COLUMNS[::-1]) + "\n" + _line("4-1") + "\n")
+    years = {"2024a": 2024, "2024b": 2024, "2025": 2025, "swapped": 2026}
+    manifest = spark.createDataFrame([("interrupcoes", y, f"{tmp_path}/{n}", "v1") for n, y in years.items()], MANIFEST)
+    bronze, book, aside, measured = (f"{tmp_path}/{n}" for n in ("bronze", "ledger", "aside", "metrics"))
+    for _ in range(2):
+        entries = medallion.ingest_events(spark, manifest, bronze, book, RUN, measured, rejected_path=aside)
+    stored = ledger.read_ledger(spark, book).filter("status = 'SUCCESS'").collect()
+    assert {(os.path.basename(r["url"]), r["num_registros"], r["mensagem"]) for r in stored} == {
+        ("2024a", 3, "carga concluida, 4 linhas rejeitadas"), ("2024b", 2, "carga concluida")}
+    failed = {os.path.basename(r["url"]): r["mensagem"] for r in entries.collect()}
+    assert failed["2025"] == "sem registros" and "header" in failed["swapped"].lower()
+    kept = spark.read.parquet(bronze)
+    assert {r[0] for r in kept.select("NumOrdemInterrupcao").collect()} == {"1-1", "1,6", "1-7", "2-1", "2-2"}
+    assert kept.filter("NumOrdemInterrupcao = '1,6'").first()["DscFatoGeradorInterrupcao"] == 'a;"b",c'
+    put = {(os.path.basename(r["_source_url"]), r["motivo"], r["linha"][:3]) for r in spark.read.parquet(aside).collect()}
+    assert put == {
+        ("2024a", "tipo: NumNivelTensao", ",,,"), ("2024a", "tipo: DatInicioInterrupcao, NumCPFCNPJ", ",,,"),
+        ("2024a", "campos", ",,,"), ("2024a", "campos", "1-5"), ("2025", "tipo: NumAno", ",,,")}
+    assert spark.read.parquet(aside).count() == 5
+    assert by_year(spark, bronze, "_ano_fonte") == {2024: 5}
+
+
+def test_deliveries_with_changed_types(spark, tmp_path):
+    a = spark.createDataFrame([(1, DAY, "7", 1.5, "x")], "k int, d date, n string, f float, only_a string")
+    b = spark.createDataFrame([(2**40, dt.datetime(2024, 5, 6, 7), "many", 2, "y")], "k long, d timestamp_ntz, n string, f int, only_b string")
+    c = spark.createDataFrame([(3, DAY, " 8 ", None, "z"), (None, None, None, None, None)], "k int, d date, n string, f float, only_a string")
+    for name, frame in (("a", a), ("b", b), ("c", c)):
+        frame.write.parquet(f"{tmp_path}/{name}")
+    rows = readers.read_reconciled(spark, [f"{tmp_path}/{n}" for n in "abc"], {"n": "bigint"})
+    assert dict(rows.dtypes) == {"k": "bigint", "d": "timestamp_ntz", "n": "bigint", "f": "double", "only_a": "string",
+                                 "only_b": "string", "_falhas_conversao": "int"}
+    found = {r["k"]: tuple(r)[1:] for r in rows.collect()}
+    noon = dt.datetime(2024, 5, 6)
+    assert found == {1: (noon, 7, 1.5, "x", None, 0), 2**40: (dt.datetime(2024, 5, 6, 7), None, 2.0, None, "y", 1),
+                     3: (noon, 8, None, "z", None, 0), None: (None, None, None, None, None, 0)}
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    kept = readers.read_reconciled(spark, [f"{tmp_path}/a", f"{tmp_path}/b"])
+    assert dict(kept.dtypes)["n"] == "string" and kept.agg(F.sum("_falhas_conversao")).first()[0] == 0
+
+
+DAY = dt.date(2024, 5, 6)
+
+
+def test_measures_of_a_year_count_with_their_newest_run(spark, tmp_path):
+    bronze, silver, gold, measured = (f"{tmp_path}/{n}" for n in ("bronze", "silver", "gold", "metrics"))
+    _bronze(spark, bronze, ROWS)
+    metrics.record(spark, measured, RUN, "interrupcoes", "bronze", {(2024, "a"): {"linhas": 3}, (2024, "b"): {"linhas": 1}})
+    metrics.record(spark, measured, LATER, "interrupcoes", "bronze", {(2024, "a"): {"linhas": 4}, (2025, "c"): {"linhas": 3}})
+    for n, years in enumerate(([2024], [2025])):
+        medallion.silver_events(spark, bronze, silver, years, RUN + dt.timedelta(n), measured)
+    medallion.gold_outages(spark, silver, gold, [2024, 2025], LATER, metrics_path=measured)
+    found = {r["etapa"]: r for r in metrics.run_summary(metrics.read_metrics(spark, measured)).collect()}
+    stored = spark.read.parquet(silver)
+    assert (found["bronze"]["linhas"], found["bronze"]["anos"]) == (8, 2)
+    assert found["silver"]["linhas"] == stored.count() == 4 and found["silver"]["removidos"] == 4
+    assert found["silver"]["segundos"] == stored.agg(F.sum("tempo_interrupcao_minutos") * 60).first()[0]
+    assert (found["gold"]["eventos"], found["gold"]["removidos"], found["gold"]["diferenca_segundos"]) == (4, 0, 0)
+    metrics.record(spark, None, RUN, "interrupcoes", "bronze", {(1, None): {"linhas": 1}})
+
+
+def test_wide_indicators_are_summed_up(spark, tmp_path):
+    bronze = standins.indicators(spark, SF_DIR).withColumn("_ingest_ts", F.col("_ingest_ts").cast("timestamp"))
+    odd = bronze.limit(3).withColumn("numperiodoindice", F.lit(13).cast("bigint")).withColumn("ideconjundconsumidoras", F.lit(99).cast("bigint"))
+    found = medallion.wide_indicators(spark, bronze.unionByName(odd).drop("_tie"), f"{tmp_path}/w", [1997, 1998], RUN)
+    keys = set(v.INDICATOR_KEY)
+    given = bronze.filter("anoindice in (1997, 1998)")
+    assert found["duplicatas_removidas"] >= given.count() - given.select(*keys, "sigindicador").distinct().count()
+    assert found["silver"] == spark.read.parquet(f"{tmp_path}/w").count() == given.select(*keys).distinct().count()
+    assert found["linhas_largas"] - found["invalidas_removidas"] == found["silver"]
