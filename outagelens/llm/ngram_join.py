@@ -20,7 +20,7 @@ from outagelens.llm.shared import may_be_member, member_bits, member_place, stor
 class Shingling:
     """Sets of ``words`` consecutive words link at ``percent`` of their union or more.
 
-    ``extra_percent``: how many more of a document's smallest shingles than one are held
+    ``extra_percent``: how many more of a document's first shingles than one are held
     against other documents' before its whole set is. ``chunk_tokens``: shingles that one
     task holds of a large group.
     """
@@ -35,40 +35,89 @@ _MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
                       0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
-def shingle_sets(column: pa.Array, shingling: Shingling) -> Iterator[np.ndarray]:
-    """The sorted distinct 64-bit shingles of each row; empty without any word."""
+def _ranked_sets(
+    column: pa.Array, shingling: Shingling, levels: np.ndarray | None
+) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """The sorted distinct 64-bit shingles of each row, and how frequent their words are."""
     n = shingling.words
     for low, high, data, offsets in text_arrays.row_groups(column):
         data = text_arrays.LOWER[data]
         starts, ends, rows = text_arrays.words(data, offsets)
         hashes = text_arrays.hash_spans(data, starts, ends)
-        sums = np.zeros(max(len(hashes) - n + 1, 0), dtype=np.uint64)
+        own = np.zeros(len(hashes), dtype=np.uint16) if levels is None else levels[_word_cell(hashes)]
+        whole = max(len(hashes) - n + 1, 0)
+        sums, frequent = np.zeros(whole, dtype=np.uint64), np.zeros(whole, dtype=np.uint16)
         for k in range(n):
             sums += hashes[k : len(hashes) - n + 1 + k] * _MULTIPLY[k]
+            frequent += own[k : len(hashes) - n + 1 + k]
         sums = text_arrays.mix(sums)
         first = np.searchsorted(rows, np.arange(high - low + 1))
         for row in range(high - low):
             begin, end = first[row], first[row + 1]
-            if end - begin >= n:
-                yield np.unique(sums[begin : end - n + 1])
+            if end - begin >= n and levels is None:
+                yield np.unique(sums[begin : end - n + 1]), None
+            elif end - begin >= n:
+                tokens, at = np.unique(sums[begin : end - n + 1], return_index=True)
+                yield tokens, frequent[begin : end - n + 1][at]
             elif end > begin:
                 short = (hashes[begin:end] * _MULTIPLY[: end - begin]).sum(keepdims=True, dtype=np.uint64)
-                yield text_arrays.mix(short + np.uint64(end - begin))
+                yield text_arrays.mix(short + np.uint64(end - begin)), np.zeros(1, dtype=np.uint16)
             else:
-                yield np.zeros(0, dtype=np.uint64)
+                yield np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint16)
+
+
+def shingle_sets(column: pa.Array, shingling: Shingling) -> Iterator[np.ndarray]:
+    """The sorted distinct 64-bit shingles of each row; empty without any word."""
+    for tokens, _ in _ranked_sets(column, shingling, None):
+        yield tokens
+
+
+def _word_cell(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - _CELL_BITS)).astype(np.int64)
+
+
+def _word_levels(rows: DataFrame) -> np.ndarray:
+    """How frequent the words of each cell are in all texts, in quarters of a doubling.
+
+    A table of fixed size, whatever the number of words: tasks count their own words in it
+    and send the cells they met, which are added up. Words that share a cell share its level;
+    that only blurs an order in which any choice is right.
+    """
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << _CELL_BITS, dtype=np.int64)
+        for batch in batches:
+            for _, _, data, offsets in text_arrays.row_groups(batch.column("body")):
+                data = text_arrays.LOWER[data]
+                starts, ends, _ = text_arrays.words(data, offsets)
+                counts += np.bincount(_word_cell(text_arrays.hash_spans(data, starts, ends)), minlength=len(counts))
+        met = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(counts[met])], names=["cell", "n"])
+
+    found = rows.select("body").mapInArrow(work, "cell int, n long").groupBy("cell").agg(
+        F.round(4 * F.log2(F.sum("n").cast("double"))).cast("short").alias("level")).toArrow()
+    levels = np.zeros(1 << _CELL_BITS, dtype=np.uint16)
+    levels[found.column("cell").to_numpy()] = found.column("level").to_numpy()
+    return levels
+
+
+#: the table of word counts has 2**16 cells
+_CELL_BITS = 16
+#: sets that a task remembers so as not to send their keys again
+_SEEN = 1 << 18
 
 
 def _at_least(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def _signatures(shingling: Shingling):
+def _signatures(shingling: Shingling, levels: np.ndarray):
+    """Set sizes and codes, and the first shingles of each set with the rarest words first."""
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             sizes, codes, keys = [], [], []
             named = batch.column("id").is_valid().to_pylist()
-            for has_id, tokens in zip(named, shingle_sets(batch.column("body"), shingling), strict=True):
+            for has_id, (tokens, frequent) in zip(named, _ranked_sets(batch.column("body"), shingling, levels), strict=True):
                 size = len(tokens)
                 sizes.append(size)
                 code = (int(text_arrays.mix(tokens).sum(dtype=np.uint64)),
@@ -77,9 +126,12 @@ def _signatures(shingling: Shingling):
                 if not has_id or not size or code in seen:
                     keys.append(tokens[:0])
                     continue
+                if len(seen) >= _SEEN:
+                    seen.clear()  # equal sets send their keys once more, which changes nothing
                 seen.add(code)
                 extra = size * shingling.extra_percent // 100
-                keys.append(tokens[: size - _at_least(size, shingling.percent) + 1 + extra].copy())
+                first = size - _at_least(size, shingling.percent) + 1 + extra
+                keys.append(tokens[np.lexsort((tokens, frequent))[:first]])
             both = np.array(codes, dtype=np.uint64).reshape(-1, 2).view(np.int64)
             flat = [k.view(np.int64) for k in keys]
             yield pa.RecordBatch.from_arrays(
@@ -142,7 +194,7 @@ def _tile_links(percent: int):
 
 def _join_tiles(tiles: DataFrame, percent: int) -> DataFrame:
     return (
-        tiles.select("tile", "id", "side", "label", "tokens").repartition("tile").sortWithinPartitions("tile")
+        tiles.select("tile", "id", "side", "label", "tokens").repartition(F.xxhash64("tile")).sortWithinPartitions("tile")
         .mapInArrow(_tile_links(percent), "a long, b long")
     )
 
@@ -241,9 +293,10 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A document's set holds its distinct runs of ``words`` words, lower-cased in A-Z. Two
     documents link at ``percent`` of the union of their sets.
 
-    Shingles are ordered by hash. Linked documents share shingles among the first of both
-    sets, and more than one if each takes a few more; a document that shares fewer with any
-    others has no link. What is left forms candidate groups, most of a few documents, and a
+    Shingles are put in one order for all documents: those of rare words first, then by hash.
+    Linked documents share shingles among the first of both sets, whatever the order, and more
+    than one if each takes a few more; a document that shares fewer with any others has no
+    link. Rare words make it unlikely that unlike documents meet. What is left forms candidate groups, most of a few documents, and a
     signature tree joins each group with itself, exactly. Equal sets count once: each task
     sends the keys of equal sets only once, so a text with copies in a third of all rows is
     a few rows per key.
@@ -256,7 +309,7 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
     signatures = stored(rows.mapInArrow(
-        _signatures(shingling), "id long, n long, code_a long, code_b long, keys array<long>"))
+        _signatures(shingling, _word_levels(rows)), "id long, n long, code_a long, code_b long, keys array<long>"))
     groups, classes = _candidates(signatures, shingling)
     small = groups.filter(F.col("tokens_sum") <= shingling.chunk_tokens)
     large = groups.filter(F.col("tokens_sum") > shingling.chunk_tokens)

@@ -6,7 +6,7 @@ import numpy as np
 
 #: bits of a node's bitmap, sets in a leaf, children of a node
 BITS = 1024
-LEAF = 32
+LEAF = 8
 FANOUT = 4
 
 
@@ -16,6 +16,24 @@ def _bitmap(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(flags).view(np.uint64)
 
 
+class Labels:
+    """What is connected, as an array of labels; of two parts the smaller takes the other's."""
+
+    def __init__(self, labels: np.ndarray) -> None:
+        self.of = labels.copy()
+        order = np.argsort(labels, kind="stable")
+        cuts = np.flatnonzero(np.diff(labels[order])) + 1
+        self.members = {int(labels[part[0]]): part.tolist() for part in np.split(order, cuts) if len(part)}
+
+    def unite(self, one: int, other: int) -> None:
+        keep, gone = int(self.of[one]), int(self.of[other])
+        if len(self.members[keep]) < len(self.members[gone]):
+            keep, gone = gone, keep
+        moved = self.members.pop(gone)
+        self.of[moved] = keep
+        self.members[keep] += moved
+
+
 class Tree:
     """Sets in order of size. A node holds the union of the bitmaps of the sets below it,
     the fewest bits that one of them sets, and with the order the range of their sizes."""
@@ -59,7 +77,7 @@ def _possible(common_bits, bits_a, bits_b, size_a, size_b, percent: int):
     return (100 - percent) * shared >= percent * (only_a + only_b)
 
 
-def _leaves(a: Tree, rows: slice, b: Tree, cols: slice, sets, labels, percent: int, same: bool):
+def _leaves(a: Tree, rows: slice, b: Tree, cols: slice, sets, labels: Labels, percent: int, same: bool):
     """Exact counts of the pairs that bitmaps cannot exclude and that aren't connected yet."""
     bits_a, bits_b = a.bits[rows], b.bits[cols]
     common = np.bitwise_count(bits_a[:, None, :] & bits_b[None, :, :]).sum(axis=2, dtype=np.int64)
@@ -74,13 +92,12 @@ def _leaves(a: Tree, rows: slice, b: Tree, cols: slice, sets, labels, percent: i
         one = which_a[i]
         for j in np.flatnonzero(open_pairs[i]):
             other = which_b[j]
-            if labels[one] == labels[other]:
+            if labels.of[one] == labels.of[other]:
                 continue
             shared = len(np.intersect1d(sets[one], sets[other], assume_unique=True))
             if 100 * shared >= percent * (len(sets[one]) + len(sets[other]) - shared):
                 found.append((int(one), int(other)))
-                low, high = sorted((labels[one], labels[other]))
-                labels[labels == high] = low
+                labels.unite(one, other)
     return found
 
 
@@ -90,11 +107,11 @@ def join(a: Tree, b: Tree, sets: list[np.ndarray], labels: np.ndarray, percent:
     Both trees are walked together from their roots. A pair of nodes is dropped when the
     sizes below them are too far apart, when no two sets below them can share enough tokens,
     or when all of them are connected already. Pairs that reach the leaves are counted
-    exactly. ``labels`` holds what is connected, and is kept up to date.
+    exactly. ``labels`` tells what is connected from the start.
     """
     if not a.levels or not b.levels:
         return []
-    found = []
+    found, labels = [], Labels(labels)
     walk = [((len(a.levels) - 1, 0), (len(b.levels) - 1, 0))]
     while walk:
         (la, ia), (lb, ib) = walk.pop()
@@ -105,8 +122,8 @@ def join(a: Tree, b: Tree, sets: list[np.ndarray], labels: np.ndarray, percent:
         common = int(np.bitwise_count(or_a & or_b).sum())
         if not _possible(common, few_a, few_b, a.sizes[high_a - 1], b.sizes[high_b - 1], percent):
             continue
-        own = labels[a.which[low_a]]
-        if (labels[a.which[low_a:high_a]] == own).all() and (labels[b.which[low_b:high_b]] == own).all():
+        own = labels.of[a.which[low_a]]
+        if (labels.of[a.which[low_a:high_a]] == own).all() and (labels.of[b.which[low_b:high_b]] == own).all():
             continue
         if la == 0 and lb == 0:
             found += _leaves(a, slice(low_a, high_a), b, slice(low_b, high_b), sets, labels, percent, a is b and ia == ib)

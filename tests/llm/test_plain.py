@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from outagelens import session
-from outagelens.llm import language_id, mixing, ngram_join, packing, pii, token_store
+from outagelens.llm import language_id, mixing, ngram_join, packing, pii, signature_tree, token_store
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -64,8 +64,8 @@ def shingles(text, n):
     return {tuple(words[k : k + n]) for k in range(max(len(words) - n, 0) + 1)} if words else set()
 
 
-@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80)])
-def test_ngram_join(docs, words, percent):
+@pytest.mark.parametrize(("words", "percent", "chunk"), [(4, 85, 1_000_000), (5, 80, 1_000_000), (5, 80, 300), (4, 85, 40)])
+def test_ngram_join(docs, words, percent, chunk):
     sets = {r[0]: shingles(r[1], words) for r in ROWS if r[0] is not None}
     parent = {i: i for i in sets}
 
@@ -81,11 +81,51 @@ def test_ngram_join(docs, words, percent):
             if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 low, high = sorted((root(a), root(b)))
                 parent[high] = low
-    got = ngram_join.linked_documents(docs, shingling=ngram_join.Shingling(words=words, percent=percent)).collect()
+    got = ngram_join.linked_documents(
+        docs, shingling=ngram_join.Shingling(words=words, percent=percent, chunk_tokens=chunk)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == {i: (len(sets[i]), root(i)) for i in ids}
     assert len({root(i) for i in ids}) < len(ids) - 20
 
 
+def test_a_large_group_without_a_main_component(spark):
+    """Documents that share rare words in pairs, so that one group holds many small components."""
+    draw = random.Random(23)
+    passage = [f"rare{k}" for k in range(40)]
+    rows = []
+    for k in range(60):
+        words = passage[: 20 + k % 20] + [f"own{k}x{j}" for j in range(60)]
+        for copy in range(3):
+            rows.append((3 * k + copy, " ".join([*words, *draw.choices("ab", k=copy)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for chunk, extra in ((200, 0), (200, 6)):
+        got = ngram_join.linked_documents(docs, shingling=ngram_join.Shingling(extra_percent=extra, chunk_tokens=chunk)).collect()
+        assert {r.doc_id: r.component_id for r in got} == {i: i - i % 3 for i, _ in rows}
+
+
+def test_trees_find_what_all_pairs_have():
+    draw = np.random.default_rng(3)
+    sets, base = [], [np.unique(draw.integers(0, 2**63, 80, dtype=np.uint64)) for _ in range(12)]
+    for k in range(400):
+        own = base[k % 12]
+        sets.append(np.unique(np.concatenate([draw.choice(own, len(own) - k % 15, replace=False), draw.integers(0, 2**63, k % 7, dtype=np.uint64)])))
+    which = np.arange(len(sets))
+    tree = signature_tree.Tree(sets, which)
+    assert len(tree.levels) == 4
+    pairs = {(i, j) for i in which for j in which[:i]
+             if (n := len(np.intersect1d(sets[i], sets[j]))) * 100 >= 80 * (len(sets[i]) + len(sets[j]) - n)}
+    found = signature_tree.join(tree, tree, sets, which, 80)
+    assert {(max(p), min(p)) for p in found} <= pairs
+
+    def parts(links):
+        labels = signature_tree.Labels(which)
+        for i, j in links:
+            if labels.of[i] != labels.of[j]:
+                labels.unite(i, j)
+        return sorted(sorted(m) for m in labels.members.values())
+
+    assert parts(found) == parts(pairs) and len(parts(pairs)) < 60
+
+
 def buckets(text):
     """Hashed n-grams of one to three characters, at least one of them a letter."""
     codes = [(ord(c.lower()) if len(c.lower()) == 1 else ord(c)) if c.isalpha() else 0 for c in text]
