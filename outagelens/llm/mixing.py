@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from outagelens.llm.shared import stored
+
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_WITH_SPACE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 #: primes above any number of blocks: multiplying by one permutes the block numbers
@@ -84,21 +86,43 @@ def placed(sized: DataFrame, mix: Mix = Mix()) -> DataFrame:
     )
 
 
-def slots(targets: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """(source, slot, shard, block): which block of its source each slot of the mix holds.
+def shard_plan(targets: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """(source, blocks, shard, first, count): how many slots of a source each shard holds.
 
-    Each slot draws its output shard, so the shards' counts of a source are multinomial
-    while the whole mix meets the targets. A source's slots run through its blocks by a
-    permutation of block numbers, another one each time round.
+    Every slot of the mix draws its output shard, so a shard's counts of the sources are
+    multinomial; a source has as many slots as its target asks for, so what the last draws
+    get makes up for the others and the whole mix meets the targets. ``first`` counts the
+    source's slots in the shards before. A row per source and shard.
     """
     shards = F.greatest(F.ceil(F.sum("slots").over(W.partitionBy()) / mix.shard_slots), F.lit(1))
     step = 4_096
-    spread = (
+    name = F.coalesce("source", F.lit("null"))
+    drawn = (
         targets.withColumn("shards", shards).filter("slots > 0")
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / step))))
         .repartition(F.col("source"), F.col("part"))
         .withColumn("slot", F.explode(F.sequence(
             F.col("part") * step, F.least((F.col("part") + 1) * step, F.col("slots")) - 1)))
+        .withColumn("shard", F.pmod(F.xxhash64(F.lit(mix.seed + 2), name, F.col("slot")), F.col("shards")))
+    )
+    counts = drawn.groupBy("source", "blocks", "shard").agg(F.count(F.lit(1)).alias("count"))
+    earlier = W.partitionBy("source").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    return counts.withColumn("first", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
+
+
+def slots(targets: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """(source, slot, shard, block): which block of its source each slot of the mix holds.
+
+    The counts drawn for a shard say which of a source's slots are its own. They run through
+    the source's blocks by a permutation of block numbers, another one each time round.
+    """
+    step = 4_096
+    spread = (
+        shard_plan(targets, mix)
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("count") - 1) / step))))
+        .repartition(F.col("source"), F.col("shard"), F.col("part"))
+        .withColumn("slot", F.explode(F.sequence(
+            F.col("first") + F.col("part") * step, F.col("first") + F.least((F.col("part") + 1) * step, F.col("count")) - 1)))
     )
     turn = F.floor(F.col("slot") / F.col("blocks"))
     name = F.coalesce("source", F.lit("null"))
@@ -107,18 +131,15 @@ def slots(targets: DataFrame, mix: Mix = Mix()) -> DataFrame:
     wide = "decimal(19,0)"
     block = ((F.col("slot") % F.col("blocks")).cast(wide) * (prime % F.col("blocks")).cast(wide)
              + F.pmod(F.xxhash64(F.lit(mix.seed + 1), name, turn), F.col("blocks"))) % F.col("blocks").cast(wide)
-    return spread.select(
-        "source", "slot",
-        F.pmod(F.xxhash64(F.lit(mix.seed + 2), name, F.col("slot")), F.col("shards")).alias("shard"),
-        block.cast("long").alias("block"),
-    )
+    return spread.select("source", "slot", "shard", block.cast("long").alias("block"))
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return docs.select(
+    """Words per document, counted once and kept: four numbers a row."""
+    return stored(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
         F.xxhash64(text_col).alias("version"),
-    )
+    ))
 
 
 def _taken_pieces(rows: DataFrame, targets: DataFrame, mix: Mix, by: tuple[str, ...] = ()) -> DataFrame:
@@ -142,9 +163,9 @@ def _taken_pieces(rows: DataFrame, targets: DataFrame, mix: Mix, by: tuple[str,
 
 def shard_counts(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text",
                  source_col: str = "source") -> DataFrame:
-    """(shard, source, slots): the blocks of each source that were dealt to each output shard."""
+    """(shard, source, slots): the blocks of each source that were drawn for each output shard."""
     targets = source_targets(_sized(docs, id_col, text_col, source_col), mix)
-    return slots(targets, mix).groupBy("shard", "source").agg(F.count(F.lit(1)).alias("slots"))
+    return shard_plan(targets, mix).select("shard", "source", F.col("count").alias("slots"))
 
 
 def mix_sizes(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text",

@@ -140,7 +140,140 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
               op12_chat_format, op13_conversation_repair)
 }
 
+
+def _crc(text: str) -> str:
+    """CRC-32 of an ASCII text: a step of eight shifts per character."""
+    shift = "lambda v, i: xor(v >> 1, 3988292384 * (v & 1))"
+    return f"""xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+        list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], {shift})))"""
+
+
+_SEPARATORS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
 ORACLES: dict[str, str] = {
+    "op11_periodic_runs": rf"""
+        WITH worded AS (
+            SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w, {_crc('CAST(doc_id AS VARCHAR)')} AS h
+            FROM documents
+        ), told AS (
+            SELECT *, len(w) AS n, h // 10 AS g FROM worded
+        ), cut AS (
+            SELECT *, h % 10 = 0 AND n > 0 AS tailed, g % greatest(n, 1) AS a FROM told
+        ), parted AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM cut),
+        words AS (
+            SELECT doc_id, n, i, w[CASE WHEN tailed AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS word
+            FROM (SELECT *, unnest(range(n)) AS i FROM parted)
+        ), same AS (
+            SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y
+            ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+        ), islands AS (
+            SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM (
+                SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same)
+            GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+        ), runs AS (
+            SELECT doc_id, start, length, q AS period FROM islands r WHERE NOT EXISTS (
+                SELECT 1 FROM islands o WHERE o.doc_id = r.doc_id AND o.q < r.q AND o.start <= r.start
+                AND o.start + o.length >= r.start + r.length)
+        ), listed AS (
+            SELECT doc_id, count(*) AS n_runs,
+                   string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+                   arg_min({{'start': start, 'length': length, 'period': period}},
+                           {{'l': -length, 's': start, 'p': period}}) AS best
+            FROM runs GROUP BY doc_id
+        ), dropped AS (
+            SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+               1000 * best.length // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+               sha256(coalesce(k.text, '')) AS collapsed_sha256
+        FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept k USING (doc_id)
+    """,
+    "op12_chat_format": r"""
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'),
+                             (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+        ), placed AS (
+            SELECT *, row_number() OVER conv - 1 AS pos, lag(role) OVER conv AS before
+            FROM said WINDOW conv AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+        ), sized AS (
+            SELECT *, length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) AS body,
+                   length(replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '|', '\|')) AS head,
+                   pos % 256 = 0 OR before <> role AS opens
+            FROM placed
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(body + CASE WHEN opens THEN length('<|im_start|>') + head + 1 + length('<|im_end|>') + 1
+                                    ELSE length('<|im_sep|>') END) AS BIGINT) AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
+    "op13_conversation_repair": rf"""
+        WITH RECURSIVE hit AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   {_crc("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+            FROM conversations
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) FROM hit WHERE kind <> 0)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+                   CASE WHEN role = '' THEN '?' ELSE role[1] END AS initial, rtrim(text, {_SEPARATORS}) AS bare
+            FROM damaged
+        ), judged AS (
+            SELECT *, CASE WHEN bare = '' THEN 'blank'
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                       WHEN bare[-1] NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+                   lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair
+            FROM placed
+        ), counted AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                   count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM judged GROUP BY conv_id
+        ), moves(state, wanted, name, after) AS (VALUES ('', 'u', 'user', 'u'), ('s', 'u', 'user', 'u'), ('a', 'u', 'user', 'u'),
+                                                      ('u', 'a', 'assistant', 'a')),
+        inserted(state, after, cost, audit, said) AS (  -- up to three inserts before a row, or at the end
+            SELECT state, state, 0, '', CAST([] AS VARCHAR[]) FROM moves
+            UNION ALL SELECT i.state, m.after, i.cost + 3, i.audit || 'I', list_append(i.said, m.name || ':')
+            FROM inserted i JOIN moves m ON m.state = i.after WHERE i.cost < 9
+        ), best(conv_id, pos, state, way) AS (
+            SELECT conv_id, CAST(0 AS BIGINT), '', {{'cost': 0, 'audit': '', 'said': CAST([] AS VARCHAR[])}} FROM counted
+            UNION ALL
+            SELECT conv_id, pos, state, min(way) FROM (
+                SELECT b.conv_id, j.pos, CASE e.edit WHEN 'D' THEN i.after WHEN 'K' THEN j.initial ELSE m.after END AS state,
+                       {{'cost': b.way.cost + i.cost + CASE e.edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+                                + CASE WHEN e.edit <> 'D' AND j.fault = 'truncated' THEN 3 ELSE 0 END,
+                         'audit': b.way.audit || i.audit || e.edit,
+                         'said': list_concat(list_concat(b.way.said, i.said), CASE e.edit WHEN 'D' THEN CAST([] AS VARCHAR[])
+                                 WHEN 'K' THEN [j.role || ':' || j.text] ELSE [m.name || ':' || j.text] END)}} AS way
+                FROM best b JOIN inserted i ON i.state = b.state JOIN moves m ON m.state = i.after
+                JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.pos = b.pos + 1
+                JOIN (VALUES ('D'), ('K'), ('R')) e(edit)
+                  ON e.edit = 'D' OR (coalesce(j.fault, '') NOT IN ('blank', 'duplicate')
+                     AND (e.edit = 'R' OR j.initial = m.wanted OR (j.initial = 's' AND i.after = '')))
+            ) GROUP BY conv_id, pos, state
+        ), ended AS (
+            SELECT c.conv_id, min({{'cost': b.way.cost + i.cost, 'audit': b.way.audit || i.audit,
+                                   'said': list_concat(b.way.said, i.said)}}) AS way
+            FROM counted c JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.pos = c.n
+            JOIN inserted i ON i.state = b.state AND i.after IN ('', 'a') GROUP BY c.conv_id
+        )
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               CAST(coalesce(way.cost, 0) AS BIGINT) AS cost, coalesce(way.audit, '') AS audit,
+               sha256(coalesce(array_to_string(way.said, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -15,9 +15,10 @@ from outagelens.llm.language_id import remainder
 from outagelens.llm.ngram_join import Shingling, shingle_sets
 from outagelens.llm.shared import stored
 
-# fixed values: what opens or closes a quotation, and words that report what others say
-QUOTES = ['"', "“", "”", "„", "«", "»", "‘", "’"]
+# fixed values: marks that open and close a quotation, and words that report what others say
+PAIRS = [("“", "”"), ("„", "“"), ("«", "»"), ("‘", "’")]
 REPORTS = ["said", "says", "quote", "quoted", "called", "word", "term", "wrote"]
+_REPORTS = frozenset(REPORTS)
 
 
 @dataclass(frozen=True)
@@ -25,7 +26,7 @@ class Settings:
     """``sample``: labelled rows that are learned from, about, chosen by hash. A term stands
     in ``least_docs`` toxic texts of the sample and ``least_part`` of them at least, and
     ``least_share`` of the texts that hold it are toxic; ``most_terms`` is the size of the
-    lexicon."""
+    lexicon. Words of 128 bytes and more are compared with terms as they are, not for an edit."""
 
     sample: int = 20_000
     least_docs: int = 4
@@ -39,12 +40,17 @@ class Settings:
 
 @dataclass
 class Model:
-    """Terms, clean words that only look like one, and weights: bias, exact, misspelled."""
+    """Terms, clean words that only look like one, and weights: bias, then a hit that is
+    exact, misspelled, quoted, reported. The last two follow from the others if not given."""
 
     terms: list[str] = field(default_factory=list)
     clean: set[str] = field(default_factory=set)
     weights: np.ndarray = field(default_factory=lambda: np.array([-3.0, 4.0, 2.0]))
 
+    def __post_init__(self) -> None:
+        if len(self.weights) == 3:
+            self.weights = np.append(self.weights, [0.2 * self.weights[1], 0.5 * self.weights[1]])
+
 
 class Trie:
     """A lexicon by letters; words within one edit are found by walking both at once."""
@@ -101,12 +107,54 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _places(data: np.ndarray, mark: str) -> np.ndarray:
+    """Where the bytes of a mark begin."""
+    raw = mark.encode()
+    found = np.flatnonzero(data[: len(data) - len(raw) + 1] == raw[0])
+    for k in range(1, len(raw)):
+        found = found[data[found + k] == raw[k]]
+    return found
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of runs of letters, digits, ``@`` and ``$``."""
-    starts, ends = text_arrays.runs(_WORD_BYTES[data], offsets)
+    """Start, end and row of runs of letters, digits, ``@`` and ``$``; quotation marks of any
+    kind end a word."""
+    inside = _WORD_BYTES[data]
+    for mark in {m for pair in PAIRS for m in pair}:
+        places = _places(data, mark)
+        for k in range(len(mark.encode())):
+            inside[places + k] = False
+    starts, ends = text_arrays.runs(inside, offsets)
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
+def quoted(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Whether each span stands between paired quotation marks of its own line.
+
+    A straight mark opens if an even number of them stands before it on the line. Of two
+    different marks the opening one must be the last of both before the span. Either way a
+    closing one has to follow on the line.
+    """
+    breaks = np.union1d(np.flatnonzero(data == 10), offsets)
+    line = np.searchsorted(breaks, starts, side="right")
+    low = np.maximum(breaks[line - 1], offsets[rows])
+    high = np.append(breaks, len(data))[line]
+
+    def between(places: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.searchsorted(places, right) - np.searchsorted(places, left)
+
+    straight = np.flatnonzero(data == 34)
+    found = (between(straight, low, starts) % 2 == 1) & (between(straight, ends, high) > 0)
+    for opening, closing in PAIRS:
+        opens, closes = _places(data, opening), _places(data, closing)
+        if not len(opens) or not len(closes):
+            continue
+        k = np.searchsorted(opens, starts)
+        last = np.where(k > 0, opens[np.maximum(k - 1, 0)], -1)
+        found |= (last >= low) & (between(closes, last + 1, starts) == 0) & (between(closes, ends, high) > 0)
+    return found
+
+
 class Finder:
     """Terms in texts, spelled right or with one edit; results for words are kept."""
 
@@ -152,21 +200,19 @@ class Finder:
         starts = ends - np.array([len(r) for r in raw], dtype=np.int64)
         return np.sort(text_arrays.hash_spans(np.frombuffer(b"".join(raw), dtype=np.uint8), starts, ends))
 
-    def _context(self, data: np.ndarray, start: int, end: int, low: int, high: int) -> float:
-        """What a hit counts: little between quotation marks, half beside a reporting word."""
+    def _reported(self, data: np.ndarray, start: int, end: int, low: int, high: int) -> bool:
+        """Whether a reporting word stands in the window around a hit."""
         reach = self.settings.window
-        before = data[max(low, start - reach) : start].tobytes().decode("utf-8", "ignore")
-        after = data[end : min(high, end + reach)].tobytes().decode("utf-8", "ignore")
-        score = 1.0
-        if any(q in before for q in QUOTES) and any(q in after for q in QUOTES):
-            score *= 0.2
-        if any(r in before.split() or r in after.split() for r in REPORTS):
-            score *= 0.5
-        return score
+        around = data[max(low, start - reach) : start].tobytes() + b" " + data[end : min(high, end + reach)].tobytes()
+        return not _REPORTS.isdisjoint(around.decode("utf-8", "ignore").split())
 
     def features(self, column: pa.Array) -> np.ndarray:
-        """(rows, 2): context scores of exact and of misspelled terms, summed, log(1 + x)."""
-        out = np.zeros((len(column), 2))
+        """(rows, 4): hits that are exact, misspelled, quoted, reported, as log(1 + x).
+
+        A hit counts once: quoted if it stands in a quotation, else reported if a reporting
+        word is near, else by its spelling.
+        """
+        out = np.zeros((len(column), 4))
         if not len(self.exact):
             return out
         for low, high, data, offsets in text_arrays.row_groups(column):
@@ -176,11 +222,15 @@ class Finder:
             starts, ends, rows = words(data, offsets)
             hashes = text_arrays.hash_spans(data, starts, ends)
             at = np.searchsorted(self.exact, hashes).clip(max=len(self.exact) - 1)
-            hits = [(k, 0) for k in np.flatnonzero(self.exact[at] == hashes)]
-            hits += [(k, 1) for k in self._misspelled(data, starts, ends, hashes, self.exact[at] == hashes)]
-            for k, kind in hits:
-                row = rows[k]
-                out[low + row, kind] += self._context(data, int(starts[k]), int(ends[k]), int(offsets[row]), int(offsets[row + 1]))
+            exact = self.exact[at] == hashes
+            hits = np.concatenate([np.flatnonzero(exact), self._misspelled(data, starts, ends, hashes, exact)]).astype(np.int64)
+            kinds = np.where(exact[hits], 0, 1)
+            kinds[quoted(data, offsets, starts[hits], ends[hits], rows[hits])] = 2
+            for n in np.flatnonzero(kinds < 2):
+                k, row = hits[n], rows[hits[n]]
+                if self._reported(data, int(starts[k]), int(ends[k]), int(offsets[row]), int(offsets[row + 1])):
+                    kinds[n] = 3
+            np.add.at(out, (low + rows[hits], kinds), 1)
         return np.log1p(out)
 
     def _misspelled(self, data, starts, ends, hashes, exact) -> np.ndarray:
@@ -262,7 +312,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
 
     About ``sample`` labelled rows are taken by a hash of their id. Words of toxic texts that
     clean ones hardly hold become terms. The weights are fitted on the features of the same
-    rows, two numbers each.
+    rows, four numbers each.
     """
     known = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
     size = known.count()
@@ -306,10 +356,12 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
         finder = Finder(part, settings)
         for batch in batches:
             found = finder.features(batch.column("body"))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["toxic", "exact", "near"])
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *[pa.array(found[:, k]) for k in range(4)]], names=["toxic", *kinds])
 
-    measures = sample.filter("half = 1").select("toxic", "body").mapInArrow(measured, "toxic int, exact double, near double").toArrow()
-    features = np.column_stack([measures.column("exact").to_numpy(), measures.column("near").to_numpy()])
+    kinds = ["exact", "near", "quoted", "reported"]
+    measures = sample.filter("half = 1").select("toxic", "body").mapInArrow(
+        measured, "toxic int, exact double, near double, quoted double, reported double").toArrow()
+    features = np.column_stack([measures.column(k).to_numpy() for k in kinds])
     model.weights = _fitted(features, measures.column("toxic").to_numpy().astype(float), model.weights)
     return model
 
