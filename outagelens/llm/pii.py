@@ -207,8 +207,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, float]], steps: int
     crf = Crf(np.zeros((N_FEATURES, TAGS)), np.zeros((TAGS, TAGS)), np.zeros(TAGS))
     if not rows:
         return crf
-    longest = max(len(tags) for _, tags, _, _ in rows)
-    size = len(rows)
+    rows = sorted(rows, key=lambda r: -len(r[1]))
+    lengths = np.array([len(tags) for _, tags, _, _ in rows])
+    longest, size = int(lengths[0]), len(rows)
+    alive = [int((lengths > t).sum()) for t in range(longest)]  # rows that reach a place come first
     weight = np.array([w for _, _, _, w in rows])
     index = np.zeros((size, longest, 4), dtype=np.int64)
     gold = np.zeros((size, longest), dtype=np.int64)
@@ -218,6 +220,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, float]], steps: int
         n = len(tags)
         index[k, :n], gold[k, :n], mask[k, :n], closed[k, :n] = own, tags, True, ~able
     only_outside = np.where(np.arange(TAGS) > 0, -1e4, 0.0)
+    # the words of each feature, found once, so that a step adds them up in one pass
+    held = index[mask].T.ravel()
+    by_feature = np.argsort(held, kind="stable")
+    present, starts = np.unique(held[by_feature], return_index=True)
+    word_of = by_feature % mask.sum()
     params = [crf.emit, crf.move, crf.first]
     means, squares = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     every = np.arange(size)
@@ -227,23 +234,22 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, float]], steps: int
         forward = np.zeros((size, longest, TAGS))
         forward[:, 0] = scores[:, 0] + first
         for t in range(1, longest):
-            then = _log_sum(forward[:, t - 1, :, None] + move, 1) + scores[:, t]
-            forward[:, t] = np.where(mask[:, t, None], then, forward[:, t - 1])
-        total = _log_sum(forward[:, -1], 1)
+            n = alive[t]
+            forward[:n, t] = _log_sum(forward[:n, t - 1, :, None] + move, 1) + scores[:n, t]
+        total = _log_sum(forward[every, lengths - 1], 1)
         backward = np.zeros((size, longest, TAGS))
         pair = np.zeros((TAGS, TAGS))
         for t in range(longest - 2, -1, -1):
-            ahead = scores[:, t + 1] + backward[:, t + 1]
-            backward[:, t] = np.where(mask[:, t + 1, None], _log_sum(move + ahead[:, None, :], 2), 0.0)
-            both = np.exp(forward[:, t, :, None] + move + ahead[:, None, :] - total[:, None, None]) * weight[:, None, None]
-            pair += both[mask[:, t + 1]].sum(axis=0)
+            n = alive[t + 1]
+            onward = move + (scores[:n, t + 1] + backward[:n, t + 1])[:, None, :]
+            backward[:n, t] = _log_sum(onward, 2)
+            pair += np.tensordot(weight[:n], np.exp(forward[:n, t, :, None] + onward - total[:n, None, None]), axes=1)
         chance = np.exp(forward + backward - total[:, None, None]) * mask[..., None]
         slope = [np.zeros_like(p) for p in params]
         wrong = chance.copy()
         wrong[every[:, None], np.arange(longest), gold] -= mask
         wrong *= weight[:, None, None]
-        for f in range(4):
-            np.add.at(slope[0], index[..., f][mask], wrong[mask])
+        slope[0][present] = np.add.reduceat(wrong[mask][word_of], starts, axis=0)
         slope[1] += pair
         np.add.at(slope[1], (gold[:, :-1][mask[:, 1:]], gold[:, 1:][mask[:, 1:]]), -np.repeat(weight, mask[:, 1:].sum(axis=1)))
         slope[2] += wrong[:, 0].sum(axis=0)
@@ -526,7 +532,13 @@ def train_rows(table: list[tuple[str, str]]) -> Crf:
                 inside = inside[0] + np.arange(len(inside))[np.diff(inside, prepend=inside[0] - 1) == 1]
                 tags[inside] = 2 + 2 * KINDS.index(kind)
                 tags[inside[0]] -= 1
-        rows.append((features(words), tags, words.open, weight))
+        # all other words are outside whatever the weights, so runs of open words, with one
+        # word on either side, have the same likelihood as the row
+        index, last = features(words), len(tags) - 1
+        runs = np.flatnonzero(np.diff(np.append(0, np.append(words.open, 0).astype(np.int8))))
+        for low, high in zip(runs[::2], runs[1::2], strict=True):
+            part = slice(max(low - 1, 0), min(high, last) + 1)
+            rows.append((index[part], tags[part], words.open[part], weight))
     return fit(rows)
 
 
