@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from outagelens.llm.components import components
 from outagelens.llm.shared import stored
+from outagelens.llm.text_arrays import slices
 from outagelens.llm.tiles import each_tile
 
 
@@ -157,38 +159,56 @@ def _bases(classes: DataFrame, near: Near) -> dict[int, np.ndarray]:
     return bases
 
 
+#: axes along which vectors are dealt into cells
+_GRID = 3
+#: cells that may hold links of a cell: itself and half of those around it
+_AROUND = [(x, y, z) for x in (0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1) if (x, y, z) >= (0, 0, 0)]
+
+
+def _cells(classes: DataFrame, bases: dict[int, np.ndarray], width: float) -> DataFrame:
+    """Adds x, y, z: the cell of each vector in a grid along its three widest axes."""
+    shared = classes.sparkSession.sparkContext.broadcast({d: axes[:, :_GRID] for d, axes in bases.items()})
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            dims, cell = batch.column("dim").to_numpy(), np.zeros((batch.num_rows, _GRID), dtype=np.int32)
+            for dim in np.unique(dims):
+                rows = np.flatnonzero(dims == dim)
+                axes = shared.value[int(dim)]
+                vectors = _matrix(pa.chunked_array([batch.column("vector").take(pa.array(rows))]))
+                cell[rows, : axes.shape[1]] = np.floor(_unit(vectors) @ axes / width)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *[pa.array(cell[:, k]) for k in range(_GRID)]], names=[*batch.schema.names, "x", "y", "z"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in classes.schema)
+    return stored(classes.mapInArrow(work, f"{fields}, x int, y int, z int"))
+
+
 def _tiles(classes: DataFrame, bases: dict[int, np.ndarray], near: Near) -> DataFrame:
     """Rows dealt into tiles that hold every pair of blocks that may link.
 
-    Vectors of one label are cut into slabs along the widest axis, as wide as the distance
-    of the farthest linked pair, so links join equal or neighbouring slabs only.
+    Vectors of one label lie in cells as wide as the distance of the farthest linked pair, so
+    links join equal or neighbouring cells only; large cells are cut into blocks by hash.
     """
-    width = math.sqrt(2 - 2 * near.cosine) + 1e-6
-    length = F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda s, x: s + x * x))
-    slab = F.lit(0)
-    for dim, axes in bases.items():
-        terms = F.zip_with("scaled", F.array(*[F.lit(float(x)) for x in axes[:, 0]]), lambda x, y: x * y)
-        along = F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / length
-        slab = F.when(F.col("dim") == dim, F.floor(along / width).cast("int")).otherwise(slab)
-    largest = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
-    cut = (
-        classes.withColumn("largest", largest)
-        .withColumn("scaled", F.transform("vector", lambda x: x.cast("double") / F.col("largest")))
-        .withColumn("slab", slab).drop("largest", "scaled")
-    )
-    sizes = cut.groupBy("label", "dim", "slab").agg(F.ceil(F.count(F.lit(1)) / near.block).alias("blocks"))
-    rows = stored(
-        cut.join(sizes, ["label", "dim", "slab"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks")
-    )
+    cell = ["label", "dim", "x", "y", "z"]
+    cut = _cells(classes, bases, math.sqrt(2 - 2 * near.cosine) + 1e-6)
+    sizes = cut.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / near.block).alias("blocks"))
+    rows = cut.join(sizes, cell).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks")
     blocks = sizes.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    left = blocks.select("label", "dim", F.col("slab").alias("s0"), F.col("block").alias("b0"), F.explode(F.array("slab", F.col("slab") + 1)).alias("s1"))
-    right = blocks.select("label", "dim", F.col("slab").alias("s1"), F.col("block").alias("b1"))
-    pairs = left.join(right, ["label", "dim", "s1"]).filter("s1 > s0 or b1 >= b0").withColumn(
-        "tile", F.concat_ws("/", "label", "dim", "s0", "b0", "s1", "b1"))
-    near_side = pairs.select("label", "dim", F.col("s0").alias("slab"), F.col("b0").alias("block"), "tile", F.lit(0).alias("side"))
-    far_side = pairs.filter("s1 <> s0 or b1 <> b0").select(
-        "label", "dim", F.col("s1").alias("slab"), F.col("b1").alias("block"), "tile", F.lit(1).alias("side"))
-    return rows.join(near_side.union(far_side), ["label", "dim", "slab", "block"])
+    step = F.explode(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip("ijk", s, strict=True)]) for s in _AROUND]))
+    left = blocks.withColumn("step", step).select(
+        "label", "dim", *[F.col(c).alias(f"{c}0") for c in "xyz"], F.col("block").alias("b0"),
+        *[(F.col(c) + F.col(f"step.{k}")).alias(c) for c, k in zip("xyz", "ijk", strict=True)])
+    same = functools.reduce(lambda p, q: p & q, [F.col(c) == F.col(f"{c}0") for c in "xyz"])
+    pairs = (
+        left.join(blocks.withColumnRenamed("block", "b1"), cell).filter(~same | (F.col("b1") >= F.col("b0")))
+        .withColumn("tile", F.concat_ws("/", "label", "dim", "x0", "y0", "z0", "b0", "x", "y", "z", "b1"))
+    )
+    near_side = pairs.select(
+        "label", "dim", *[F.col(f"{c}0").alias(c) for c in "xyz"], F.col("b0").alias("block"), "tile", F.lit(0).alias("side"))
+    far_side = pairs.filter(~same | (F.col("b1") != F.col("b0"))).select(
+        *cell, F.col("b1").alias("block"), "tile", F.lit(1).alias("side"))
+    return rows.join(near_side.union(far_side), [*cell, "block"])
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -215,7 +235,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     bases = _bases(classes, near)
     found = stored(
         _tiles(classes, bases, near).select("tile", "id", "copies", "side", "vector")
-        .repartition("tile").sortWithinPartitions("tile")
+        .repartition(F.xxhash64("tile")).sortWithinPartitions("tile")
         .mapInArrow(_tile_work(bases, near), "id long, linked long, other long")
     )
     linked = found.groupBy("id").agg(F.sum("linked").alias("linked"))

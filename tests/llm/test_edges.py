@@ -173,6 +173,34 @@ def test_embeddings(spark):
     assert embedding_dedup.near_vectors(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [7, 1_024])
+def test_vectors_in_several_blocks_and_cells(spark, block):
+    draw = np.random.default_rng(8)
+    rows, key = [], 0
+    for label, dim, clusters in ((1, 16, 6), (2, 16, 40), (3, 2, 5), (4, 1, 2), (1, 5, 4)):
+        for centre in draw.normal(size=(clusters, dim)):
+            for _ in range(int(draw.integers(1, 14))):
+                rows.append((key, (centre + draw.normal(size=dim) * draw.choice([0.0, 0.1, 0.25])).tolist(), label))
+                key += 1
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    parent, links = list(range(key)), [0] * key
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a, x in rows:
+        for j, b, y in rows[:i]:
+            if x == y and len(a) == len(b) and np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b) >= 0.93:
+                links[i] += 1
+                links[j] += 1
+                low, high = sorted((root(i), root(j)))
+                parent[high] = low
+    got = embedding_dedup.near_vectors(frame, near=embedding_dedup.Near(block=block)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (links[i], root(i)) for i in range(key)}
+
+
 def test_null_id_row_before_equal_texts(spark):
     text = "one two three four five six seven eight nine ten"
     near = "zero " + text

@@ -32,3 +32,9 @@ def test_stages(spark, odd, tmp_path):
         assert any(
             r.doc_id == i and r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], dtype="<u4").tobytes())
             for i, ids in left)
+
+
+def test_an_empty_corpus_gives_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    none.write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
