@@ -397,6 +397,7 @@ ORACLES: dict[str, str] = {
         numperiodoindice, sigindicador, vlrindiceenviado FROM ind WHERE anoindice IN (1997, 1998)""",
     "scan_indicators_stored": f"""WITH {_IND} SELECT * EXCLUDE (_fonte_url, _ingest_ts, _tie)
         FROM ind WHERE anoindice IN (1997, 1998)""",
+    "scan_by_name": _ev(f"{_ROW}, NumUnidadeConsumidora, _ano_fonte, 'OK' AS situacao, TRUE AS ausente FROM ev"),
     "scan_year_partition": _ev(
         f"""{_ROW}, DatInicioInterrupcao, NumUnidadeConsumidora, _ano_fonte FROM ev
         WHERE _ano_fonte IN (1997, 1998)"""
@@ -504,6 +505,9 @@ ORACLES: dict[str, str] = {
         + f""", lpad(CAST(NumCPFCNPJ AS VARCHAR), 14, '0') AS cnpj_formatado,
         round(NumNivelTensao / 1000.0, 3) AS nivel_tensao_kv FROM ev WHERE {_GOOD}"""
     ),
+    "conform_indicators_stamped": f"""WITH {_IND} SELECT trim(sigagente) AS distribuidora, trim(sigindicador) AS indicador,
+        vlrindiceenviado AS valor, _tie, TIMESTAMP '2024-01-02 06:00:00' AS _processado_em, DATE '2024-01-02' AS _data_processamento,
+        'v1.0.0' AS _versao_silver, '20240102060000' AS _run_id_silver FROM ind""",
     "conform_indicators_long": f"WITH {_LONG} SELECT * FROM lng",
     "duration_minutes_zero": _ev(f"{_STAMPS}, coalesce({_MIN}, 0.0) AS duracao_minutos FROM ev"),
     "duration_minutes_null": _ev(f"{_STAMPS}, {_MIN} AS duracao_minutos FROM ev"),
@@ -618,6 +622,9 @@ ORACLES: dict[str, str] = {
     "gold_outage_month": f"""WITH {_GOLD_OUT} SELECT cod_distribuidora, ano_referencia, mes_referencia,
         s / CAST(60 AS DOUBLE) AS tempo_total_minutos, {_hours('s')} AS tempo_total_horas,
         total_eventos, data_primeiro_evento, data_ultimo_evento FROM go""",
+    "gold_outage_stamped": f"""WITH {_GOLD_OUT} SELECT cod_distribuidora, ano_referencia, mes_referencia,
+        s / CAST(60 AS DOUBLE) AS tempo_total_minutos, {_hours('s')} AS tempo_total_horas,
+        total_eventos, data_primeiro_evento, data_ultimo_evento, TIMESTAMP '2024-01-02 06:00:00' AS _gold_timestamp FROM go""",
     "gold_outage_month_clipped": f"""WITH {_EV}, g AS (
         SELECT SigAgente AS cod_distribuidora, CAST(year(DatInicioInterrupcao) AS INT) AS ano_referencia,
           CAST(month(DatInicioInterrupcao) AS INT) AS mes_referencia,
@@ -939,3 +946,5 @@ ORACLES: dict[str, str] = {
           date_trunc('month', DatInicioInterrupcao)) FROM ev)"""
     ),
 }
+
+ORACLES["dec_analysis_stored"] = ORACLES["dec_comparison"]  # the layer run stores what the query compares

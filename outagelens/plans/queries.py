@@ -153,6 +153,21 @@ def scan_year_partition(spark, sf):
     return stored.select(*wanted)
 
 
+@query
+def scan_by_name(spark, sf):
+    """A stored table read by its catalog name, and one that is not there skipped."""
+    path = table_path(spark, "by_name")
+    name = f"outagelens_{path.rpartition('-')[2]}"
+    rows = standins.events(spark, sf, *ROW, "NumUnidadeConsumidora", "_ano_fonte")
+    tables.replace_all(rows, path, "_ano_fonte")
+    tables.publish(spark, path, name, rows.schema)
+    found, status = readers.table_or_skip(spark, name)
+    missing, skipped = readers.table_or_skip(spark, f"{name}_none")
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files stay, and this plan reads them
+    return found.select(*ROW, "NumUnidadeConsumidora", "_ano_fonte").withColumns({
+        "situacao": F.lit(status), "ausente": F.lit(missing is None and skipped.startswith("SKIPPED"))})
+
+
 @query
 def scan_csv_landing(spark, sf):
     path = table_path(spark, "landing_csv")
@@ -391,6 +406,14 @@ def conform_events_detailed(spark, sf):
     return conform.conform_events_detailed(filters.quality_filter(bronze))
 
 
+@query
+def conform_indicators_stamped(spark, sf):
+    """What a run adds to every row it conforms: its stamp, day, version and number."""
+    rows = standins.indicators(spark, sf, "sigagente", "sigindicador", "vlrindiceenviado", "_tie")
+    stamped = conform.conform_indicators_long(rows, RUN)
+    return stamped.withColumn("_processado_em", F.col("_processado_em").cast("timestamp_ntz"))
+
+
 @query
 def conform_indicators_long(spark, sf):
     return _silver_long(spark, sf)
@@ -575,7 +598,7 @@ def invalid_class(spark, sf):
 @query
 def indicators_slice(spark, sf):
     rows = indicators.indicators_slice(
-        _silver_long(spark, sf), ["DEC", "FEC"], dt.date(YEAR, 1, 1), month=8
+        _silver_measures(spark, sf), ["DEC", "FEC"], dt.date(YEAR, 1, 1), month=8
     )
     return rows.select(
         "id_conjunto_uc", "conjunto_uc", "distribuidora", "indicador", "valor",
@@ -650,6 +673,12 @@ def gold_outage_month(spark, sf):
     return _gold_outages(spark, sf)
 
 
+@query
+def gold_outage_stamped(spark, sf):
+    stamped = _gold_outages(spark, sf, run_ts=RUN)
+    return stamped.withColumn("_gold_timestamp", F.col("_gold_timestamp").cast("timestamp_ntz"))
+
+
 @query
 def gold_outage_month_clipped(spark, sf):
     """Negative durations as zero, on events with no temporal filter before."""
@@ -1118,6 +1147,18 @@ def dec_comparison(spark, sf):
     return compare.dec_comparison(_observed(spark, sf), _official(spark, sf))
 
 
+@query
+def dec_analysis_stored(spark, sf):
+    path = table_path(spark, "dec_analysis")
+    events = standins.events(
+        spark, sf, "SigAgente", START, END, "NumUnidadeConsumidora", "NumNivelTensao",
+        "IdeConjuntoUnidadeConsumidora", "NumConsumidorConjunto", "DscTipoInterrupcao",
+    )
+    medallion.dec_analysis(events, _conjuntos(spark, sf, compare.INDEX_CODES), path)
+    wanted = dec_comparison(spark, sf).schema
+    return spark.read.schema(wanted).parquet(path).select(*wanted.names)
+
+
 @query
 def above_limit(spark, sf):
     yearly = indicators.annual_means(_conjuntos(spark, sf, ["DEC", "FEC"]))

@@ -12,7 +12,8 @@ SF_DIR = "/root/testdata/sf0.001"
 # cost of building these is a write; their scans are covered by the others
 WRITING = {
     "scan_year_partition", "scan_indicators_stored", "scan_csv_landing", "replace_year_idempotent", "write_match_check",
-    "merge_schema_read", "reconcile_sum_gold",
+    "merge_schema_read", "reconcile_sum_gold", "ingest_files", "dedupe_across_loads", "run_summary", "csv_quarantine",
+    "merge_schema_widened", "distinct_agents_stored_sketch", "duration_quantiles_stored_sketch", "scan_by_name", "dec_analysis_stored",
 }
 
 
@@ -65,7 +66,7 @@ def test_top_k_is_a_heap_not_a_sort(name, spark):
 
 @pytest.mark.parametrize("name", [
     "coverage", "indicator_distribution", "top_volume", "top_mean_dec", "indicator_spread",
-    "dec_fec_evolution", "null_keys", "period_month",
+    "dec_fec_evolution", "null_keys", "period_month", "indicators_slice",
 ])
 def test_measures_need_no_join(spark, name):
     assert "Join" not in plan(spark, name)

@@ -36,7 +36,8 @@ def hot_dir(tmp_path_factory):
         "dedupe_indicators", "gold_outage_month", "indicators_wide", "gold_indicator_month",
         "dec_comparison", "check_report", "quality_summary", "reconcile_steps",
         "reconcile_sum_silver", "duration_stats", "profile_duplicates", "duplicate_examples",
-        "conjunto_ranking", "bq_top_cause", "bq_missing_months", "enrich_region",
+        "conjunto_ranking", "bq_top_cause", "bq_missing_months", "enrich_region", "bq_missing_ranges",
+        "limit_as_of", "cause_rollup", "bq_robust_jumps",
     ],
 )
 def test_hot_key(name, spark, hot_dir):
