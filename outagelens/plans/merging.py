@@ -96,7 +96,10 @@ def merge_years(
     finish(spark, path, year_col, sort)
     digest = F.xxhash64(*keys)
     fresh = delivered(years).withColumn(HASH, digest)
-    new_keys = fresh.select(HASH, F.col(year_col).cast("int").alias(year_col)).distinct()
+    # the new keys are found once and staged; all comparisons read them from there
+    delivered_keys = fresh.select(HASH, F.col(year_col).cast("int").alias(year_col)).distinct()
+    tables.replace_all(delivered_keys, f"{path}_chaves_nova", year_col)
+    new_keys = _keys(spark, f"{path}_chaves_nova", year_col)
 
     index = _if_there(lambda: _keys(spark, f"{path}_chaves", year_col))
     stored = _if_there(lambda: spark.read.parquet(path))
@@ -124,6 +127,5 @@ def merge_years(
         merged = merged.unionByName(rest.join(touched, HASH, "left_anti").select(*merged.columns))
 
     tables.replace_all(merged, f"{path}_nova", year_col)
-    tables.replace_all(new_keys, f"{path}_chaves_nova", year_col)
     _mark(spark, path, OPEN, merged.schema, years, concerned)
     return _replace(spark, path, merged.schema, year_col, years, concerned, sort, totals)
