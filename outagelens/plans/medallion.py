@@ -8,8 +8,10 @@ write; rules are checked in one aggregate per table before the next layer reads
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from outagelens import vocabulary as v
@@ -126,20 +128,34 @@ def newest_version(bronze: DataFrame) -> DataFrame:
     What an older version holds and the newest does not was withdrawn or corrected. Stamps
     are compared as instants; one that names no instant counts as of its ingestion. Files
     without a version are older than any with one.
+
+    The versions are found here and now, by a scan of what names them; one line per replaced
+    version reaches the driver. Most tables hold none, and their rows go on as they are;
+    otherwise rows are matched with that short list, so they are never dealt by file.
     """
     have = bronze.columns
     stamp = F.col("_source_last_modified")
     url = F.col("_source_url") if "_source_url" in have else F.lit(None).cast("string")
     ingested = F.col("_ingest_timestamp") if "_ingest_timestamp" in have else F.lit(None).cast("timestamp")
-    instant = F.coalesce(calendar.stamp_instant(stamp), ingested)
-    newest = bronze.groupBy(F.col("_ano_fonte").alias("_year"), url.alias("_file")).agg(
-        F.max_by(stamp, F.struct(stamp.isNotNull(), instant, ingested, stamp)).alias("_newest"))
+    # one maximum of fixed width per version: hashed, where a maximum by several columns would sort all rows
+    versions = bronze.groupBy(F.col("_ano_fonte").alias("_year"), url.alias("_file"), stamp.alias("_version")).agg(
+        F.max(ingested).alias("_at"))
+    version = F.col("_version")
+    newest_first = [version.isNotNull(), F.coalesce(calendar.stamp_instant(version), F.col("_at")), F.col("_at"), version]
+    place = F.row_number().over(
+        Window.partitionBy("_year", "_file").orderBy(*[c.desc_nulls_last() for c in newest_first]))
+    replaced = versions.withColumn("_place", place).filter(F.col("_place") > 1).select("_year", "_file", "_version").collect()
+    if not replaced:
+        return bronze
+    listed = bronze.sparkSession.createDataFrame(pa.Table.from_pylist([r.asDict() for r in replaced], pa.schema(
+        [("_year", pa.int64()), ("_file", pa.string()), ("_version", pa.string())])))
     return bronze.join(
-        newest,
+        listed,
         F.col("_ano_fonte").eqNullSafe(F.col("_year"))
         & url.eqNullSafe(F.col("_file"))
-        & stamp.eqNullSafe(F.col("_newest")),
-    ).drop("_year", "_file", "_newest")
+        & stamp.eqNullSafe(F.col("_version")),
+        "left_anti",
+    )
 
 
 def silver_events(
@@ -155,8 +171,12 @@ def silver_events(
     """
     pin_utc(spark)
 
+    @functools.cache
+    def of_years(*chosen: int) -> DataFrame:
+        return newest_version(readers.read_events(spark, bronze_path, list(chosen), BRONZE_EXTRA)).drop("_source_file")
+
     def newest(chosen: list[int]) -> DataFrame:
-        return newest_version(readers.read_events(spark, bronze_path, chosen, BRONZE_EXTRA)).drop("_source_file")
+        return of_years(*chosen)  # the versions of the same years are looked for once
 
     written = merging.merge_years(
         spark, lambda chosen: conform.conform_events(newest(chosen)), silver_path, years,

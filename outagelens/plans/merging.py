@@ -40,8 +40,9 @@ def _replace(spark: SparkSession, path: str, schema: T.StructType, year_col: str
              sort: list[str] | None, totals: dict[str, Column] | None = None) -> dict[int, dict[str, int]]:
     """Table, then index, from what is staged; running it again gives the same."""
     staged = spark.read.schema(schema).parquet(f"{path}_nova")
-    written = tables.replace_years_measured(staged, path, year_col, [*loaded, *rewritten], sort, totals)
-    tables.replace_years(_keys(spark, f"{path}_chaves_nova", year_col), f"{path}_chaves", year_col, loaded)
+    written = tables.replace_years_measured(staged, path, year_col, [*loaded, *rewritten], sort, totals, placed=True)
+    keys = _keys(spark, f"{path}_chaves_nova", year_col)
+    tables.replace_years_measured(keys, f"{path}_chaves", year_col, loaded, placed=True)
     _mark(spark, path, CLOSED, schema, loaded, rewritten)
     return written
 
@@ -121,7 +122,8 @@ def merge_years(
     if concerned:
         again = delivered(concerned).withColumn(HASH, digest).join(touched, HASH, "left_semi")
         rivals = fresh.unionByName(again.select(*fresh.columns))
-    merged = latest_per_key(rivals.drop(HASH), keys, order).withColumns(stamps or {})
+    # the hash first: rows are sorted by a number and not by texts that mostly begin alike
+    merged = latest_per_key(rivals, [HASH, *keys], order).drop(HASH).withColumns(stamps or {})
     if concerned:
         rest = stored.filter(F.col(year_col).isin(concerned)).withColumn(HASH, digest)
         merged = merged.unionByName(rest.join(touched, HASH, "left_anti").select(*merged.columns))

@@ -7,23 +7,24 @@ from pyspark.sql import functions as F
 
 def _write(
     df: DataFrame, path: str, columns: list[str], mode: str, overwrite: str = "static",
-    metrics: list[Column] | None = None, sort: list[str] | None = None,
+    metrics: list[Column] | None = None, sort: list[str] | None = None, placed: bool = False,
 ) -> Observation:
     """Write by partition columns without tying a partition to one task.
 
     The rebalance exchange aims at even file sizes: small partitions share a task, and a
     year that holds most of the table is split over many. Metrics are observed after it,
     in the stage that writes, where a task that is run again counts once. Rows sorted
-    inside their files let later scans skip row groups by range.
+    inside their files let later scans skip row groups by range. Rows that are ``placed``
+    come from a table that was written here by the same columns: its files hold a partition
+    each, so they are not dealt again.
     """
     seen = Observation()
-    placed = df.hint("rebalance", *[F.col(c) for c in columns]).observe(
-        seen, *(metrics or [F.count(F.lit(1)).alias("rows")])
-    )
+    dealt = df if placed else df.hint("rebalance", *[F.col(c) for c in columns])
+    dealt = dealt.observe(seen, *(metrics or [F.count(F.lit(1)).alias("rows")]))
     if sort:
-        placed = placed.sortWithinPartitions(*columns, *sort)
+        dealt = dealt.sortWithinPartitions(*columns, *sort)
     (
-        placed.write.mode(mode)
+        dealt.write.mode(mode)
         .option("partitionOverwriteMode", overwrite)
         .partitionBy(*columns)
         .parquet(path)
@@ -47,7 +48,7 @@ def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> int:
 
 def replace_years_measured(
     df: DataFrame, path: str, year_col: str, years: list[int], sort: list[str] | None = None,
-    totals: dict[str, Column] | None = None,
+    totals: dict[str, Column] | None = None, placed: bool = False,
 ) -> dict[int, dict[str, int]]:
     """Replace the given years, leave all others; returns what was written per year.
 
@@ -62,7 +63,7 @@ def replace_years_measured(
     }
     seen = _write(
         df.filter(F.col(year_col).isin(years)), path, [year_col], "overwrite", "dynamic",
-        list(metrics.values()), sort,
+        list(metrics.values()), sort, placed,
     )
     written = {y: {name: seen.get[f"{name}_{y}"] or 0 for name in sums} for y in years}
     bare = df.drop(year_col).limit(0)

@@ -277,6 +277,25 @@ def test_only_the_newest_version_of_a_file_counts(spark):
     assert kept == {"a": "new type", "c": "no version", "d": "no year"}
 
 
+def test_versions_are_found_without_dealing_rows_by_file(spark, capsys):
+    """Rows stay where they are scanned: a table has few files, and their rows would meet in few tasks."""
+    rows = [(2024, "v1", "a"), (2023, "v2", "b")]
+    schema = "_ano_fonte int, _source_last_modified string, event string"
+    medallion.newest_version(spark.createDataFrame(rows, schema)).explain()
+    single = capsys.readouterr().out
+    assert "Exchange" not in single and "Join" not in single and "Aggregate" not in single
+    medallion.newest_version(spark.createDataFrame([*rows, (2024, "v0", "c")], schema)).explain()
+    replaced = capsys.readouterr().out
+    assert "BroadcastHashJoin" in replaced and "hashpartitioning" not in replaced and "Aggregate" not in replaced
+
+
+def test_placed_rows_are_not_dealt_again(spark, tmp_path):
+    path = tmp_path / "placed"
+    rows = spark.range(30).select("id", F.lit(2024).alias("y")).repartition(3)
+    written = tables.replace_years_measured(rows, str(path), "y", [2024], placed=True)
+    assert written == {2024: {"linhas": 30}} and len(list(path.glob("y=2024/*.parquet"))) == 3
+
+
 def test_gold_holds_the_events_that_the_steps_leave(spark):
     gold = REGISTRY["gold_outage_month"](spark, SF_DIR).agg(F.sum("total_eventos")).first()[0]
     steps = [r.asDict() for r in REGISTRY["reconcile_steps"](spark, SF_DIR).collect()]
