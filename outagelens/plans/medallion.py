@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import hashlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -87,7 +88,8 @@ def ingest_events(
     def store(chosen: list, part, path: str, column: int) -> None:
         """Those rows of the files that ``part`` leaves, as many as the probe found."""
         files = [
-            {landed_files.FILE_PATH: f[0], "url": item["url"], "ano": item["ano"], "last_modified": item["last_modified"]}
+            {landed_files.FILE_PATH: f[0], "url": item["url"], "ano": item["ano"], "last_modified": item["last_modified"],
+             "_source_file": hashlib.md5(item["url"].encode()).hexdigest()}
             for place, item in chosen for f in seen[place] if f[column]
         ]
         if not files:
@@ -95,8 +97,9 @@ def ingest_events(
         stamped = readers.stamp(
             landed_files.with_owner(part(landed(chosen)), files), "source", F.col("url"), run_ts,
             F.col("last_modified"), F.col("ano"),
-        ).withColumn("_source_file", F.md5("url")).drop("url", "ano", "last_modified")
-        written = tables.replace_partitions(stamped, path, BRONZE_PARTITIONS)
+        ).drop("url", "ano", "last_modified")
+        # a file's rows go to its own partition: tasks that scan files already hold few of them
+        written = tables.replace_partitions(stamped, path, BRONZE_PARTITIONS, placed=True)
         expected = sum(f[column] for place, _ in chosen for f in seen[place])
         if written != expected:
             raise ValueError(f"{written} rows written of {expected} found in the files")

@@ -15,8 +15,7 @@ def _write(
     year that holds most of the table is split over many. Metrics are observed after it,
     in the stage that writes, where a task that is run again counts once. Rows sorted
     inside their files let later scans skip row groups by range. Rows that are ``placed``
-    come from a table that was written here by the same columns: its files hold a partition
-    each, so they are not dealt again.
+    are scanned from files that hold a partition each, so they are not dealt again.
     """
     seen = Observation()
     dealt = df if placed else df.hint("rebalance", *[F.col(c) for c in columns])
@@ -41,9 +40,9 @@ def replace_all(df: DataFrame, path: str, year_col: str) -> int:
     return _write(df, path, [year_col], "overwrite").get["rows"]
 
 
-def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> int:
+def replace_partitions(df: DataFrame, path: str, columns: list[str], placed: bool = False) -> int:
     """Replace the partitions that occur in ``df``; all others stay as they are."""
-    return _write(df, path, columns, "overwrite", "dynamic").get["rows"]
+    return _write(df, path, columns, "overwrite", "dynamic", placed=placed).get["rows"]
 
 
 def replace_years_measured(

@@ -296,6 +296,20 @@ def test_placed_rows_are_not_dealt_again(spark, tmp_path):
     assert written == {2024: {"linhas": 30}} and len(list(path.glob("y=2024/*.parquet"))) == 3
 
 
+def test_ingested_rows_are_not_dealt_again(spark, base, tmp_path):
+    rows, bronze, book = f"{tmp_path}/rows", f"{tmp_path}/bronze", f"{tmp_path}/ledger"
+    standins.events(spark, SF_DIR, *EVENT_COLUMNS).repartition(3).write.parquet(rows)
+    manifest = spark.createDataFrame([("interrupcoes", 2024, rows, "v1")], MANIFEST)
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file
+    try:
+        medallion.ingest_events(spark, manifest, bronze, book, RUN)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    assert len(list((tmp_path / "bronze").rglob("*.parquet"))) == 3
+    assert spark.read.parquet(bronze).count() == spark.read.parquet(rows).count()
+
+
 def test_gold_holds_the_events_that_the_steps_leave(spark):
     gold = REGISTRY["gold_outage_month"](spark, SF_DIR).agg(F.sum("total_eventos")).first()[0]
     steps = [r.asDict() for r in REGISTRY["reconcile_steps"](spark, SF_DIR).collect()]
