@@ -14,6 +14,8 @@ from outagelens.operators.filters import in_years
 
 
 CSV_STAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+#: text as it is landed; a compressed file is read by one task, so its lines are bounded
+TEXT_FILES = {"compression": "lz4", "maxRecordsPerFile": 250_000}
 
 
 def read_events(
@@ -104,17 +106,17 @@ def accepted(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col(RAW_LINE).isNull()).drop(RAW_LINE)
 
 
-def rejected(rows: DataFrame, schema: str, sep: str = ",", escape: str = '"') -> DataFrame:
-    """Lines that don't fit ``schema``: its other columns, linha, lido and motivo.
+def judged(rows: DataFrame, schema: str, sep: str = ",", escape: str = '"') -> DataFrame:
+    """All rows with ``motivo``: null where they fit ``schema``, else why they don't.
 
-    ``lido`` is what could be read, as JSON. ``motivo`` is worked out for these lines only:
-    ``campos`` for a wrong number of fields, else ``tipo:`` and the columns whose text is no
-    value of their type.
+    ``motivo`` is worked out for lines that don't fit only: ``campos`` for a wrong number of
+    fields, else ``tipo:`` and the columns whose text is no value of their type. Both kinds
+    of rows come from one read, where ``accepted`` beside ``rejected`` takes two.
     """
     fields = T.StructType.fromDDL(schema).fields
-    names = [f.name for f in fields]
+    faulty = F.col(RAW_LINE).isNotNull()
     as_text = F.from_csv(
-        F.col(RAW_LINE), ", ".join(f"`{n}` STRING" for n in names) + ", _errado STRING",
+        F.col(RAW_LINE), ", ".join(f"`{f.name}` STRING" for f in fields) + ", _errado STRING",
         {"sep": sep, "escape": escape, "columnNameOfCorruptRecord": "_errado", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
     wrong = [
         F.when(F.col("_texto")[f.name].isNotNull() & F.col("_texto")[f.name].try_cast(f.dataType).isNull(), f.name)
@@ -122,10 +124,18 @@ def rejected(rows: DataFrame, schema: str, sep: str = ",", escape: str = '"') ->
     ]
     reason = F.when(F.col("_texto")["_errado"].isNotNull(), "campos").otherwise(
         F.concat_ws(" ", F.lit("tipo:"), F.concat_ws(", ", *wrong)))
+    return rows.withColumn("_texto", F.when(faulty, as_text)).withColumn("motivo", F.when(faulty, reason)).drop("_texto")
+
+
+def rejected(rows: DataFrame, schema: str, sep: str = ",", escape: str = '"') -> DataFrame:
+    """Lines that don't fit ``schema``: its other columns, linha, lido and motivo.
+
+    ``lido`` is what could be read, as JSON; ``motivo`` as ``judged`` tells it.
+    """
+    names = T.StructType.fromDDL(schema).names
     others = [c for c in rows.columns if c not in names and c != RAW_LINE]
-    bad = rows.filter(F.col(RAW_LINE).isNotNull())
-    return bad.withColumn("_texto", as_text).select(
-        *others, F.col(RAW_LINE).alias("linha"), F.to_json(F.struct(*names)).alias("lido"), reason.alias("motivo"))
+    bad = judged(rows.filter(F.col(RAW_LINE).isNotNull()), schema, sep, escape)
+    return bad.select(*others, F.col(RAW_LINE).alias("linha"), F.to_json(F.struct(*names)).alias("lido"), "motivo")
 
 
 def _common_type(spark: SparkSession, types: list[T.DataType]) -> T.DataType:

@@ -310,6 +310,11 @@ def test_ingested_rows_are_not_dealt_again(spark, base, tmp_path):
     assert spark.read.parquet(bronze).count() == spark.read.parquet(rows).count()
 
 
+def test_quarantine_reads_its_lines_once(spark):
+    plan = REGISTRY["csv_quarantine"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+
+
 def test_gold_holds_the_events_that_the_steps_leave(spark):
     gold = REGISTRY["gold_outage_month"](spark, SF_DIR).agg(F.sum("total_eventos")).first()[0]
     steps = [r.asDict() for r in REGISTRY["reconcile_steps"](spark, SF_DIR).collect()]
