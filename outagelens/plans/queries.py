@@ -177,6 +177,7 @@ def scan_csv_landing(spark, sf):
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
+        .options(**readers.TEXT_FILES)
         .csv(path)
     )
     return readers.read_csv_landing(spark, path, v.EVENT_SCHEMA)

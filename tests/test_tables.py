@@ -315,6 +315,13 @@ def test_quarantine_reads_its_lines_once(spark):
     assert plan.count("FileScan csv") == 1
 
 
+def test_text_is_landed_compressed_in_bounded_files(spark):
+    for name in ("scan_csv_landing", "csv_quarantine"):
+        files = REGISTRY[name](spark, SF_DIR).inputFiles()
+        assert files and all(f.endswith(".lz4") for f in files)
+    assert readers.TEXT_FILES["maxRecordsPerFile"] == 250_000
+
+
 def test_gold_holds_the_events_that_the_steps_leave(spark):
     gold = REGISTRY["gold_outage_month"](spark, SF_DIR).agg(F.sum("total_eventos")).first()[0]
     steps = [r.asDict() for r in REGISTRY["reconcile_steps"](spark, SF_DIR).collect()]
