@@ -40,9 +40,9 @@ def _replace(spark: SparkSession, path: str, schema: T.StructType, year_col: str
              sort: list[str] | None, totals: dict[str, Column] | None = None) -> dict[int, dict[str, int]]:
     """Table, then index, from what is staged; running it again gives the same."""
     staged = spark.read.schema(schema).parquet(f"{path}_nova")
-    written = tables.replace_years_measured(staged, path, year_col, [*loaded, *rewritten], sort, totals, placed=True)
+    written = tables.replace_years_measured(staged, path, year_col, [*loaded, *rewritten], sort, totals, True)
     keys = _keys(spark, f"{path}_chaves_nova", year_col)
-    tables.replace_years_measured(keys, f"{path}_chaves", year_col, loaded, placed=True)
+    tables.replace_years_measured(keys, f"{path}_chaves", year_col, loaded, None, None, True)
     _mark(spark, path, CLOSED, schema, loaded, rewritten)
     return written
 
