@@ -51,7 +51,8 @@ def latest_wide(
         row = F.max(F.struct(*order, F.struct(*described).alias("_row")))
         extra = [row.getField("_row").alias("_newest")]
     rows = df if every_code else df.filter(F.col(code).isin(codes))
-    wide = rows.groupBy(*keys).agg(*newest, *extra)
+    # the hash first: rows are sorted by a number and not by agents that mostly begin alike
+    wide = rows.groupBy(F.xxhash64(*keys).alias("_hash"), *keys).agg(*newest, *extra)
     names = [name.lower() for name in codes]
     return wide.select(*keys, *(["_newest.*"] if described else []), *names)
 

@@ -283,17 +283,17 @@ def ingest_indicators(
 
 def indicator_tables(
     spark: SparkSession, bronze: DataFrame, silver_path: str, gold_path: str,
-    run_ts: dt.datetime, metrics_path: str | None = None,
+    run_ts: dt.datetime, metrics_path: str | None = None, placed: bool = False,
 ) -> DataFrame:
     """Silver long and monthly gold from bronze indicator series, both replaced whole.
 
     The source republishes its full history in each file, and the month before may lie in
-    another year, so both are rebuilt; gold reads the stored silver. Returns the silver
-    check report.
+    another year, so both are rebuilt; gold reads the stored silver. Bronze scanned from a table
+    by year is ``placed``: its rows are not dealt by year again. Returns the silver check report.
     """
     pin_utc(spark)
     silver = conform.conform_indicators_long(bronze, run_ts)
-    landed = tables.replace_all(silver, silver_path, "ano")
+    landed = tables.replace_all(silver, silver_path, "ano", placed)
     stored = spark.read.schema(silver.schema).parquet(silver_path)
     report = quality.check_report(
         stored,

@@ -18,9 +18,12 @@ from pyspark.sql import types as T
 from outagelens.operators.dedupe import latest_per_key
 from outagelens.sources import tables
 
-HASH = "_chave"
+HASH, TIMES = "_chave", "_vezes"
 OPEN, CLOSED = "ABERTA", "FECHADA"
-_STATE = "estado STRING, carregados ARRAY<INT>, reescritos ARRAY<INT>, esquema STRING"
+_STATE = """estado STRING, carregados ARRAY<INT>, reescritos ARRAY<INT>, esquema STRING,
+    linhas MAP<INT, BIGINT>, chaves MAP<INT, BIGINT>"""
+#: keys that one load may list for every executor, at 8 bytes each; more are joined by shuffle
+LISTED_KEYS = 1_000_000
 
 
 def _if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -36,34 +39,45 @@ def _keys(spark: SparkSession, path: str, year_col: str) -> DataFrame:
     return spark.read.schema(f"{HASH} BIGINT, {year_col} INT").parquet(path)
 
 
-def _replace(spark: SparkSession, path: str, schema: T.StructType, year_col: str, loaded: list[int], rewritten: list[int],
-             sort: list[str] | None, totals: dict[str, Column] | None = None) -> dict[int, dict[str, int]]:
-    """Table, then index, from what is staged; running it again gives the same."""
-    staged = spark.read.schema(schema).parquet(f"{path}_nova")
-    written = tables.replace_years_measured(staged, path, year_col, [*loaded, *rewritten], sort, totals, True)
-    keys = _keys(spark, f"{path}_chaves_nova", year_col)
-    tables.replace_years_measured(keys, f"{path}_chaves", year_col, loaded, None, None, True)
-    _mark(spark, path, CLOSED, schema, loaded, rewritten)
-    return written
+def _replace(spark: SparkSession, path: str, schema: T.StructType, year_col: str, years: list[int], loaded: list[int],
+             moved: bool = True) -> None:
+    """Staged years to the table, then to the index; what is staged without ``moved`` stays and is written again."""
+    staged, keys = spark.read.schema(schema).parquet(f"{path}_nova"), _keys(spark, f"{path}_chaves_nova", year_col)
+    tables.replace_years_measured(staged, path, year_col, years, None, None, True, *[f"{path}_nova"] * moved)
+    tables.replace_years_measured(keys, f"{path}_chaves", year_col, loaded, None, None, True, *[f"{path}_chaves_nova"] * moved)
+
+
+def _mark(spark: SparkSession, path: str, *state) -> None:
+    """state, years loaded, years rewritten, schema, and the rows and keys staged per year"""
+    spark.createDataFrame([state], _STATE).coalesce(1).write.mode("overwrite").parquet(f"{path}_troca")
 
 
-def _mark(spark: SparkSession, path: str, state: str, schema: T.StructType, loaded: list[int], rewritten: list[int]) -> None:
-    row = spark.createDataFrame([(state, loaded, rewritten, schema.json())], _STATE)
-    row.coalesce(1).write.mode("overwrite").parquet(f"{path}_troca")
+def _still_staged(spark: SparkSession, staged: str, year_col: str, rows: dict[int, int]) -> list[int]:
+    """Years whose staged folder is whole. Where a store moves a folder by copy and removal, one
+    that lost files has been copied whole before."""
+    found = spark.read.schema(f"{year_col} INT").parquet(staged).groupBy(year_col).count().collect()
+    there = {r[0]: r["count"] for r in found}
+    return [y for y, n in rows.items() if there.get(y, 0) == n]
 
 
 def finish(spark: SparkSession, path: str, year_col: str, sort: list[str] | None = None) -> list[int]:
     """Complete a replacement that a crash cut short; returns the years it replaced.
 
-    Staged rows stay until the next load, so the years are replaced again as a whole.
+    Years leave the staged folders one by one as they replace the table's, so those that are
+    still there are the ones to replace. ``sort`` is not needed: rows are staged sorted.
     """
     state = _if_there(lambda: spark.read.schema(_STATE).parquet(f"{path}_troca"))
     row = state.first() if state is not None else None
     if row is None or row["estado"] != OPEN:
         return []
-    schema = T.StructType.fromJson(json.loads(row["esquema"]))
-    _replace(spark, path, schema, year_col, row["carregados"], row["reescritos"], sort)
-    return [*row["carregados"], *row["reescritos"]]
+    schema, loaded, years = T.StructType.fromJson(json.loads(row["esquema"])), row["carregados"], [*row["carregados"], *row["reescritos"]]
+    if row["linhas"] is None:  # staged before years were moved: without folders for years that became empty
+        _replace(spark, path, schema, year_col, years, loaded, moved=False)
+    else:
+        _replace(spark, path, schema, year_col, _still_staged(spark, f"{path}_nova", year_col, row["linhas"]),
+                 _still_staged(spark, f"{path}_chaves_nova", year_col, row["chaves"]))
+    _mark(spark, path, CLOSED, *row[1:])
+    return years
 
 
 def merge_years(
@@ -86,21 +100,24 @@ def merge_years(
     others keep their files. ``stamps`` are set on rows that this load decided; ``totals`` are
     summed beside the rows.
 
-    Only hashes are compared with other years: the index is 8 bytes a key and year, joined by
-    a semi-join that Spark can prune with a Bloom filter at run time. Of the years concerned
-    the deliveries are read for the keys in question, and stored rows for all others. A hash
-    that two keys share only brings both of them into the comparison, by their whole keys.
+    Only hashes are compared: the index is 8 bytes a key and year. Disputed are the hashes that
+    several delivered rows hold, or that other years know too. Where they are few, only their
+    rows are dealt by key and sorted, and all others go from their scan to the write; otherwise
+    all delivered rows are. Of other years, deliveries are read for the hashes they share with
+    this load, and stored rows for all others. A hash that two keys share only brings both of
+    them into the comparison, by their whole keys.
 
     What is to change is staged whole before any of it is replaced, so a crash leaves either
-    the table as it was or a replacement that the next call completes first.
+    the table as it was or a replacement that the next call completes first. Each row is
+    written once: staged years are then moved into the table.
     """
     finish(spark, path, year_col, sort)
     digest = F.xxhash64(*keys)
     fresh = delivered(years).withColumn(HASH, digest)
     # the new keys are found once and staged; all comparisons read them from there
-    delivered_keys = fresh.select(HASH, F.col(year_col).cast("int").alias(year_col)).distinct()
-    tables.replace_all(delivered_keys, f"{path}_chaves_nova", year_col)
-    new_keys = _keys(spark, f"{path}_chaves_nova", year_col)
+    delivered_keys = fresh.groupBy(HASH, F.col(year_col).cast("int").alias(year_col)).agg(F.count(F.lit(1)).alias(TIMES))
+    keys_staged = tables.stage_years(delivered_keys, f"{path}_chaves_nova", year_col, years, None, {"vezes": F.col(TIMES)})
+    new_keys = spark.read.schema(f"{HASH} BIGINT, {TIMES} BIGINT, {year_col} INT").parquet(f"{path}_chaves_nova")
 
     index = _if_there(lambda: _keys(spark, f"{path}_chaves", year_col))
     stored = _if_there(lambda: spark.read.parquet(path))
@@ -111,23 +128,40 @@ def merge_years(
             tables.replace_years(seen, f"{path}_chaves", year_col, older)
             index = _keys(spark, f"{path}_chaves", year_col)
 
-    touched, concerned = new_keys.select(HASH), []
+    several = new_keys.groupBy(HASH).agg(F.sum(TIMES).alias(TIMES)).filter(F.col(TIMES) > 1)
+    disputes = several.select(HASH, TIMES, F.lit(None).cast("int").alias("_ano"))
     if index is not None:
         mine = F.col(year_col).isin(years)
-        touched = touched.union(index.filter(mine).select(HASH)).distinct()
+        touched = new_keys.select(HASH).union(index.filter(mine).select(HASH))
         known = index.filter(~mine).join(touched, HASH, "left_semi")
-        concerned = sorted(r[0] for r in known.select(year_col).distinct().collect())
-
-    rivals = fresh
+        disputes = disputes.union(known.select(HASH, F.lit(0).cast("bigint"), year_col))
+    disputes.write.mode("overwrite").parquet(f"{path}_disputadas")
+    disputes = spark.read.schema(disputes.schema).parquet(f"{path}_disputadas")
+    found = disputes.agg(F.count(F.lit(1)), F.sum(TIMES), F.collect_set("_ano")).first()
+    concerned = sorted(found[2])
+    delivered_rows = sum(of["vezes"] for of in keys_staged.values())
+    few = found[0] <= LISTED_KEYS and 2 * (found[1] or 0) <= delivered_rows
+    disputed, shared = disputes.select(HASH), disputes.filter(F.col("_ano").isNotNull()).select(HASH)
+    if few:  # counted above, so every task can hold the list and scanned rows stay where they are
+        disputed, shared = F.broadcast(disputed), F.broadcast(shared)
+
+    rivals = fresh.join(disputed, HASH, "left_semi") if few else fresh
     if concerned:
-        again = delivered(concerned).withColumn(HASH, digest).join(touched, HASH, "left_semi")
-        rivals = fresh.unionByName(again.select(*fresh.columns))
+        again = delivered(concerned).withColumn(HASH, digest).join(shared, HASH, "left_semi")
+        rivals = rivals.unionByName(again.select(*rivals.columns))
     # the hash first: rows are sorted by a number and not by texts that mostly begin alike
-    merged = latest_per_key(rivals, [HASH, *keys], order).drop(HASH).withColumns(stamps or {})
+    merged = latest_per_key(rivals, [HASH, *keys], order).drop(HASH)
+    if few:
+        merged = fresh.join(disputed, HASH, "left_anti").drop(HASH).unionByName(merged)
+    merged = merged.withColumns(stamps or {})
     if concerned:
         rest = stored.filter(F.col(year_col).isin(concerned)).withColumn(HASH, digest)
-        merged = merged.unionByName(rest.join(touched, HASH, "left_anti").select(*merged.columns))
-
-    tables.replace_all(merged, f"{path}_nova", year_col)
-    _mark(spark, path, OPEN, merged.schema, years, concerned)
-    return _replace(spark, path, merged.schema, year_col, years, concerned, sort, totals)
+        merged = merged.unionByName(rest.join(shared, HASH, "left_anti").select(*merged.columns))
+
+    written = tables.stage_years(merged, f"{path}_nova", year_col, [*years, *concerned], sort, totals, few)
+    state = (years, concerned, merged.schema.json(), {y: of["linhas"] for y, of in written.items()},
+             {y: of["linhas"] for y, of in keys_staged.items()})
+    _mark(spark, path, OPEN, *state)
+    _replace(spark, path, merged.schema, year_col, [*years, *concerned], years)
+    _mark(spark, path, CLOSED, *state)
+    return written

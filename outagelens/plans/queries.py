@@ -257,7 +257,7 @@ def run_summary(spark, sf):
     medallion.ingest_indicators(spark, at["series"], at["b_series"], years, RUN, at["metrics"])
     extra = ", _fonte_url STRING, _ingest_ts TIMESTAMP, _ingest_date DATE, _run_id STRING"
     bronze = readers.read_indicators(spark, at["b_series"], years, extra)
-    medallion.indicator_tables(spark, bronze, at["s_series"], at["g_series"], RUN, at["metrics"])
+    medallion.indicator_tables(spark, bronze, at["s_series"], at["g_series"], RUN, at["metrics"], placed=True)
     medallion.wide_indicators(spark, bronze, at["wide"], years, RUN, at["metrics"])
     return metrics.run_summary(metrics.read_metrics(spark, at["metrics"])).drop("ultima_execucao")
 

@@ -35,9 +35,9 @@ def append(df: DataFrame, path: str, year_col: str) -> None:
     _write(df, path, [year_col], "append")
 
 
-def replace_all(df: DataFrame, path: str, year_col: str) -> int:
+def replace_all(df: DataFrame, path: str, year_col: str, placed: bool = False) -> int:
     """The whole table anew, also when its columns changed; returns the rows written."""
-    return _write(df, path, [year_col], "overwrite").get["rows"]
+    return _write(df, path, [year_col], "overwrite", placed=placed).get["rows"]
 
 
 def replace_partitions(df: DataFrame, path: str, columns: list[str], placed: bool = False) -> int:
@@ -45,23 +45,17 @@ def replace_partitions(df: DataFrame, path: str, columns: list[str], placed: boo
     return _write(df, path, columns, "overwrite", "dynamic", placed=placed).get["rows"]
 
 
-def replace_years_measured(
-    df: DataFrame, path: str, year_col: str, years: list[int], sort: list[str] | None = None,
-    totals: dict[str, Column] | None = None, placed: bool = False,
+def _write_years(
+    df: DataFrame, path: str, year_col: str, years: list[int], overwrite: str, sort: list[str] | None,
+    totals: dict[str, Column] | None, placed: bool,
 ) -> dict[int, dict[str, int]]:
-    """Replace the given years, leave all others; returns what was written per year.
-
-    One write for all years, and running it again gives the same table. Rows of other
-    years are not written, and a listed year without rows is emptied. ``linhas`` is the
-    number of rows; ``totals`` are integer expressions summed beside it in the same write.
-    """
     sums = {"linhas": F.lit(1), **(totals or {})}
     metrics = {
         (y, name): F.sum(F.when(F.col(year_col) == y, value)).alias(f"{name}_{y}")
         for y in years for name, value in sums.items()
     }
     seen = _write(
-        df.filter(F.col(year_col).isin(years)), path, [year_col], "overwrite", "dynamic",
+        df.filter(F.col(year_col).isin(years)), path, [year_col], "overwrite", overwrite,
         list(metrics.values()), sort, placed,
     )
     written = {y: {name: seen.get[f"{name}_{y}"] or 0 for name in sums} for y in years}
@@ -71,6 +65,51 @@ def replace_years_measured(
     return written
 
 
+def replace_years_measured(
+    df: DataFrame, path: str, year_col: str, years: list[int], sort: list[str] | None = None,
+    totals: dict[str, Column] | None = None, placed: bool = False, staged: str | None = None,
+) -> dict[int, dict[str, int]]:
+    """Replace the given years, leave all others; returns what was written per year.
+
+    One write for all years, and running it again gives the same table. Rows of other
+    years are not written, and a listed year without rows is emptied. ``linhas`` is the
+    number of rows; ``totals`` are integer expressions summed beside it in the same write.
+
+    If ``stage_years`` has put the rows of ``df`` into the folder ``staged``, their years are
+    moved from there and nothing is written or measured again.
+    """
+    if staged is None:
+        return _write_years(df, path, year_col, years, "dynamic", sort, totals, placed)
+    _move_years(df.sparkSession, staged, path, year_col, years)
+    return {}
+
+
+def stage_years(
+    df: DataFrame, staged: str, year_col: str, years: list[int], sort: list[str] | None = None,
+    totals: dict[str, Column] | None = None, placed: bool = False,
+) -> dict[int, dict[str, int]]:
+    """The given years to a folder from which ``replace_years_measured`` can move them.
+
+    Whatever stood there goes. Each year has a folder, also one without rows; returns what
+    was written per year.
+    """
+    return _write_years(df, staged, year_col, years, "static", sort, totals, placed)
+
+
+def _move_years(spark: SparkSession, staged: str, path: str, year_col: str, years: list[int]) -> None:
+    """Year folders to their table, one by one; a year that is no longer staged has been moved."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    system = fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(fs.Path(path))
+    for year in years:
+        new, old = (fs.Path(of, f"{year_col}={year}") for of in (staged, path))
+        if not system.exists(new):
+            continue
+        system.delete(old, True)
+        if not system.rename(new, old):
+            raise OSError(f"{new.toString()} could not be moved to {old.toString()}")
+
+
 def replace_years(
     df: DataFrame, path: str, year_col: str, years: list[int], sort: list[str] | None = None
 ) -> dict[int, int]:

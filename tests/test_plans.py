@@ -59,6 +59,10 @@ def test_wide_pivot_has_one_exchange_after_the_join(spark):
     assert len(re.findall(r"ENSURE_REQUIREMENTS", text)) == 1
 
 
+def test_wide_pivot_sorts_by_a_number_first(spark):
+    assert re.search(r"Arguments: \[_\w+#\d+L ASC", plan(spark, "indicators_wide"))
+
+
 @pytest.mark.parametrize("name", ["count_by_agent", "top_volume", "sample_n", "bq_worst_distributor_year"])
 def test_top_k_is_a_heap_not_a_sort(name, spark):
     assert "TakeOrderedAndProject" in plan(spark, name)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from outagelens import session
 from outagelens import vocabulary as v
-from outagelens.plans import medallion
+from outagelens.plans import medallion, merging
 from outagelens.plans.queries import EVENT_COLUMNS, REGISTRY
 from outagelens.sources import landed, ledger, metrics, readers, standins, tables
 from outagelens.streaming import landing
@@ -535,6 +535,47 @@ def test_a_replacement_cut_short_is_completed(spark, tmp_path, monkeypatch):
     assert _events(spark, silver) == _events(spark, f"{tmp_path}/whole")
 
 
+def test_staged_years_are_moved_and_go_on_where_a_move_ended(spark, tmp_path, monkeypatch):
+    bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    _bronze(spark, bronze, ROWS)
+    medallion.silver_events(spark, bronze, silver, [2023, 2024], RUN)
+    assert not [n for n in os.listdir(f"{silver}_nova") + os.listdir(f"{silver}_chaves_nova") if "=" in n]
+    move = tables._move_years
+
+    def part(spark, staged, path, year_col, years):
+        move(spark, staged, path, year_col, years[:1])
+        # a store that copies and then removes: this year is whole in the table, its rest is still staged
+        move(spark, staged, path, year_col, years[1:2])
+        os.makedirs(f"{staged}/{year_col}={years[1]}")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "_move_years", part)
+    with pytest.raises(RuntimeError, match="lost"):
+        medallion.silver_events(spark, bronze, silver, [2025, 2026], LATER)
+    assert len(_events(spark, silver)) != 6
+    monkeypatch.setattr(tables, "_move_years", move)
+    assert sorted(merging.finish(spark, silver, "_ano_fonte")) == [2024, 2025, 2026]
+    medallion.silver_events(spark, bronze, f"{tmp_path}/whole", [2023, 2024, 2025, 2026], LATER)
+    assert _events(spark, silver) == _events(spark, f"{tmp_path}/whole")
+    assert merging.finish(spark, silver, "_ano_fonte") == []
+
+
+def test_few_disputed_keys_leave_other_rows_in_place(spark, tmp_path, monkeypatch):
+    bronze = f"{tmp_path}/bronze"
+    _bronze(spark, bronze, ROWS + [(f"x{n}", n, 1, y, "v1", 0) for y in (2024, 2025, 2026) for n in range(y % 10 * 10, y % 10 * 10 + 9)])
+    found, dealt, latest = {}, [], merging.latest_per_key
+    monkeypatch.setattr(merging, "latest_per_key", lambda rows, *how: dealt.append(rows.count()) or latest(rows, *how))
+    for listed in (merging.LISTED_KEYS, 0):
+        monkeypatch.setattr(merging, "LISTED_KEYS", listed)
+        for n, years in enumerate(([2026], [2025, 2024], [2023], [2024])):
+            counts = medallion.silver_events(spark, bronze, f"{tmp_path}/{listed}", years, RUN + dt.timedelta(n))
+        found[listed] = _events(spark, f"{tmp_path}/{listed}")
+        assert counts["silver"] + counts["duplicatas_removidas"] == counts["conformado"] == 13
+    assert found[0] == found[1_000_000] and len(found[0]) == 6 + 27
+    few, all_rows = dealt[:4], dealt[4:]
+    assert few == [0, 8, 0, 6] and all_rows == [0, 26, 0, 15]  # without disputes nothing is dealt
+
+
 def test_a_table_without_an_index_gets_one(spark, tmp_path):
     bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
     _bronze(spark, bronze, ROWS)
