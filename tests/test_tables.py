@@ -560,6 +560,22 @@ def test_staged_years_are_moved_and_go_on_where_a_move_ended(spark, tmp_path, mo
     assert merging.finish(spark, silver, "_ano_fonte") == []
 
 
+def test_a_replacement_left_open_without_row_counts_is_completed(spark, tmp_path, monkeypatch):
+    bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    _bronze(spark, bronze, ROWS)
+    medallion.silver_events(spark, bronze, silver, [2024], RUN)
+    with monkeypatch.context() as cut:
+        cut.setattr(merging, "_replace", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            medallion.silver_events(spark, bronze, silver, [2025], LATER)
+    older = spark.createDataFrame([r[:4] for r in spark.read.schema(merging._STATE).parquet(f"{silver}_troca").collect()],
+                                  "estado STRING, carregados ARRAY<INT>, reescritos ARRAY<INT>, esquema STRING")
+    older.coalesce(1).write.mode("overwrite").parquet(f"{silver}_troca")
+    assert sorted(merging.finish(spark, silver, "_ano_fonte")) == [2024, 2025]
+    medallion.silver_events(spark, bronze, f"{tmp_path}/whole", [2024, 2025], LATER)
+    assert _events(spark, silver) == _events(spark, f"{tmp_path}/whole")
+
+
 def test_few_disputed_keys_leave_other_rows_in_place(spark, tmp_path, monkeypatch):
     bronze = f"{tmp_path}/bronze"
     _bronze(spark, bronze, ROWS + [(f"x{n}", n, 1, y, "v1", 0) for y in (2024, 2025, 2026) for n in range(y % 10 * 10, y % 10 * 10 + 9)])
