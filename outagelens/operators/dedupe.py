@@ -33,6 +33,17 @@ def latest_per_key(
     )
 
 
+def latest_of_listed(
+    df: DataFrame, keys: list[str], order: list[str], listed: DataFrame, by: str
+) -> DataFrame:
+    """As ``latest_per_key``, of the keys whose ``by``, one of their columns, stands in ``listed``.
+
+    For a list that is too long for every executor: rows are matched with it after each key
+    is down to one, so a key that repeats moves as one row per task and not with all its rows.
+    """
+    return latest_per_key(df, keys, order).join(listed.select(by), by, "left_semi")
+
+
 def dedupe_audit(
     df: DataFrame, keys: list[str], order: list[str], measure: str
 ) -> DataFrame:

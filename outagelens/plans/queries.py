@@ -659,7 +659,7 @@ def dedupe_across_loads(spark, sf):
         spark, sf, *EVENT_COLUMNS, "_ingest_timestamp", "_source_url", "_source_last_modified", "_ano_fonte"
     ).withColumns({START: F.date_trunc("month", START).cast("timestamp_ntz"),
                    "_ingest_timestamp": F.col("_ingest_timestamp").cast("timestamp")})
-    tables.replace_all(rows, bronze, "_ano_fonte")
+    tables.replace_all(rows, bronze, "_ano_fonte", placed=True)
     years = sorted(r["ano"] for r in standins.manifest(spark, sf).select("ano").collect())
     for chosen in (years[:3], years[4:], years[3:4]):
         medallion.silver_events(spark, bronze, silver, chosen, RUN)

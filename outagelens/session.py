@@ -33,6 +33,21 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/outagelens/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go as it ends, not when the driver next collects garbage.
+
+    For writes, whose shuffles nothing reads again. The setting is put back after.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 @contextmanager
 def reused(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a table over several analyses and release it after.

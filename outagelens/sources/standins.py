@@ -30,7 +30,15 @@ _LOOKUPS = {
     "part": "l_partkey = p_partkey",
 }
 
-_MINUTES = "cast((l_quantity * 60 - 600) * if(l_linenumber = 7, 24, 1) as int)"
+#: suppliers that are matched last and where the rows are, so that no shuffle carries their names
+SHORT_LIST = 500_000
+
+# what two columns are needed for, as one of few bytes: lookups shuffle line items
+_DERIVED = {
+    "minutes": """if(l_discount = 0.1D, null,
+        cast((l_quantity * 60 - 600) * if(l_linenumber = 7, 24, 1) as int))""",
+    "scheduled": "case when l_tax = 0 then null when l_returnflag = 'R' then true else false end",
+}
 
 # column -> (lookup table or none, expression)
 _EVENTS = {
@@ -46,15 +54,11 @@ _EVENTS = {
     "NumOrdemInterrupcao": (None, "concat(l_orderkey, '-', l_linenumber)"),
     "DscTipoInterrupcao": (
         None,
-        """case when l_tax = 0 then null when l_returnflag = 'R' then 'Programada'
-           else 'Não Programada' end""",
+        "case when scheduled then 'Programada' when not scheduled then 'Não Programada' end",
     ),
     "IdeMotivoInterrupcao": (None, "cast(l_linenumber as bigint)"),
     "DatInicioInterrupcao": (None, "l_shipdate"),
-    "DatFimInterrupcao": (
-        None,
-        f"if(l_discount = 0.1D, null, l_shipdate + interval '1' minute * {_MINUTES})",
-    ),
+    "DatFimInterrupcao": (None, "l_shipdate + interval '1' minute * minutes"),
     "DscFatoGeradorInterrupcao": (
         "part",
         """case l_partkey % 4 when 0 then concat_ws(';', 'INTERNA', p_type, p_brand, p_name)
@@ -105,10 +109,12 @@ def _project(
     spark: SparkSession, sf_dir: str, columns: dict, wanted: tuple[str, ...]
 ) -> DataFrame:
     names = list(wanted or columns)
-    df = table(spark, sf_dir, "lineitem")
-    for lookup, condition in _LOOKUPS.items():
-        if any(columns[c][0] == lookup for c in names):
-            df = df.join(table(spark, sf_dir, lookup), F.expr(condition), "left")
+    df = table(spark, sf_dir, "lineitem").withColumns({n: F.expr(e) for n, e in _DERIVED.items()})
+    lookups = {lookup: table(spark, sf_dir, lookup) for lookup in _LOOKUPS if any(columns[c][0] == lookup for c in names)}
+    if {"supplier", "part"} <= lookups.keys() and lookups["supplier"].count() <= SHORT_LIST:
+        lookups["supplier"] = F.broadcast(lookups.pop("supplier"))
+    for lookup, rows in lookups.items():
+        df = df.join(rows, F.expr(_LOOKUPS[lookup]), "left")
     return df.select(*[F.expr(columns[c][1]).alias(c) for c in names])
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from outagelens.session import shuffles_dropped
+
+
 def _write(
     df: DataFrame, path: str, columns: list[str], mode: str, overwrite: str = "static",
     metrics: list[Column] | None = None, sort: list[str] | None = None, placed: bool = False,
@@ -15,19 +18,22 @@ def _write(
     year that holds most of the table is split over many. Metrics are observed after it,
     in the stage that writes, where a task that is run again counts once. Rows sorted
     inside their files let later scans skip row groups by range. Rows that are ``placed``
-    are scanned from files that hold a partition each, so they are not dealt again.
+    are not dealt again: they are scanned from files that hold a partition each, or lie in so
+    few tasks for their number that each may write a file of every partition. The shuffles of
+    a write go with it, so that those of several do not add up on disk.
     """
     seen = Observation()
     dealt = df if placed else df.hint("rebalance", *[F.col(c) for c in columns])
     dealt = dealt.observe(seen, *(metrics or [F.count(F.lit(1)).alias("rows")]))
     if sort:
         dealt = dealt.sortWithinPartitions(*columns, *sort)
-    (
-        dealt.write.mode(mode)
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+    with shuffles_dropped(df.sparkSession):
+        (
+            dealt.write.mode(mode)
+            .option("partitionOverwriteMode", overwrite)
+            .partitionBy(*columns)
+            .parquet(path)
+        )
     return seen
 
 

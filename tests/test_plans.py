@@ -7,6 +7,7 @@ import re
 import pytest
 
 from outagelens.plans.queries import REGISTRY
+from outagelens.sources import standins
 
 SF_DIR = "/root/testdata/sf0.001"
 # cost of building these is a write; their scans are covered by the others
@@ -42,6 +43,23 @@ def test_unused_lookups_are_not_joined(spark):
     assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", plan(spark, "conform_events"), re.M)) == 3
 
 
+def test_a_short_list_of_suppliers_is_matched_in_place(spark, monkeypatch):
+    def shuffles(threshold):
+        monkeypatch.setattr(standins, "SHORT_LIST", threshold)
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            standins.events(spark, SF_DIR).explain("formatted")
+        return re.findall(r"hashpartitioning\((l_\w+)", out.getvalue())
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles(standins.SHORT_LIST) == ["l_orderkey", "l_partkey"]
+        assert shuffles(0) == ["l_orderkey", "l_suppkey", "l_partkey"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_scan_is_narrow_and_filtered(spark):
     text = plan(spark, "dist_by_voltage")
     assert "ReadSchema: struct<l_suppkey:bigint>" in text

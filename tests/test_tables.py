@@ -592,6 +592,42 @@ def test_few_disputed_keys_leave_other_rows_in_place(spark, tmp_path, monkeypatc
     assert few == [0, 8, 0, 6] and all_rows == [0, 26, 0, 15]  # without disputes nothing is dealt
 
 
+@pytest.mark.parametrize("bits", [256, 32])  # sparse, and so dense that rows of other keys are dealt too
+def test_keys_too_many_to_list_leave_other_rows_in_place(spark, tmp_path, monkeypatch, bits):
+    bronze = f"{tmp_path}/bronze"
+    _bronze(spark, bronze, ROWS + [("b", 0, 9, 2025, "v1", -1), ("d", 1, 4, 2026, "v1", 2)] + [
+        (f"x{n}", n, 1, y, "v1", 0) for y in (2024, 2025, 2026) for n in range(y % 10 * 40, y % 10 * 40 + 30)])
+    dealt, latest = [], merging.latest_per_key
+    monkeypatch.setattr(merging, "latest_per_key", lambda rows, *how: dealt.append(rows.count()) or latest(rows, *how))
+    monkeypatch.setattr(merging, "BITS", bits)
+    calls, found = ([2026], [2025, 2024], [2023], [2024]), {}
+    for listed in (1_000_000, 1, 0):
+        monkeypatch.setattr(merging, "LISTED_KEYS", listed)
+        for n, years in enumerate(calls):
+            counts = medallion.silver_events(spark, bronze, f"{tmp_path}/{listed}", years, RUN + dt.timedelta(n))
+        found[listed] = _events(spark, f"{tmp_path}/{listed}")
+        assert counts["silver"] + counts["duplicatas_removidas"] == counts["conformado"] == 34
+    medallion.silver_events(spark, bronze, f"{tmp_path}/whole", [2023, 2024, 2025, 2026], RUN)
+    assert found[0] == found[1] == found[1_000_000] == _events(spark, f"{tmp_path}/whole") and len(found[0]) == 6 + 90
+    few, marked, all_rows = (sum(dealt[n:n + 4]) for n in (0, 4, 8))
+    assert few <= marked < all_rows and (bits == 32 or marked < all_rows / 2)
+
+
+def test_a_write_takes_its_shuffles_with_it(spark, tmp_path):
+    def blocks():
+        stored = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for n in range(stored.size()) if (b := stored.apply(n).name()).startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    rows = spark.range(1000).select((F.col("id") % 7).cast("int").alias("y"), "id").distinct()
+    before, was = blocks(), spark.conf.get(name, None)
+    assert tables.replace_all(rows, f"{tmp_path}/t", "y") == 1000
+    assert not blocks() - before and spark.conf.get(name, None) == was
+    with pytest.raises(ZeroDivisionError), session.shuffles_dropped(spark):
+        raise ZeroDivisionError
+    assert spark.conf.get(name, None) == was and spark.read.parquet(f"{tmp_path}/t").count() == 1000
+
+
 def test_a_table_without_an_index_gets_one(spark, tmp_path):
     bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
     _bronze(spark, bronze, ROWS)
